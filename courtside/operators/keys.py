@@ -5,8 +5,9 @@
 lands whole in one task.  ``number_rows`` / ``dense_rank_ids`` hand out
 dense ids 1..n in key order without a single-partition window over the
 data: rows are range-partitioned and sorted, the partitioned frame is
-checkpointed (reliable, to ``spark.checkpoint.dir``) so both passes see the
-same partitions, and each row gets ``offset(partition) + position``.  Only
+written with each row's (partition, position) to a Parquet table under
+``spark.checkpoint.dir`` so both passes agree, and each row gets
+``offset(partition) + position``.  Only
 the per-partition count table (one row per partition) is ordered globally.
 """
 
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.session import ensure_checkpoint_dir
+from courtside.operators.materialize import materialize
 
 ColumnLike = str | Column
 
@@ -62,15 +63,17 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
     """Add ``id_col`` = start, start+1, ... in ``order`` (ascending, NULL first).
 
     ``order`` should identify rows uniquely; ties get distinct ids in an
-    unspecified order.
+    unspecified order.  Rows are range-partitioned and sorted; each row's
+    (partition, position) is stored with it in a Parquet table under the
+    checkpoint folder, so the count pass and the numbering pass agree
+    whatever the file splits are on reading.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or _partitions(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
-    numbered = ranged.select("*", F.shiftright(mid, 33).alias("_pid"),
-                             (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select("*", F.shiftright(mid, 33).alias("_pid"),
+                      (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos")))
+    numbered = materialize(ranged, f"rows-{id_col}")
     # One row per partition: the only globally ordered data.
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

@@ -9,7 +9,8 @@ Plan (one scan of the plays):
 3. Game header reduced to one row per game (referee, league, date, teams,
    venue keys) and joined on game_id.
 4. ``idPartido`` = dense rank of game_id among the games that keep a row,
-   computed on a checkpoint of step 3 so the plays are read once.
+   computed on a Parquet copy of step 3 in the checkpoint folder, so the
+   plays are read once.
 
 The roster join of the source job is a no-op here: every (game, player)
 with statistics comes from a player slot of a play of that game, so the
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from courtside.functions.text import full_name, norm_key, season_type
 from courtside.operators.keys import dedupe, dense_rank_ids, nulls_last
 from courtside.operators.lookup import lookup
+from courtside.operators.materialize import materialize
 from courtside.operators.unpivot import unpivot_groups
 from courtside.plans.plays import (blocks, game_player_measures, jump_balls, player_game_stats, play_flags,
                                    participants, play_stream, steals, derived_metrics)
@@ -126,7 +128,7 @@ def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame) -> Data
     measures = game_player_measures(plays)
     names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
     m = lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
-    pre = m.join(game_keys(header), "game_id", "inner").checkpoint(eager=True)
+    pre = materialize(m.join(game_keys(header), "game_id", "inner"), "fact-pre")
     return _contract(dense_rank_ids(pre, ["game_id"], "idPartido"))
 
 

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from courtside.operators.lookup import checked_broadcast
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -216,6 +218,10 @@ FROM {{part}} p WHERE p.p_size > 10""",
 }
 
 
+# Sources joined by key into larger ones; broadcast only below a proven row bound.
+LOOKUP_SOURCES = ("player_directory",)
+
+
 def _order(names) -> list[str]:
     """Dependencies first, each source once."""
     out: list[str] = []
@@ -232,8 +238,26 @@ def _order(names) -> list[str]:
     return out
 
 
+# Driver tables that grow with the scale factor (nation/region are fixed).
+GROWING_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+                  "pages", "benchmark", "labels", "conversations")
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over at least ``spark.default.parallelism`` tasks.
+
+    A file written as one row group is read by one task; large inputs on a
+    cluster come in many files/row groups and pass through unchanged (no
+    shuffle).  Only the split count is inspected, no job runs.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in GROWING_TABLES else df
 
 
 def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = None) -> DataFrame:
@@ -246,6 +270,9 @@ def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = Non
     else:
         text, deps = SOURCES[name]
         args = {d: source(spark, sf_dir, d, memo) for d in deps}
+        for d in deps:
+            if d in LOOKUP_SOURCES:
+                args[d] = checked_broadcast(args[d])
         df = spark.sql(text, **args)
     memo[name] = df
     return df
