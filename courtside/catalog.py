@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from courtside.functions import buckets as B
 
 from courtside.plans import fact as fact_plan
 from courtside.plans import plays as P
@@ -89,3 +92,225 @@ QUERIES: dict[str, Query] = {
     "game_header": q_game_header,
     "fact_partido": q_fact_partido,
 }
+
+
+# -- sources and sinks ----------------------------------------------------------
+
+def q_csv_roundtrip(spark, sf_dir):
+    """S1/S2/S7: customers written as CSV by Spark, read back as text, pruned."""
+    from courtside.operators.materialize import scratch_path
+    from courtside.sources.files import read_csv_text, write_csv
+
+    cust = _wh(spark, sf_dir).src("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    path = scratch_path(cust, "csv")
+    write_csv(cust, path)
+    return read_csv_text(spark, path, ["c_custkey", "c_name", "c_mktsegment"])
+
+
+def q_table_roundtrip(spark, sf_dir):
+    """S3/S5/S6/S8/S9: contract tables created, overwritten by position, replaced, read back."""
+    import uuid
+
+    from courtside.operators.materialize import scratch_path
+    from courtside.sources.files import create_contract_tables, drop_table, insert_overwrite, read_contract, \
+        replace_table
+
+    wh = _wh(spark, sf_dir)
+    db = f"courtside_{uuid.uuid4().hex[:12]}"
+    loc = scratch_path(wh.src("orders"), "warehouse")
+    create_contract_tables(spark, db, loc, ["arbitro", "liga"])
+    insert_overwrite(wh.referee, f"{db}.arbitro")
+    drop_table(spark, f"{db}.liga")
+    replace_table(wh.league, f"{db}.liga")
+    ref = read_contract(spark, f"{db}.arbitro", ["idArbitro", "nombre"])
+    liga = read_contract(spark, f"{db}.liga", ["idLiga", "nombre"])
+    return ref.select(F.lit("arbitro").alias("tabla"), F.col("idArbitro").alias("id"), "nombre").unionByName(
+        liga.select(F.lit("liga").alias("tabla"), F.col("idLiga").alias("id"), "nombre"))
+
+
+# -- dimension pieces -----------------------------------------------------------
+
+def q_unit_convert(spark, sf_dir):
+    from courtside.plans.dims import unit_conversions
+
+    wh = _wh(spark, sf_dir)
+    u = unit_conversions(wh.src("player_profile"), wh.src("draft_combine"))
+    return u
+
+
+def _bucket_query(value: str, rules, out: str):
+    def q(spark, sf_dir):
+        from courtside.functions.buckets import bucketize
+        from courtside.plans.dims import unit_conversions
+
+        wh = _wh(spark, sf_dir)
+        u = unit_conversions(wh.src("player_profile"), wh.src("draft_combine"))
+        return u.select("player_id", bucketize(value, rules).alias(out))
+
+    q.__name__ = f"q_bucket_{out}"
+    return q
+
+
+def q_position_map(spark, sf_dir):
+    from courtside.functions.buckets import position_label
+
+    p = _wh(spark, sf_dir).src("player_profile")
+    return p.select(F.col("person_id").alias("player_id"), "position", position_label("position").alias("posicion"))
+
+
+def q_capacity_bucket(spark, sf_dir):
+    from courtside.functions.buckets import capacity_bucket
+    from courtside.functions.text import to_number
+
+    wh = _wh(spark, sf_dir)
+    d = wh.src("team_details").select("arena", F.col("arenacapacity").alias("capacidad_numero"))
+    m = wh.src("team_list").select(F.col("Arena").alias("arena"), F.col("Capacidad").alias("capacidad_numero"))
+    both = d.unionByName(m)
+    return both.select("arena", "capacidad_numero", capacity_bucket(to_number("capacidad_numero")).alias("capacidad"))
+
+
+# -- fact pieces ------------------------------------------------------------------
+
+def q_roster(spark, sf_dir):
+    return fact_plan.roster(_wh(spark, sf_dir).src("plays"))
+
+
+def q_date_key(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return fact_plan.date_key(wh.src("games"), wh.calendar)
+
+
+def q_venue_key(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return fact_plan.home_team_venue(wh.src("games"), wh.team, wh.venue)
+
+
+def q_season_alias_join(spark, sf_dir):
+    """Q2: league key with the alias folded on the dimension side only (source
+    behaviour) and on both sides (default)."""
+    from courtside.functions.text import season_type
+    from courtside.operators.lookup import lookup
+
+    wh = _wh(spark, sf_dir)
+    g = wh.src("games").select("game_id", "season_type", season_type("season_type").alias("liga"))
+    g = lookup(g, wh.league, ["season_type"], ["nombre"], ["idLiga"], rename={"idLiga": "idLiga_origen"})
+    g = lookup(g, wh.league, ["liga"], ["nombre"], ["idLiga"])
+    return g.select("game_id", "season_type", "idLiga_origen", "idLiga")
+
+
+def q_jump_balls(spark, sf_dir):
+    return P.jump_balls(P.play_stream(_wh(spark, sf_dir).src("plays")))
+
+
+def q_blocks(spark, sf_dir):
+    return P.blocks(P.play_stream(_wh(spark, sf_dir).src("plays")))
+
+
+def q_steals(spark, sf_dir):
+    return P.steals(P.play_stream(_wh(spark, sf_dir).src("plays")))
+
+
+def q_stats_outer_merge(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return fact_plan.stats_outer_merge(wh.src("plays"), wh.player)
+
+
+# -- vocabularies ---------------------------------------------------------------------
+
+def q_name_vocabulary(spark, sf_dir):
+    from courtside.plans.vocab import name_vocabulary
+
+    return name_vocabulary(_wh(spark, sf_dir).src("games"))
+
+
+def q_position_vocabulary(spark, sf_dir):
+    from courtside.plans.vocab import position_vocabulary
+
+    wh = _wh(spark, sf_dir)
+    return position_vocabulary(wh.src("draft_combine"), wh.src("player_profile"))
+
+
+def q_entity_dictionary(spark, sf_dir):
+    from courtside.plans.vocab import entity_dictionary
+
+    return entity_dictionary(_wh(spark, sf_dir).src("plays"))
+
+
+def q_play_types(spark, sf_dir):
+    from courtside.plans.vocab import play_types
+
+    return play_types(_wh(spark, sf_dir).src("plays"))
+
+
+# -- data quality ------------------------------------------------------------------------
+
+def q_dq_pk(spark, sf_dir):
+    from courtside.operators.quality import dq_primary_key
+
+    return dq_primary_key(_wh(spark, sf_dir).src("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_dq_fk(spark, sf_dir):
+    from courtside.operators.quality import dq_foreign_key
+
+    wh = _wh(spark, sf_dir)
+    plays = wh.src("plays").select("game_id", "eventnum", "player1_id")
+    return dq_foreign_key(plays, wh.src("player_info"), ["player1_id"], ["id"])
+
+
+def q_dq_not_null(spark, sf_dir):
+    from courtside.operators.quality import dq_not_null
+
+    return dq_not_null(_wh(spark, sf_dir).src("plays"),
+                       ["player1_name", "player2_name", "player3_name", "homedescription", "visitordescription"])
+
+
+def q_dq_length(spark, sf_dir):
+    from courtside.operators.quality import dq_length
+
+    p = _wh(spark, sf_dir).src("plays")
+    return dq_length(p, {"homedescription": 45, "visitordescription": 45, "player1_team_city": 20,
+                         "player1_name": 20})
+
+
+def q_preview(spark, sf_dir):
+    """O3: the first 20 referees by key (a preview is the feature)."""
+    return _wh(spark, sf_dir).referee.orderBy("idArbitro").limit(20)
+
+
+QUERIES.update({
+    "csv_roundtrip": q_csv_roundtrip,
+    "table_roundtrip": q_table_roundtrip,
+    "unit_convert": q_unit_convert,
+    "bucket_weight": _bucket_query("peso_kg", B.WEIGHT_KG,
+                                   "peso"),
+    "bucket_height": _bucket_query("altura_m", B.HEIGHT_M,
+                                   "altura"),
+    "bucket_wingspan": _bucket_query("envergadura_m",
+                                     B.WINGSPAN_M,
+                                     "envergadura"),
+    "bucket_reach": _bucket_query("alcance_pie_m", B.REACH_M,
+                                  "alcance_pie"),
+    "bucket_career": _bucket_query("carrera_anos",
+                                   B.CAREER_YEARS,
+                                   "carrera_profesional"),
+    "position_map": q_position_map,
+    "capacity_bucket": q_capacity_bucket,
+    "roster": q_roster,
+    "date_key": q_date_key,
+    "venue_key": q_venue_key,
+    "season_alias_join": q_season_alias_join,
+    "jump_balls": q_jump_balls,
+    "blocks": q_blocks,
+    "steals": q_steals,
+    "stats_outer_merge": q_stats_outer_merge,
+    "name_vocabulary": q_name_vocabulary,
+    "position_vocabulary": q_position_vocabulary,
+    "entity_dictionary": q_entity_dictionary,
+    "play_types": q_play_types,
+    "dq_pk": q_dq_pk,
+    "dq_fk": q_dq_fk,
+    "dq_not_null": q_dq_not_null,
+    "dq_length": q_dq_length,
+    "preview": q_preview,
+})

@@ -267,3 +267,150 @@ ORACLE: dict[str, str] = {
     "game_header": _dims("SELECT * FROM header", HEADER),
     "fact_partido": fact_sql(),
 }
+
+
+# -- sources / sinks -------------------------------------------------------------
+
+ORACLE["csv_roundtrip"] = ("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+ORACLE["table_roundtrip"] = _dims("SELECT 'arbitro' AS tabla, idArbitro AS id, nombre FROM referee "
+                                  "UNION ALL SELECT 'liga', idLiga, nombre FROM league")
+
+# -- dimension pieces ---------------------------------------------------------------
+
+UNITS = [
+    ("u_prof", _first("(SELECT person_id AS player_id, weight AS weight_1, from_year, to_year FROM player_profile)",
+                      ["player_id"], ["weight_1", "from_year", "to_year"])),
+    ("u_comb", _first("(SELECT player_id, height_wo_shoes, wingspan, weight AS weight_2, standing_reach "
+                      "FROM draft_combine)", ["player_id"],
+                      ["height_wo_shoes", "wingspan", "weight_2", "standing_reach"])),
+    ("units", """SELECT coalesce(p.player_id, c.player_id) AS player_id,
+  TRY_CAST(coalesce(weight_1, weight_2) AS DOUBLE) * 0.45359237 AS peso_kg,
+  TRY_CAST(height_wo_shoes AS DOUBLE) * 0.0254 AS altura_m,
+  TRY_CAST(wingspan AS DOUBLE) * 0.0254 AS envergadura_m,
+  TRY_CAST(standing_reach AS DOUBLE) * 0.0254 AS alcance_pie_m,
+  TRY_CAST(to_year AS DOUBLE) - TRY_CAST(from_year AS DOUBLE) AS carrera_anos
+FROM u_prof p FULL OUTER JOIN u_comb c ON p.player_id = c.player_id"""),
+]
+_UNIT_SRC = ["player_profile", "draft_combine"]
+ORACLE["unit_convert"] = oracle_with(_UNIT_SRC, "SELECT * FROM units", UNITS)
+for _name, _val, _rules, _out in [("bucket_weight", "peso_kg", B.WEIGHT_KG, "peso"),
+                                  ("bucket_height", "altura_m", B.HEIGHT_M, "altura"),
+                                  ("bucket_wingspan", "envergadura_m", B.WINGSPAN_M, "envergadura"),
+                                  ("bucket_reach", "alcance_pie_m", B.REACH_M, "alcance_pie"),
+                                  ("bucket_career", "carrera_anos", B.CAREER_YEARS, "carrera_profesional")]:
+    ORACLE[_name] = oracle_with(_UNIT_SRC, f"SELECT player_id, {B.sql_bucket(_val, _rules)} AS {_out} FROM units",
+                                UNITS)
+ORACLE["position_map"] = oracle_with(["player_profile"], "SELECT person_id AS player_id, position, CASE position "
+                                     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in B.POSITIONS.items())
+                                     + " ELSE 'Desconocido' END AS posicion FROM player_profile")
+_CAPB = ("CASE WHEN TRY_CAST(c AS DOUBLE) < 10000 THEN 'pequeno' WHEN TRY_CAST(c AS DOUBLE) >= 10000 "
+         "AND TRY_CAST(c AS DOUBLE) < 20000 THEN 'mediano' ELSE 'grande' END")
+ORACLE["capacity_bucket"] = oracle_with(
+    ["team_details", "team_list"],
+    "SELECT arena, c AS capacidad_numero, " + _CAPB + " AS capacidad FROM ("
+    "SELECT arena, arenacapacity AS c FROM team_details UNION ALL SELECT Arena, Capacidad FROM team_list)")
+
+# -- fact pieces ----------------------------------------------------------------------
+
+ORACLE["roster"] = oracle_with(["plays"], "SELECT game_id, jugador, nombre_equipo FROM roster_one", [
+    ("roster_rows", " UNION ALL ".join(
+        f"SELECT game_id, lower(trim(player{i}_name)) AS jugador, "
+        f"concat_ws(' ', player{i}_team_city, player{i}_team_nickname) AS nombre_equipo FROM plays" for i in (1, 2, 3))),
+    ("roster_one", _first("roster_rows", ["game_id", "jugador"], ["nombre_equipo"])),
+])
+_TSG = "try_strptime(g.game_date, '%Y-%m-%d %H:%M:%S')"
+ORACLE["date_key"] = _dims(f"""SELECT g.game_id, c.idFecha FROM games g
+LEFT JOIN calendar c ON c.dia = day({_TSG}) AND c.mes = month({_TSG}) AND c.ano = year({_TSG})""")
+ORACLE["venue_key"] = _dims("""SELECT g.game_id, hl.idEquipo AS idEquipo_Local, av.idEquipo AS idEquipo_Visitante, v.idUbicacion
+FROM games g
+LEFT JOIN team av ON av.nombre = g.team_name_away
+LEFT JOIN team hl ON hl.nombre = g.team_name_home
+LEFT JOIN venue v ON lower(trim(v.arena)) = lower(trim(hl.arena)) AND lower(trim(v.ciudad)) = lower(trim(hl.ciudad))
+                 AND lower(trim(v.estado)) = lower(trim(hl.estado))""")
+ORACLE["season_alias_join"] = _dims("""SELECT g.game_id, g.season_type, l1.idLiga AS idLiga_origen, l2.idLiga
+FROM games g LEFT JOIN league l1 ON l1.nombre = g.season_type
+LEFT JOIN league l2 ON l2.nombre = CASE WHEN g.season_type = 'All Star' THEN 'All-Star' ELSE g.season_type END""")
+ORACLE["jump_balls"] = _plays("parts", """SELECT game_id, jugador,
+  count(*) FILTER (WHERE role IN (1, 3)) AS Saques_Exitosos,
+  count(*) FILTER (WHERE role IN (1, 3)) AS cantidad_ataques_exitosos,
+  count(*) FILTER (WHERE role = 2) AS Saques_Fallidos,
+  count(*) FILTER (WHERE role = 2) AS cantidad_ataques_fallidos
+FROM parts WHERE contains(descripcion, 'jump ball') GROUP BY game_id, jugador""")
+ORACLE["blocks"] = _plays("parts", "SELECT game_id, jugador, count(*) AS Tiros_Bloqueados FROM parts "
+                                   "WHERE contains(descripcion, 'block') AND role = 3 GROUP BY game_id, jugador")
+ORACLE["steals"] = _plays("parts", "SELECT game_id, jugador, count(*) AS Robos_Exitosos FROM parts "
+                                   "WHERE contains(descripcion, 'steal') AND role = 2 GROUP BY game_id, jugador")
+ORACLE["stats_outer_merge"] = _dims("SELECT * EXCLUDE (jugador) FROM m_id", PLAY_CTES + [FACT[0]])
+
+# -- vocabularies ------------------------------------------------------------------------
+
+ORACLE["name_vocabulary"] = oracle_with(["games"], "SELECT DISTINCT nombre FROM (SELECT team_name_home AS nombre "
+                                                   "FROM games UNION ALL SELECT team_name_away FROM games)")
+ORACLE["position_vocabulary"] = oracle_with(
+    ["draft_combine", "player_profile"],
+    "SELECT position FROM (SELECT DISTINCT position FROM draft_combine) "
+    "UNION ALL SELECT position FROM (SELECT DISTINCT position FROM player_profile)")
+_SLOT_NAMES = " UNION ALL ".join(
+    f"SELECT player{i}_name AS nombre, player{i}_team_nickname AS equipo FROM plays" for i in (1, 2, 3))
+ORACLE["entity_dictionary"] = oracle_with(["plays"], """SELECT DISTINCT tipo, valor FROM (
+  SELECT 'jugador' AS tipo, nombre AS valor FROM slot_names UNION ALL SELECT 'equipo', equipo FROM slot_names)
+WHERE valor IS NOT NULL""", [("slot_names", _SLOT_NAMES)])
+
+
+def _rx(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_ALIASES = ["N'Dong", "Yuezhuo", "zhi", "Tompkins", "McClellan", "Renfroe", "Kanter", "Lima", "Seung", "Jin",
+            "Pendergraph", "McKinney", "Yue", "Arna", "Hersek", "McLean", "N'Diaye", "Maciulis", "McRay",
+            "Yurtseven", "Llull"]
+_STYLE = ["Running", "Driving", "Pullup", "Step Back", "Fadeaway", "Floating", "Putback", "Reverse", "Cutting",
+          "Follow Up", "Bank", "Alley Oop", "Turnaround", "Hook", "Tip", "Jumper"]
+
+
+def _clean_sql(x: str) -> str:
+    steps = [(r'[",]+', ""), (r"\s*[-–—]+\s*", " "), (r"^\W+|\W+$", ""), (r"\b\d+' ?", ""),
+             (r"\s*[\.,:;]+\s*", " "), (r"\s+", " ")]
+    for pat, rep in steps:
+        x = f"regexp_replace({x}, {_rx(pat)}, '{rep}', 'g')"
+    x = f"trim({x})"
+    for w in _ALIASES + _STYLE:
+        x = f"regexp_replace({x}, {_rx(chr(92) + 'b' + w + chr(92) + 'b')}, '', 'g')"
+    return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
+
+
+_ESC = r"regexp_replace(entry, '([\\.^$|?*+()\[\]{}])', '\\\1', 'g')"
+ORACLE["play_types"] = oracle_with(["plays"], """SELECT row_number() OVER (ORDER BY descripcion_limpia NULLS FIRST) AS idJugada,
+  descripcion_limpia, descripcion
+FROM (SELECT descripcion_limpia, min(descripcion) AS descripcion FROM pt_clean GROUP BY descripcion_limpia)""", [
+    ("slot_names", _SLOT_NAMES),
+    ("pt_frags", "SELECT DISTINCT entry FROM (SELECT unnest(string_split_regex(trim(nombre), '\\s+')) AS entry "
+                 "FROM slot_names WHERE nombre IS NOT NULL) WHERE entry <> ''"),
+    ("pt_nicks", "SELECT DISTINCT equipo AS entry FROM slot_names WHERE equipo IS NOT NULL"),
+    ("pt_dict", "SELECT entry FROM pt_frags UNION SELECT entry FROM pt_nicks UNION SELECT upper(entry) FROM pt_nicks"),
+    ("pt_pattern", "SELECT '\\b(?:' || string_agg(" + _ESC + ", '|' ORDER BY length(entry) DESC, entry) || ')\\b|"
+                   "\\([^)]*\\)|\\b\\d{1,3}''|\\b[A-Z]\\.|\\b[A-Za-z]{2,5}\\.|\\b\\d+ of \\d+\\b' AS p FROM pt_dict"),
+    ("pt_descs", "SELECT DISTINCT descripcion FROM (SELECT homedescription AS descripcion FROM plays "
+                 "WHERE player1_name IS NOT NULL UNION ALL SELECT visitordescription FROM plays "
+                 "WHERE player1_name IS NOT NULL) WHERE descripcion IS NOT NULL"),
+    ("pt_named", "SELECT DISTINCT descripcion FROM (SELECT descripcion, unnest(regexp_extract_all(lower(descripcion), "
+                 "'\\w+')) AS tok FROM pt_descs) WHERE tok IN (SELECT lower(entry) FROM pt_frags)"),
+    ("pt_clean", "SELECT descripcion, " + _clean_sql("regexp_replace(descripcion, (SELECT p FROM pt_pattern), '', 'g')")
+                 + " AS descripcion_limpia FROM pt_named"),
+])
+
+# -- data quality --------------------------------------------------------------------------
+
+ORACLE["dq_pk"] = ("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
+                   "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+ORACLE["dq_fk"] = oracle_with(["plays", "player_info"], """SELECT game_id, eventnum, player1_id FROM plays p
+WHERE player1_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM player_info i WHERE i.id = p.player1_id)""")
+ORACLE["dq_not_null"] = oracle_with(["plays"], "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS nulls_{c}"
+    for c in ("player1_name", "player2_name", "player3_name", "homedescription", "visitordescription"))
+    + " FROM plays")
+ORACLE["dq_length"] = oracle_with(["plays"], " UNION ALL ".join(
+    f"SELECT '{c}' AS columna, {n} AS limite, count(*) FILTER (WHERE length({c}) > {n}) AS excedidos FROM plays"
+    for c, n in (("homedescription", 45), ("visitordescription", 45), ("player1_team_city", 20),
+                 ("player1_name", 20))))
+ORACLE["preview"] = _dims("SELECT * FROM referee ORDER BY idArbitro LIMIT 20")

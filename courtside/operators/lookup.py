@@ -1,9 +1,13 @@
 """Key lookups (natural key -> surrogate key) with a checked broadcast.
 
 A dimension is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading early).
-Beyond the bound the join is left to Spark (sort-merge or shuffle-hash;
-AQE still converts it at run time when the shuffled side turns out small).
+``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading early);
+the verdict is kept per frame, so a dimension used in several lookups is
+counted once.  Dimensions are materialized (Parquet) before they are looked
+up, so the count reads files, not the plan that built them.  Beyond the
+bound the join is left to Spark (sort-merge or shuffle-hash).  Joins
+between intermediate results are not hinted at all: AQE replans them from
+measured shuffle sizes at run time.
 """
 
 from __future__ import annotations
@@ -22,8 +26,21 @@ def broadcast_bound(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("courtside.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
 
 
+# (id(df), bound) -> (df, verdict); the frame is kept so its id stays unique.
+_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded count (stops after ``max_rows + 1`` rows), memoised per frame."""
+    key = (id(df), max_rows)
+    hit = _CHECKED.get(key)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    verdict = df.limit(max_rows + 1).count() <= max_rows
+    if len(_CHECKED) > 512:
+        _CHECKED.clear()
+    _CHECKED[key] = (df, verdict)
+    return verdict
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -42,9 +59,11 @@ def lookup(left: DataFrame, dim: DataFrame, left_keys: Sequence[str], dim_keys:
     """
     rename = rename or {}
     kcols = [f"_k{i}" for i in range(len(dim_keys))]
+    bound = broadcast_bound(dim) if max_rows is None else max_rows
+    small = has_at_most(dim, bound)
     side = dim.select(*[F.col(k).alias(a) for k, a in zip(dim_keys, kcols)],
                       *[F.col(t).alias(rename.get(t, t)) for t in take])
-    side = checked_broadcast(side, max_rows)
+    side = F.broadcast(side) if small else side
     conds = [(left[lk].eqNullSafe(side[a]) if null_safe else left[lk] == side[a])
              for lk, a in zip(left_keys, kcols)]
     cond = conds[0]

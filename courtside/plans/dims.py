@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from courtside.functions import buckets as B
 from courtside.functions.text import full_name, season_type, to_number, UNKNOWN
 from courtside.operators.keys import dedupe, desc_nulls_last, number_rows
-from courtside.operators.lookup import checked_broadcast
 from courtside.operators.unpivot import unpivot_groups
 
 # Calendar span and the last season year that marks a team active.
@@ -112,7 +111,7 @@ def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list
     t = teams.select(F.col("id").alias("team_id"), "nickname", F.col("city").alias("ciudad"),
                      F.col("state").alias("estado"))
     arenas = dedupe(details.select("team_id", "arena"), ["team_id"])
-    joined = (t.join(checked_broadcast(arenas), "team_id", "left")
+    joined = (t.join(arenas, "team_id", "left")
               .join(latest_year(history), "team_id", "left"))
     franchise = joined.select(
         full_name("ciudad", "nickname").alias("nombre"), "ciudad", "estado", "arena",
@@ -161,7 +160,7 @@ def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, ina
                                F.col("weight").alias("weight_2"), "standing_reach"), ["player_id"])
     df = ids
     for side in (info, gone, prof, comb):
-        df = df.join(checked_broadcast(side), "player_id", "left")
+        df = df.join(side, "player_id", "left")
 
     c = F.col
     peso = to_number(F.coalesce(c("weight_1"), c("weight_2"))) * F.lit(B.POUND_KG)

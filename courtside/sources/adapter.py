@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from courtside.operators.lookup import checked_broadcast
+from courtside.sources.schemas import driver_schema
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -101,11 +102,13 @@ def _slot(n: int, codes: tuple | None) -> str:
 
 # Source name -> (SELECT text, tables/sources it reads).
 SOURCES: dict[str, tuple[str, tuple[str, ...]]] = {
-    # Player directory: one player per supplier; negative balances get a
-    # padded upper-case spelling so name normalisation matters.
+    # Player directory: one player per supplier, named 'Supplier 000000042'
+    # (two name fragments); negative balances get a padded upper-case
+    # spelling so name normalisation matters.
     "player_directory": (
         """SELECT s.s_suppkey AS player_id,
-       CASE WHEN s.s_acctbal < 0 THEN concat('  ', upper(s.s_name), ' ') ELSE s.s_name END AS player_name,
+       CASE WHEN s.s_acctbal < 0 THEN concat('  ', upper(replace(s.s_name, '#', ' ')), ' ')
+            ELSE replace(s.s_name, '#', ' ') END AS player_name,
        n.n_name AS team_city,
        CASE WHEN s.s_acctbal < 500 THEN NULL ELSE r.r_name END AS team_nickname
 FROM {supplier} s
@@ -256,7 +259,7 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.schema(driver_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return ensure_parallelism(df) if name in GROWING_TABLES else df
 
 
