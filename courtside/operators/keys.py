@@ -7,15 +7,15 @@ dense ids 1..n in key order without a single-partition window over the
 data: rows are range-partitioned and sorted, the partitioned frame is
 written with each row's (partition, position) to a Parquet table under
 ``spark.checkpoint.dir`` so both passes agree, and each row gets
-``offset(partition) + position``.  Only
-the per-partition count table (one row per partition) is ordered globally.
+``offset(partition) + position``.  Only the per-partition counts (one
+number per partition) reach the driver, as the offset map.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.operators.materialize import materialize
@@ -74,14 +74,15 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
               .select("*", F.shiftright(mid, 33).alias("_pid"),
                       (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos")))
     numbered = materialize(ranged, f"rows-{id_col}")
-    # One row per partition: the only globally ordered data.
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    out = numbered.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
+    # One count per partition (bounded by the partition count, not the data)
+    # becomes a literal offset map: consumers read a plain Parquet projection.
+    counts = sorted((r[0], r[1]) for r in numbered.groupBy("_pid").agg(F.count(F.lit(1))).collect())
+    offsets, acc = [], 0
+    for pid, cnt in counts:
+        offsets += [F.lit(pid), F.lit(acc)]
+        acc += cnt
+    off = F.element_at(F.create_map(*offsets), F.col("_pid")) if offsets else F.lit(0)
+    return numbered.select(*df.columns, (off + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
 
 
 def dense_rank_ids(df: DataFrame, keys: Sequence[str], id_col: str, lookup_rows: int | None = None) -> DataFrame:

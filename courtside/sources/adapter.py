@@ -241,26 +241,35 @@ def _order(names) -> list[str]:
     return out
 
 
-# Driver tables that grow with the scale factor (nation/region are fixed).
-GROWING_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-                  "pages", "benchmark", "labels", "conversations")
+# Driver tables that grow with the scale factor (nation/region are fixed),
+# with the key columns used to spread a single-split scan.
+GROWING_TABLES = {
+    "customer": ("c_custkey",), "supplier": ("s_suppkey",), "part": ("p_partkey",), "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",), "documents": ("doc_id",),
+    "embeddings": ("vec_id",), "pages": ("page_id",), "benchmark": ("item_id",), "labels": ("doc_id",),
+    "conversations": ("conv_id", "turn"),
+}
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
+def ensure_parallelism(df: DataFrame, keys=()) -> DataFrame:
     """Spread a scan over at least ``spark.default.parallelism`` tasks.
 
     A file written as one row group is read by one task; large inputs on a
     cluster come in many files/row groups and pass through unchanged (no
-    shuffle).  Only the split count is inspected, no job runs.
+    shuffle).  Only the split count is inspected, no job runs.  Rows are
+    hash-partitioned on the table key (deterministic, no pre-sort as a
+    round-robin repartition would need).
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.schema(driver_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in GROWING_TABLES else df
+    return ensure_parallelism(df, GROWING_TABLES[name]) if name in GROWING_TABLES else df
 
 
 def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = None) -> DataFrame:
