@@ -314,3 +314,24 @@ QUERIES.update({
     "dq_length": q_dq_length,
     "preview": q_preview,
 })
+
+
+# -- design-note extensions -------------------------------------------------------------
+
+def _ext(fn_name: str):
+    def q(spark, sf_dir):
+        from courtside.plans import extensions as X
+
+        return getattr(X, fn_name)(_wh(spark, sf_dir).src("plays"))
+
+    q.__name__ = f"q_{fn_name}"
+    return q
+
+
+QUERIES.update({
+    "running_score": _ext("running_score"),
+    "rebound_split": _ext("rebound_split"),
+    "team_game": _ext("team_game"),
+    "extra_fouls": _ext("extra_fouls"),
+    "play_type_counts": _ext("play_type_counts"),
+})

@@ -414,3 +414,57 @@ ORACLE["dq_length"] = oracle_with(["plays"], " UNION ALL ".join(
     for c, n in (("homedescription", 45), ("visitordescription", 45), ("player1_team_city", 20),
                  ("player1_name", 20))))
 ORACLE["preview"] = _dims("SELECT * FROM referee ORDER BY idArbitro LIMIT 20")
+
+
+# -- design-note extensions ----------------------------------------------------------------
+
+def _points(d: str) -> str:
+    two = (f"regexp_matches({d}, 'layup|dunk|shot|roll') AND NOT contains({d}, '3pt') "
+           f"AND NOT contains({d}, 'turnover') AND NOT contains({d}, 'miss')")
+    return (f"CASE WHEN contains({d}, '3pt') AND NOT contains({d}, 'miss') THEN 3 WHEN {two} THEN 2 "
+            f"WHEN contains({d}, 'free throw') AND NOT contains({d}, 'miss') THEN 1 ELSE 0 END")
+
+
+ORACLE["running_score"] = oracle_with(["plays"], """SELECT game_id, eventnum, puntos_local, puntos_visitante,
+  marcador_local, marcador_visitante, marcador_local - marcador_visitante AS diferencia
+FROM (SELECT game_id, eventnum, local AS puntos_local, visitante AS puntos_visitante,
+        CAST(sum(local) OVER (PARTITION BY game_id ORDER BY eventnum ROWS UNBOUNDED PRECEDING) AS BIGINT) AS marcador_local,
+        CAST(sum(visitante) OVER (PARTITION BY game_id ORDER BY eventnum ROWS UNBOUNDED PRECEDING) AS BIGINT)
+          AS marcador_visitante
+      FROM rs_pts)""", [
+    ("rs_pts", f"""SELECT game_id, eventnum, CAST(sum({_points('lower(homedescription)')}) AS BIGINT) AS local,
+  CAST(sum({_points('lower(visitordescription)')}) AS BIGINT) AS visitante FROM plays GROUP BY game_id, eventnum"""),
+])
+ORACLE["rebound_split"] = _plays("stream", """SELECT game_id, player1_name AS jugador, count(*) AS rebotes,
+  coalesce(max(TRY_CAST(regexp_extract(descripcion, 'off:(\\d+)', 1) AS INTEGER)), 0) AS rebotes_ofensivos,
+  coalesce(max(TRY_CAST(regexp_extract(descripcion, 'def:(\\d+)', 1) AS INTEGER)), 0) AS rebotes_defensivos
+FROM stream WHERE contains(descripcion, 'rebound') AND player1_name <> '' GROUP BY game_id, player1_name""")
+ORACLE["team_game"] = oracle_with(["plays"], f"""SELECT game_id, equipo, count(*) AS jugadas,
+  CAST(sum({_points('d')}) AS BIGINT) AS puntos,
+  CAST(sum(CASE WHEN contains(d, 'miss') THEN 1 ELSE 0 END) AS BIGINT) AS tiros_fallidos
+FROM (SELECT game_id, equipo, lower(d) AS d FROM (
+        SELECT game_id, equipo, jugador, homedescription AS d FROM tg_slots
+        UNION ALL SELECT game_id, equipo, jugador, visitordescription FROM tg_slots)
+      WHERE lower(trim(jugador)) <> '' AND d IS NOT NULL)
+GROUP BY game_id, equipo""", [
+    ("tg_slots", " UNION ALL ".join(
+        f"SELECT game_id, concat_ws(' ', player{i}_team_city, player{i}_team_nickname) AS equipo, "
+        f"player{i}_name AS jugador, homedescription, visitordescription FROM plays" for i in (1, 2, 3))),
+])
+ORACLE["extra_fouls"] = _plays("parts", """SELECT game_id, jugador,
+  CAST(sum(CASE WHEN contains(descripcion, 't.foul') OR contains(descripcion, 'technical') THEN 1 ELSE 0 END) AS BIGINT)
+    AS Faltas_Tecnicas,
+  CAST(sum(CASE WHEN contains(descripcion, 'flagrant') THEN 1 ELSE 0 END) AS BIGINT) AS Faltas_Flagrantes,
+  CAST(sum(CASE WHEN contains(descripcion, 'off.foul') THEN 1 ELSE 0 END) AS BIGINT) AS Faltas_Ofensivas_Off,
+  CAST(sum(CASE WHEN contains(descripcion, 'bad pass') AND contains(descripcion, 'turnover') THEN 1 ELSE 0 END)
+    AS BIGINT) AS Robos_Fallidos
+FROM parts WHERE jugador <> '' GROUP BY game_id, jugador""")
+ORACLE["play_type_counts"] = _plays("stream", """SELECT CASE
+  WHEN contains(descripcion, 'jump ball') THEN 'salto' WHEN contains(descripcion, 'free throw') THEN 'tiro_libre'
+  WHEN contains(descripcion, '3pt') OR contains(descripcion, 'shot') OR contains(descripcion, 'layup')
+       OR contains(descripcion, 'dunk') THEN 'tiro'
+  WHEN contains(descripcion, 'rebound') THEN 'rebote' WHEN contains(descripcion, 'steal') THEN 'robo'
+  WHEN contains(descripcion, 'block') THEN 'bloqueo' WHEN contains(descripcion, 'turnover') THEN 'perdida'
+  WHEN contains(descripcion, 'foul') THEN 'falta' WHEN contains(descripcion, 'sub:') THEN 'cambio'
+  WHEN contains(descripcion, 'timeout') THEN 'tiempo_muerto' ELSE 'otra' END AS tipo, count(*) AS jugadas
+FROM stream GROUP BY 1""")

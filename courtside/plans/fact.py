@@ -123,12 +123,17 @@ def _contract(df: DataFrame) -> DataFrame:
                      F.coalesce(F.col(RATIO), F.lit(0.0)).cast("double").alias(RATIO))
 
 
-def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
-    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink)."""
+def fact_pre(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
+    """Measures with player and game keys, before the game numbering."""
     measures = game_player_measures(plays)
     names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
     m = lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
-    pre = materialize(m.join(game_keys(header), "game_id", "inner"), "fact-pre")
+    return m.join(game_keys(header), "game_id", "inner")
+
+
+def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
+    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink)."""
+    pre = materialize(fact_pre(plays, header, player), "fact-pre")
     return _contract(dense_rank_ids(pre, ["game_id"], "idPartido"))
 
 
