@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source jobs are batch only (no stream source, watermark, window state
+or late data), so there is no streaming operator to rebuild.  The batch
+builders are pure functions of DataFrames; an incremental deployment can
+call them from ``foreachBatch`` on new play files without new operators.
+"""
