@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.operators.lookup import checked_broadcast
+from courtside.operators.materialize import materialize
 
 RUN_PATTERN = r"\w+|\W+"
 
@@ -62,12 +63,29 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
     it is one aggregated number.
     """
     entries = dictionary.select("entry").where(F.col("entry").isNotNull() & (F.col("entry") != "")).distinct()
-    entries = entries.select("entry", F.size(runs(F.col("entry"))).alias("k"))
-    kmax = entries.agg(F.max("k")).first()[0] or 0
+    # Small, read three times (summary, size check, join): materialized once.
+    entries = materialize(entries.select("entry", F.size(runs(F.col("entry"))).alias("k")), "dictionary")
+    # Three numbers about the dictionary: longest entry (in runs) and
+    # whether any entry starts / ends with a non-word character.
+    summary = entries.agg(F.max("k"), F.max(F.when(~F.col("entry").rlike(r"^\w"), 1).otherwise(0)),
+                          F.max(F.when(~F.col("entry").rlike(r"\w$"), 1).otherwise(0))).first()
+    kmax, odd_start, odd_end = (summary[0] or 0), bool(summary[1]), bool(summary[2])
     t = texts.select(text_col, runs(F.col(text_col)).alias("_runs"))
     if kmax == 0:
         return texts.withColumn(out_col, F.col(text_col))
     n = F.size("_runs")
+    # Runs alternate word / non-word: when every entry starts and ends with
+    # a word character, matches start on word runs and span an odd number
+    # of runs, so other n-grams are not generated.
+    word_first = F.col("_runs")[0].rlike(r"^\w")
+    ks = [k for k in range(1, kmax + 1) if odd_start or odd_end or k % 2 == 1]
+
+    def starts(k: int):
+        every = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
+        if odd_start or odd_end:
+            return every
+        first = F.when(word_first, F.lit(0)).otherwise(F.lit(1))
+        return F.when(n - k >= first, F.sequence(first, n - k, F.lit(2))).otherwise(F.array().cast("array<int>"))
 
     def gram_at(k: int):
         # one-argument lambda: a second parameter would receive the element index
@@ -76,27 +94,26 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
 
     grams = t.select(
         text_col, n.alias("_n"),
-        F.explode(F.flatten(F.array(*[
-            F.transform(F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>")),
-                        gram_at(k))
-            for k in range(1, kmax + 1)]))).alias("_g"))
-    word = r"^\w"
-    hits = (grams.join(checked_broadcast(entries.select(F.col("entry").alias("_e"))), F.col("_g.g") == F.col("_e"))
-            .where((F.col("_e").rlike(word) | (F.col("_g.p") > 0))
-                   & (F.col("_e").rlike(r"\w$") | (F.col("_g.p") + F.col("_g.k") < F.col("_n"))))
-            .groupBy(text_col).agg(F.array_sort(F.collect_set(F.struct(
-                F.col("_g.p").alias("p"), (-F.col("_g.k")).alias("negk")))).alias("_m")))
-    joined = t.join(hits, text_col, "left")
+        F.explode_outer(F.flatten(F.array(*[F.transform(starts(k), gram_at(k)) for k in ks]))).alias("_g"))
+    ok = ((F.col("_e").rlike(r"^\w") | (F.col("_g.p") > 0))
+          & (F.col("_e").rlike(r"\w$") | (F.col("_g.p") + F.col("_g.k") < F.col("_n"))))
+    # Left join keeps texts without matches; the texts arrive partitioned by
+    # text (they are distinct), so regrouping them needs no shuffle.
+    found = (grams.join(checked_broadcast(entries.select(F.col("entry").alias("_e"))),
+                        F.col("_g.g") == F.col("_e"), "left")
+             .groupBy(text_col).agg(F.array_sort(F.collect_list(F.when(F.col("_e").isNotNull() & ok, F.struct(
+                 F.col("_g.p").alias("p"), (-F.col("_g.k")).alias("negk"))))).alias("_m")))
     # Leftmost, then longest, non-overlapping matches.
     init = F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("drop"))
     chosen = F.aggregate(
-        F.coalesce(F.col("_m"), F.array().cast("array<struct<p:int,negk:int>>")), init,
+        F.col("_m"), init,
         lambda acc, m: F.when(m["p"] >= acc["end"], F.struct(
             (m["p"] - m["negk"]).alias("end"),
             F.concat(acc["drop"], F.sequence(m["p"], m["p"] - m["negk"] - 1)).alias("drop")))
         .otherwise(acc))
-    kept = F.filter(F.col("_runs"), lambda r, i: ~F.array_contains(chosen["drop"], i))
-    return joined.select(text_col, F.array_join(kept, "").alias(out_col))
+    picked = found.select(text_col, chosen["drop"].alias("_drop"))
+    kept = F.filter(runs(F.col(text_col)), lambda r, i: ~F.array_contains(F.col("_drop"), i))
+    return picked.select(text_col, F.array_join(kept, "").alias(out_col))
 
 
 def tidy(c: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from courtside.functions import cleaning as C
 from courtside.operators.keys import number_rows
 from courtside.operators.lookup import checked_broadcast
+from courtside.operators.materialize import materialize
 from courtside.operators.unpivot import stack_columns, unpivot_groups
 
 
@@ -50,8 +51,12 @@ def play_types(plays: DataFrame) -> DataFrame:
     original; ids in cleaned-text order.
     """
     s = slot_names(plays)
-    frags = C.fragments(s.select("nombre"))
-    nicks = s.select(F.col("equipo").alias("entry")).where(F.col("entry").isNotNull()).distinct()
+    # Distinct name fragments and nicknames: small, read several times.
+    vocab = materialize(C.fragments(s.select("nombre")).select(F.lit(0).alias("kind"), "entry").unionByName(
+        s.select(F.lit(1).alias("kind"), F.col("equipo").alias("entry")).where(F.col("entry").isNotNull()).distinct()),
+        "vocabulary")
+    frags = vocab.where(F.col("kind") == 0).select("entry")
+    nicks = vocab.where(F.col("kind") == 1).select("entry")
     dictionary = frags.unionByName(nicks).unionByName(nicks.select(F.upper("entry").alias("entry"))).distinct()
 
     descs = unpivot_groups(plays.where(F.col("player1_name").isNotNull()), [],

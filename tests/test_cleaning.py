@@ -12,11 +12,15 @@ def _brute(text, entries):
     return pat.sub("", text)
 
 
-def test_remove_entries_matches_regex_scan(spark):
+import pytest
+
+
+@pytest.mark.parametrize("extra", [[], ["Jr.", ".Net"]])
+def test_remove_entries_matches_regex_scan(spark, extra):
     rnd = random.Random(7)
-    words = ["Smith", "O'Neal", "Jr.", "Trail Blazers", "Ball", "Al", "Allen", "J.J.", "000042", "Van Horn"]
-    entries = ["Smith", "O'Neal", "Ball", "Al", "Allen", "Trail Blazers", "000042", "Van", "Horn", "J.J"]
-    filler = ["MISS", "3PT", "Jump", "Shot", "(2 PTS)", "vs.", ":", "-", "BLOCK", "Layup", "'s", "Ball's"]
+    words = ["Smith", "O'Neal", "Jr.", "Trail Blazers", "Ball", "Al", "Allen", "J.J.", "000042", "Van Horn", ".Net"]
+    entries = ["Smith", "O'Neal", "Ball", "Al", "Allen", "Trail Blazers", "000042", "Van", "Horn", "J.J"] + extra
+    filler = ["MISS", "3PT", "Jump", "Shot", "(2 PTS)", "vs.", ":", "-", "BLOCK", "Layup", "'s", "Ball's", "Jr.X"]
     texts = set()
     for _ in range(300):
         toks = [rnd.choice(words + filler) for _ in range(rnd.randint(1, 9))]
