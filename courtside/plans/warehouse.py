@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,17 @@ class Warehouse:
         return dims.player_dim(self.src("plays"), self.src("player_info"), self.src("player_profile"),
                                self.src("inactive_players"), self.src("draft_combine"))
 
+    def prepare(self, names=("referee", "league", "team", "venue", "player"), threads: int = 5) -> None:
+        """Build independent dimensions concurrently (their jobs overlap on the cluster)."""
+        todo = [n for n in names if n not in self.__dict__]
+        if len(todo) <= 1 or threads <= 1:
+            for n in todo:
+                getattr(self, n)
+            return
+        with ThreadPoolExecutor(max_workers=min(threads, len(todo))) as pool:
+            for f in [pool.submit(getattr, self, n) for n in todo]:
+                f.result()
+
     # fact --------------------------------------------------------------------
     @cached_property
     def header(self) -> DataFrame:
@@ -67,6 +79,7 @@ class Warehouse:
 
     @cached_property
     def partido(self) -> DataFrame:
+        self.prepare()
         return fact.fact_partido(self.src("plays"), self.header, self.player)
 
     def tables(self) -> dict[str, DataFrame]:
