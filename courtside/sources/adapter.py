@@ -251,6 +251,9 @@ GROWING_TABLES = {
 }
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def ensure_parallelism(df: DataFrame, keys=()) -> DataFrame:
     """Spread a scan over at least ``spark.default.parallelism`` tasks.
 
@@ -264,6 +267,11 @@ def ensure_parallelism(df: DataFrame, keys=()) -> DataFrame:
     have = df.rdd.getNumPartitions()
     if have >= want:
         return df
+    # Small inputs (below SPREAD_MIN_BYTES on disk) are cheaper in one task,
+    # and they are usually broadcast anyway.
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < SPREAD_MIN_BYTES:
+        return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
