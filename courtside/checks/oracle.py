@@ -114,8 +114,10 @@ LEAGUE = [
                "FROM games)"),
 ]
 CALENDAR = [
-    ("cal_days", "SELECT range AS i, CAST(DATE '1946-01-01' + CAST(range AS INTEGER) AS DATE) AS f "
-                 "FROM range(0, 28489)"),
+    ("cal_span", "SELECT least(DATE '1946-01-01', min(d)) AS d0, greatest(DATE '2023-12-31', max(d)) AS d1 FROM "
+                 "(SELECT CAST(try_strptime(game_date, '%Y-%m-%d %H:%M:%S') AS DATE) AS d FROM games)"),
+    ("cal_days", "SELECT range AS i, CAST(d0 + CAST(range AS INTEGER) AS DATE) AS f "
+                 "FROM cal_span, range(0, (SELECT d1 - d0 + 1 FROM cal_span))"),
     ("calendar", """SELECT i + 1 AS idFecha,
   concat_ws('-', CAST(CASE WHEN month(f) >= 10 THEN year(f) ELSE year(f) - 1 END AS VARCHAR),
                  CAST(CASE WHEN month(f) >= 10 THEN year(f) ELSE year(f) - 1 END + 1 AS VARCHAR)) AS temporada,

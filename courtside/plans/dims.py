@@ -24,10 +24,6 @@ CALENDAR_END = "2023-12-31"
 ACTIVE_YEAR = 2019
 
 
-def _strings(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-
-
 # -- referee ------------------------------------------------------------------
 
 def referee_dim(officials: DataFrame) -> DataFrame:
@@ -53,13 +49,21 @@ def season_label(year: F.Column, month: F.Column) -> F.Column:
     return F.concat_ws("-", start.cast("string"), (start + 1).cast("string"))
 
 
-def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
+def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END,
+                 games: DataFrame | None = None, date_col: str = "game_date",
+                 date_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """(idFecha, temporada, dia, mes, ano): one row per day, id 1.. in date order.
 
-    ``spark.range`` already yields the days in order, so the id is the
-    range position; no sort or window is needed.
+    The span is [start, end], widened to every parseable game date when
+    ``games`` is given (one aggregated pair of dates), so no game falls
+    outside the calendar.  ``spark.range`` yields the days in order, so the
+    id is the range position; no sort or window is needed.
     """
     d0, d1 = (_dt.date.fromisoformat(x) for x in (start, end))
+    if games is not None:
+        ts = F.to_date(F.try_to_timestamp(F.col(date_col), F.lit(date_format)))
+        lo, hi = games.agg(F.min(ts), F.max(ts)).first()
+        d0, d1 = min(d0, lo or d0), max(d1, hi or d1)
     days = spark.range(0, (d1 - d0).days + 1)
     fecha = F.date_add(F.lit(d0), F.col("id").cast("int"))
     dated = days.select((F.col("id") + 1).alias("idFecha"), fecha.alias("fecha"))

@@ -44,7 +44,7 @@ class Warehouse:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return dims.calendar_dim(self.spark)
+        return dims.calendar_dim(self.spark, games=self.src("games"))
 
     @cached_property
     def venue(self) -> DataFrame:
