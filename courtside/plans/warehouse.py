@@ -74,6 +74,7 @@ class Warehouse:
     # fact --------------------------------------------------------------------
     @cached_property
     def header(self) -> DataFrame:
+        self.prepare(("referee", "league", "team", "venue"))
         return fact.game_header(self.src("games"), self.src("officials"), self.referee, self.league,
                                 self.calendar, self.team, self.venue)
 

@@ -47,3 +47,17 @@ def test_running_sum_chunks_match_window(spark):
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("g", "o", "v", F.sum("v").over(w).alias("acum_v"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_fact_independent_of_shuffle_partitions(spark, sf_small):
+    import __spark_entry__ as E
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(sorted(tuple(r) for r in E.queries()["fact_partido"](spark, sf_small).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] and len(results[0]) > 0
