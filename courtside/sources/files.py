@@ -46,7 +46,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def create_contract_tables(spark: SparkSession, database: str, location: str | None = None,
                            tables: Sequence[str] | None = None) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    db_loc = f" LOCATION '{location.rstrip('/')}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     for t in tables or CONTRACT_DDL:
         loc = f" LOCATION '{location.rstrip('/')}/{t}'" if location else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{t} ({CONTRACT_DDL[t]}) USING PARQUET{loc}")
