@@ -39,16 +39,21 @@ def desc_nulls_last(c: ColumnLike) -> list[Column]:
     return [c.isNull(), -c]
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = ()) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (), collapse: bool = False) -> DataFrame:
     """One row per ``keys``: the first by ``order`` (ascending, NULL first),
     ties broken by every remaining column, so the result is deterministic.
 
-    NULL keys form one group, like ``dropDuplicates``.
+    NULL keys form one group, like ``dropDuplicates``.  ``collapse`` first
+    removes identical rows with a hash aggregation (map-side combined): worth
+    it when rows repeat heavily (e.g. one row per play slot), since the
+    struct minimum itself is a sort-based aggregation.
     """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
+    if collapse:
+        df = df.distinct()
     ordering = [_col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     best = F.min(F.struct(*ordering, *[F.col(c) for c in payload])).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])

@@ -102,7 +102,7 @@ def venue_dim(teams: DataFrame, details: DataFrame, team_list: DataFrame) -> Dat
 def latest_year(history: DataFrame) -> DataFrame:
     """Top-1 per team: the latest (numeric) year_active_till, as an aggregation."""
     h = history.select("team_id", to_number("year_active_till").alias("year"))
-    return dedupe(h, ["team_id"], order=desc_nulls_last("year"))
+    return dedupe(h, ["team_id"], order=desc_nulls_last("year"), collapse=True)
 
 
 def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, ina
     are taken from the first source that has them; metric conversions and
     buckets; position label.
     """
-    ids = dedupe(player_slots(plays), ["player_id"])
+    ids = dedupe(player_slots(plays), ["player_id"], collapse=True)
     info = dedupe(player_info.select(F.col("id").alias("player_id"), F.col("full_name").alias("nombre_1"),
                                      F.col("is_active").alias("is_active_1")), ["player_id"])
     gone = dedupe(inactive.select("player_id", full_name("first_name", "last_name").alias("nombre_3"),

@@ -53,7 +53,7 @@ def roster(plays: DataFrame) -> DataFrame:
     rows = unpivot_groups(plays, ["game_id"], groups)
     rows = rows.select("game_id", norm_key("jugador").alias("jugador"),
                        full_name("city", "nick").alias("nombre_equipo"))
-    return dedupe(rows, ["game_id", "jugador"])
+    return dedupe(rows, ["game_id", "jugador"], collapse=True)
 
 
 # -- game header ----------------------------------------------------------------
