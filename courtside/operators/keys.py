@@ -8,7 +8,7 @@ data: rows are range-partitioned and sorted, the partitioned frame is
 written with each row's (partition, position) to a Parquet table under
 ``spark.checkpoint.dir`` so both passes agree, and each row gets
 ``offset(partition) + position``.  Only the per-partition counts (one
-number per partition) reach the driver, as the offset map.
+number per partition) pass through the driver, as a broadcast offset table.
 """
 
 from __future__ import annotations
@@ -73,21 +73,25 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
     checkpoint folder, so the count pass and the numbering pass agree
     whatever the file splits are on reading.
     """
-    n = partitions or _partitions(df)
     mid = F.monotonically_increasing_id()
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE sizes the range partitions (it merges
+    # adjacent ranges, so order is kept); tiny inputs do not fan out.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = (ranged.sortWithinPartitions(*order)
               .select("*", F.shiftright(mid, 33).alias("_pid"),
                       (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos")))
     numbered = materialize(ranged, f"rows-{id_col}")
     # One count per partition (bounded by the partition count, not the data)
-    # becomes a literal offset map: consumers read a plain Parquet projection.
+    # goes through the driver to become a small broadcast offset table.
     counts = sorted((r[0], r[1]) for r in numbered.groupBy("_pid").agg(F.count(F.lit(1))).collect())
     offsets, acc = [], 0
     for pid, cnt in counts:
-        offsets += [F.lit(pid), F.lit(acc)]
+        offsets.append((pid, acc))
         acc += cnt
-    off = F.element_at(F.create_map(*offsets), F.col("_pid")) if offsets else F.lit(0)
-    return numbered.select(*df.columns, (off + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
+    spark = df.sparkSession
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid bigint, _off bigint")
+    out = numbered.join(F.broadcast(off), "_pid")
+    return out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
 
 
 def dense_rank_ids(df: DataFrame, keys: Sequence[str], id_col: str, lookup_rows: int | None = None) -> DataFrame:

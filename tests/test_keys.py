@@ -36,3 +36,15 @@ def test_dense_rank_ids_repeated_keys(spark):
     df = spark.createDataFrame([(10, 1), (10, 2), (3, 1), (7, 5), (3, 9)], "g int, v int")
     got = sorted((r["g"], r["gid"]) for r in dense_rank_ids(df, ["g"], "gid").collect())
     assert got == [(3, 1), (3, 1), (7, 2), (10, 3), (10, 3)]
+
+
+def test_number_rows_with_aqe_sized_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"))
+        ids = number_rows(df, ["k"], "rid").collect()
+        assert sorted(r["rid"] for r in ids) == list(range(1, 5001))
+        assert all(r["rid"] == r["k"] + 1 for r in ids)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
