@@ -254,23 +254,28 @@ GROWING_TABLES = {
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def _bytes(text: str) -> int:
+    """'134217728b', '128m', '1g' -> bytes."""
+    t = str(text).strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    return int(float(t[:-1] if scale > 1 else t) * scale)
+
+
 def ensure_parallelism(df: DataFrame, keys=()) -> DataFrame:
     """Spread a scan over at least ``spark.default.parallelism`` tasks.
 
-    A file written as one row group is read by one task; large inputs on a
-    cluster come in many files/row groups and pass through unchanged (no
-    shuffle).  Only the split count is inspected, no job runs.  Rows are
-    hash-partitioned on the table key (deterministic, no pre-sort as a
-    round-robin repartition would need).
+    A file written as one row group is read by one task.  Inputs that are
+    tiny (< SPREAD_MIN_BYTES), already span enough files, or are large
+    enough to hold many row groups (>= maxPartitionBytes per core) pass
+    through unchanged, as they do on a cluster: no shuffle.  Only file
+    statistics are consulted, no job runs.  Rows are hash-partitioned on the
+    table key (deterministic, no pre-sort as a round-robin repartition needs).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    # Small inputs (below SPREAD_MIN_BYTES on disk) are cheaper in one task,
-    # and they are usually broadcast anyway.
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < SPREAD_MIN_BYTES:
+    per_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if size < SPREAD_MIN_BYTES or size >= per_split * want or len(df.inputFiles()) >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
