@@ -34,8 +34,3 @@ def season_type(c) -> Column:
 def to_number(c) -> Column:
     """ANSI-safe numeric reading of text ('18422.0', 'Desconocido', '')."""
     return _c(c).try_cast("double")
-
-
-def fill_unknown(df, cols=None):
-    """NULL strings -> 'Desconocido' (string columns only, like ``fillna``)."""
-    return df.fillna(UNKNOWN, subset=cols)

@@ -59,10 +59,6 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (),
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1,
                 partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order`` (ascending, NULL first).
