@@ -63,15 +63,17 @@ def main(argv=None) -> None:
     ap.add_argument("--database", default="mydb")
     ap.add_argument("--location")
     ap.add_argument("--partition-fact", action="store_true")
+    ap.add_argument("--league-alias-dimension-only", action="store_true",
+                    help="fold the all-star alias on the league side only, as the source jobs did")
     args = ap.parse_args(argv)
 
     from courtside.session import get_spark
 
     spark = get_spark()
     if args.sf_dir:
-        wh = Warehouse(spark, args.sf_dir)
+        wh = Warehouse(spark, args.sf_dir, fold_game_alias=not args.league_alias_dimension_only)
     else:
-        wh = Warehouse.from_frames(spark, **read_exports(spark, args.exports))
+        wh = Warehouse.from_frames(spark, not args.league_alias_dimension_only, **read_exports(spark, args.exports))
     report = build_and_store(spark, wh, args.database, args.location, args.partition_fact)
     for k, v in report.items():
         print(f"{k}\t{v}")

@@ -17,14 +17,18 @@ from courtside.sources.adapter import Sources
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str | None = None, frames: dict | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, frames: dict | None = None,
+                 fold_game_alias: bool = True):
+        """``fold_game_alias=False`` keeps the source jobs' behaviour of folding the
+        all-star alias on the league side only (such games get no league key)."""
         self.spark = spark
+        self.fold_game_alias = fold_game_alias
         self._src = Sources(spark, sf_dir) if sf_dir else None
         self._frames = dict(frames or {})
 
     @classmethod
-    def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Warehouse":
-        return cls(spark, None, frames)
+    def from_frames(cls, spark: SparkSession, fold_game_alias: bool = True, **frames: DataFrame) -> "Warehouse":
+        return cls(spark, None, frames, fold_game_alias)
 
     def src(self, name: str) -> DataFrame:
         if name in self._frames:
@@ -76,7 +80,7 @@ class Warehouse:
     def header(self) -> DataFrame:
         self.prepare(("referee", "league", "team", "venue"))
         return fact.game_header(self.src("games"), self.src("officials"), self.referee, self.league,
-                                self.calendar, self.team, self.venue)
+                                self.calendar, self.team, self.venue, fold_game_alias=self.fold_game_alias)
 
     @cached_property
     def partido(self) -> DataFrame:

@@ -81,3 +81,11 @@ def test_build_from_exports(spark, exports):
     # 3 for the triple + 2 because the jump-ball text names "Carroll" and 'roll'
     # counts as a made two for every participant (source behaviour, kept)
     assert morris["Puntos_Totales"] == 5 and morris["Saques_Fallidos"] == 1
+
+
+def test_league_alias_source_behaviour(spark, exports):
+    frames = read_exports(spark, exports)
+    folded = Warehouse.from_frames(spark, **frames).partido.select("idLiga").distinct().collect()
+    source = Warehouse.from_frames(spark, False, **frames).partido.select("idLiga").distinct().collect()
+    assert [r[0] for r in folded] != [None]          # 'All Star' game finds 'All-Star'
+    assert [r[0] for r in source] == [None]          # source behaviour: no league key
