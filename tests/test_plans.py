@@ -61,3 +61,25 @@ def test_fact_independent_of_shuffle_partitions(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] and len(results[0]) > 0
+
+
+def test_shuffle_join_fallback_gives_same_results(spark, sf_small):
+    """With a tiny broadcast bound every lookup and the dictionary join take
+    the sort-merge path (as with dimensions too large to broadcast)."""
+    import __spark_entry__ as E
+
+    def run(name):
+        return sorted(tuple(r) for r in E.queries()[name](spark, sf_small).collect())
+
+    base = {n: run(n) for n in ("fact_partido", "play_types")}
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("courtside.broadcast.maxRows", "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n, rows in base.items():
+            assert run(n) == rows, n
+        plan = E.queries()["fact_partido"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    finally:
+        spark.conf.unset("courtside.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
