@@ -48,3 +48,29 @@ def test_number_rows_with_aqe_sized_partitions(spark):
         assert all(r["rid"] == r["k"] + 1 for r in ids)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dedupe_matches_brute_force_property(spark):
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)),
+                                 st.one_of(st.none(), st.sampled_from(["a", "b", "B", " a"])),
+                                 st.one_of(st.none(), st.integers(-3, 3))), min_size=1, max_size=25)
+
+    def key(v):  # Spark's ascending order with NULL first
+        return (v is not None, v if v is not None else 0) if not isinstance(v, str) else (True, v.encode())
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows_st)
+    def check(rows):
+        df = spark.createDataFrame(rows, "k int, s string, v int")
+        got = {r["k"]: (r["s"], r["v"]) for r in dedupe(df, ["k"], order=["v"]).collect()}
+        want = {}
+        for k, s, v in rows:
+            cand = (key(v), (s is not None, (s or "").encode()), key(v))
+            if k not in want or cand < want[k][0]:
+                want[k] = (cand, (s, v))
+        assert got == {k: w[1] for k, w in want.items()}
+
+    check()
