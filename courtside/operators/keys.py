@@ -87,7 +87,10 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
     spark = df.sparkSession
     off = spark.createDataFrame(offsets or [(0, 0)], "_pid bigint, _off bigint")
     out = numbered.join(F.broadcast(off), "_pid")
-    return out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
+    ided = out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
+    # Written once more: consumers read a plain Parquet scan whose file
+    # statistics are exact enough for broadcast decisions.
+    return materialize(ided, f"ids-{id_col}")
 
 
 def dense_rank_ids(df: DataFrame, keys: Sequence[str], id_col: str, lookup_rows: int | None = None) -> DataFrame:

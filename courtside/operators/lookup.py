@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 # Default row bound for broadcasting a lookup side; override with the
 # session setting ``courtside.broadcast.maxRows``.
 BROADCAST_MAX_ROWS = 1_000_000
+# Size estimate above which no count is attempted (``courtside.broadcast.maxBytes``).
+BROADCAST_MAX_BYTES = 512 << 20
 
 
 def broadcast_bound(df: DataFrame) -> int:
@@ -30,13 +32,25 @@ def broadcast_bound(df: DataFrame) -> int:
 _CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate (file size for scans; an upper bound above joins/aggregates)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded count (stops after ``max_rows + 1`` rows), memoised per frame."""
+    """Proof that ``df`` has at most ``max_rows`` rows, memoised per frame.
+
+    Inputs whose estimate already exceeds ``courtside.broadcast.maxBytes`` are
+    answered "no" without a job (a bounded count would still make every
+    partition read up to ``max_rows`` rows).  Otherwise a bounded count
+    decides: ``limit(max_rows + 1).count()``.
+    """
     key = (id(df), max_rows)
     hit = _CHECKED.get(key)
     if hit is not None and hit[0] is df:
         return hit[1]
-    verdict = df.limit(max_rows + 1).count() <= max_rows
+    max_bytes = int(df.sparkSession.conf.get("courtside.broadcast.maxBytes", str(BROADCAST_MAX_BYTES)))
+    verdict = estimated_bytes(df) <= max_bytes and df.limit(max_rows + 1).count() <= max_rows
     if len(_CHECKED) > 512:
         _CHECKED.clear()
     _CHECKED[key] = (df, verdict)

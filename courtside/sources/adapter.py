@@ -21,7 +21,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.operators.lookup import checked_broadcast
+from pyspark.sql import functions as F
+
+from courtside.operators.lookup import broadcast_bound, has_at_most
 from courtside.sources.schemas import driver_schema
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -221,8 +223,9 @@ FROM {{part}} p WHERE p.p_size > 10""",
 }
 
 
-# Sources joined by key into larger ones; broadcast only below a proven row bound.
-LOOKUP_SOURCES = ("player_directory",)
+# Sources joined by key into larger ones -> the table bounding their row
+# count (joins to unique keys only); broadcast only below a proven bound.
+LOOKUP_SOURCES = {"player_directory": "supplier"}
 
 
 def _order(names) -> list[str]:
@@ -297,7 +300,10 @@ def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = Non
         args = {d: source(spark, sf_dir, d, memo) for d in deps}
         for d in deps:
             if d in LOOKUP_SOURCES:
-                args[d] = checked_broadcast(args[d])
+                # The row bound is proven on the table that bounds the source.
+                bound_by = source(spark, sf_dir, LOOKUP_SOURCES[d], memo)
+                if has_at_most(bound_by, broadcast_bound(bound_by)):
+                    args[d] = F.broadcast(args[d])
         df = spark.sql(text, **args)
     memo[name] = df
     return df
