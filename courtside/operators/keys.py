@@ -22,6 +22,9 @@ from courtside.operators.materialize import materialize
 
 ColumnLike = str | Column
 
+# Up to this many partitions the per-partition offsets become a literal map.
+MAP_OFFSETS_MAX = 512
+
 
 def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -84,12 +87,18 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
     for pid, cnt in counts:
         offsets.append((pid, acc))
         acc += cnt
+    if len(offsets) <= MAP_OFFSETS_MAX:
+        # A literal map keeps the result a projection of the Parquet scan, so
+        # its size estimate stays the file size (used by broadcast checks).
+        pairs = [F.lit(x) for pid, o in offsets for x in (pid, o)]
+        off = F.element_at(F.create_map(*pairs), F.col("_pid")) if pairs else F.lit(0)
+        return numbered.select(*df.columns, (off + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
     spark = df.sparkSession
-    off = spark.createDataFrame(offsets or [(0, 0)], "_pid bigint, _off bigint")
-    out = numbered.join(F.broadcast(off), "_pid")
+    table = spark.createDataFrame(offsets, "_pid bigint, _off bigint")
+    out = numbered.join(F.broadcast(table), "_pid")
     ided = out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
-    # Written once more: consumers read a plain Parquet scan whose file
-    # statistics are exact enough for broadcast decisions.
+    # Many partitions: written once more so consumers read a plain Parquet
+    # scan (exact file statistics, no repeated offset join).
     return materialize(ided, f"ids-{id_col}")
 
 

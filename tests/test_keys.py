@@ -74,3 +74,13 @@ def test_dedupe_matches_brute_force_property(spark):
         assert got == {k: w[1] for k, w in want.items()}
 
     check()
+
+
+def test_number_rows_offset_table_path(spark, monkeypatch):
+    import courtside.operators.keys as K
+
+    monkeypatch.setattr(K, "MAP_OFFSETS_MAX", 1)
+    df = spark.range(0, 300).select(((F.col("id") * 17) % 300).alias("k"))
+    ids = K.number_rows(df, ["k"], "rid", partitions=6).collect()
+    assert sorted(r["rid"] for r in ids) == list(range(1, 301))
+    assert all(r["rid"] == r["k"] + 1 for r in ids)
