@@ -1,7 +1,7 @@
 """Build every table once and store it under the contracts.
 
-    python -m courtside.plans.runner --sf-dir /root/testdata/sf0.01 --database nba
-    python -m courtside.plans.runner --exports /data/nba_csv --database nba --location /shared/warehouse
+    python -m courtside.plans.runner --sf-dir /root/testdata/sf0.01 --database stats
+    python -m courtside.plans.runner --exports /data/exports --database stats --location /shared/warehouse
 
 Reads the sources (driver tables through the adapter, or the raw CSV
 exports), builds dimensions first and the fact from them, checks keys
