@@ -1,7 +1,8 @@
 """Play classifiers: indicator columns computed from a lower-cased description.
 
-Every predicate is a native Catalyst expression (``contains`` / ``rlike``),
-so all of them run inside one whole-stage-codegen projection.
+Every predicate is a native Catalyst expression (``contains``; the shot-word
+alternation is a disjunction of substring tests, no regex), so all of them
+run inside one whole-stage-codegen projection.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The substrings and the pattern the statistics are mined from.
-SHOT_PATTERN = "layup|dunk|shot|roll"
+# The substrings the statistics are mined from; a two-point
+# attempt mentions any of the shot words.
+SHOT_WORDS = ("layup", "dunk", "shot", "roll")
 JUMP_BALL = "jump ball"
 BLOCK = "block"
 STEAL = "steal"
@@ -25,7 +27,10 @@ def general_predicates(d: Column) -> dict[str, Column]:
 
     Fixed values: output column -> predicate over the lower-cased text.
     """
-    two = d.rlike(SHOT_PATTERN) & ~_has(d, "3pt") & ~_has(d, "turnover")
+    shot = _has(d, SHOT_WORDS[0])
+    for w in SHOT_WORDS[1:]:
+        shot = shot | _has(d, w)
+    two = shot & ~_has(d, "3pt") & ~_has(d, "turnover")
     return {
         "Tiros_Dobles_Exitosos": two & ~_has(d, "miss"),
         "Tiros_Dobles_Fallidos": two & _has(d, "miss"),
