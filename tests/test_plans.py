@@ -83,3 +83,23 @@ def test_shuffle_join_fallback_gives_same_results(spark, sf_small):
     finally:
         spark.conf.unset("courtside.broadcast.maxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_filters_reach_parquet_scan(spark, sf_small):
+    wh = Warehouse(spark, sf_small)
+    plan = _plan(wh.src("player_info"))
+    scan = [ln for ln in plan.splitlines() if "supplier.parquet" in ln][0]
+    assert "PushedFilters: [IsNotNull(s_acctbal), GreaterThan(s_acctbal,500.0)]" in scan
+
+
+def test_csv_landing_is_text_and_pruned(spark, tmp_path):
+    from courtside.sources.files import read_csv_text, write_csv
+
+    df = spark.createDataFrame([(1, "a", 2.5), (2, None, None)], "k int, s string, x double")
+    path = str(tmp_path / "csv")
+    write_csv(df, path)
+    back = read_csv_text(spark, path, ["k", "x"])
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["string", "string"]
+    scan = [ln for ln in _plan(back).splitlines() if "FileScan csv" in ln][0]
+    assert "ReadSchema: struct<k:string,x:string>" in scan
+    assert sorted(tuple(r) for r in back.collect()) == [("1", "2.5"), ("2", None)]
