@@ -89,5 +89,6 @@ class Warehouse:
 
     def tables(self) -> dict[str, DataFrame]:
         """All output tables by contract name."""
+        self.prepare()
         return {"equipo": self.team, "arbitro": self.referee, "liga": self.league, "fecha": self.calendar,
                 "ubicacion": self.venue, "jugador": self.player, "partido": self.partido}
