@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import html_blocks, packing, pfor, quality, secret_scan, url_filter, vp_search
+from courtside.llm import html_blocks, jaccard_join, packing, pfor, quality, secret_scan, url_filter, vp_search
 from courtside.llm.common import read_table
 
 
@@ -24,6 +24,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.link_documents(read_table(spark, sf_dir, "documents"), 4, 85)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_vp_tree_search, op5_html_extraction, op7_secret_scan, op8_packing, op9_token_files,
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_vp_tree_search, op5_html_extraction, op6_jaccard_join, op7_secret_scan, op8_packing, op9_token_files,
                                    op10_quality_rules)}
-ORACLE = {"op2_url_filter": url_filter.oracle()}
+ORACLE = {"op2_url_filter": url_filter.oracle(), "op6_jaccard_join": jaccard_join.oracle()}
