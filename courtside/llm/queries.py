@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import sys
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import html_blocks, jaccard_join, packing, pfor, quality, secret_scan, url_filter, vp_search
+from courtside.llm import ctw, html_blocks, jaccard_join, packing, pfor, quality, secret_scan, spm_dropout, url_filter, vp_search
 from courtside.llm.common import read_table
 
 
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm_dropout.round_trips(read_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -20,6 +21,10 @@ def op3_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_search.search(read_table(spark, sf_dir, "embeddings"), F.col("_id") % 100 == 0)
 
 
+def op4_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read_table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(read_table(spark, sf_dir, "pages"))
 
@@ -45,6 +50,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_vp_tree_search, op5_html_extraction, op6_jaccard_join, op7_secret_scan, op8_packing, op9_token_files,
+QUERIES = {f.__name__: f for f in (op1_merge_dropout, op2_url_filter, op3_vp_tree_search, op4_context_tree_weighting, op5_html_extraction, op6_jaccard_join, op7_secret_scan, op8_packing, op9_token_files,
                                    op10_quality_rules)}
 ORACLE = {"op2_url_filter": url_filter.oracle(), "op6_jaccard_join": jaccard_join.oracle()}
