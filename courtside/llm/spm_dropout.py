@@ -39,6 +39,7 @@ from courtside.llm.common import batches_of, id_and_bytes, tokenizer_path
 SPACE = "▁"
 _REAL = "\ud800"
 _WORD = re.compile(" *[^ ]+| +")
+_NONE = np.iinfo(np.int64).max
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -61,7 +62,9 @@ class Model:
         for i, p in enumerate(proto.pieces):
             if p.type == 6:
                 self.bytes[int(p.piece[1:-1], 16)] = i
-        self.is_byte = {int(i): b for b, i in enumerate(self.bytes)}
+        self.spelling = [p.replace(SPACE, " ").encode() for p in self.pieces]
+        for b, i in enumerate(self.bytes.tolist()):
+            self.spelling[i] = bytes([b])
         self.char = np.full(0x110000, -1, np.int32)
         for p, i in normal.items():
             if len(p) == 1:
@@ -105,8 +108,8 @@ class Model:
             todo = todo[(at >= 0) & ~hit]  # a free slot ends the search
         return out
 
-    def segment(self, words: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
-        """The ids of each word (spaces as U+2581 already, other U+2581 as byte pieces by the caller)."""
+    def segment(self, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+        """The ids (little-endian, 4 bytes each) of each word (spaces as U+2581 already, other U+2581 as byte pieces by the caller)."""
         if not words:
             return []
         text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -134,8 +137,11 @@ class Model:
                 h = (h ^ (h >> np.uint64(29))) * _K1
                 cand = cand[(h >> np.uint64(11)) >= bar]
             # The best candidate of each word: by rank, then from the left.
-            order = cand[np.lexsort((cand, self.rank[made[cand]], w[cand]))]
-            best = order[np.append(True, w[order][1:] != w[order][:-1])] if len(order) else order
+            value = np.full(len(p), _NONE)
+            value[cand] = self.rank[made[cand]] << 32 | cand
+            heads = np.nonzero(np.append(True, ~same))[0]
+            best = np.minimum.reduceat(value, heads)
+            best = best[best != _NONE] & 0xFFFFFFFF
             ended = np.ones(len(words), bool)
             ended[w[best]] = False
             out = ended[w]
@@ -157,36 +163,35 @@ class Model:
         p, w = p[order], w[order]
         if len(raw):
             p, w = self._spell(p, w)
-        return np.split(p.astype(np.int32), np.searchsorted(w, np.arange(1, len(words))))
+        cuts = (4 * np.searchsorted(w, np.arange(len(words) + 1))).tolist()
+        raw_ids = p.astype("<i4").tobytes()
+        return [raw_ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _spell(self, p: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unknown characters as byte pieces."""
-        spelled = [self.bytes[list((SPACE if -1 - c == ord(_REAL) else chr(-1 - c)).encode())].tolist() if c < 0 else [c] for c in p.tolist()]
-        return np.array([x for s in spelled for x in s]), np.repeat(w, [len(s) for s in spelled])
+        at = np.nonzero(p < 0)[0]
+        chars, which = np.unique(p[at], return_inverse=True)
+        spelled = [self.bytes[list((SPACE if -1 - c == ord(_REAL) else chr(-1 - c)).encode())] for c in chars.tolist()]
+        n = np.ones(len(p), np.int64)
+        n[at] = np.array([len(x) for x in spelled])[which]
+        out, first = np.repeat(p, n), (np.cumsum(n) - n)[at]
+        for k in range(4):
+            more = np.nonzero(n[at] > k)[0]
+            out[first[more] + k] = np.array([x[min(k, len(x) - 1)] for x in spelled])[which[more]]
+        return out, np.repeat(w, n)
 
     def decode(self, ids) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            b = self.is_byte.get(int(i))
-            if b is None:
-                if raw:
-                    out.append(raw.decode())
-                    raw = bytearray()
-                out.append(self.pieces[i].replace(SPACE, " "))
-            else:
-                raw.append(b)
-        out.append(raw.decode())
-        text = "".join(out)
-        return text[1:] if text.startswith(" ") else text
+        text = b"".join(map(self.spelling.__getitem__, ids))
+        return (text[1:] if text[:1] == b" " else text).decode()
 
 
 class Encoder:
     """Texts to ids; the segmentation of (word, variant) pairs is remembered, in bounded number."""
 
-    def __init__(self, model: Model, seed: int, dropout: float, variants: int, limit: int = 400_000):
+    def __init__(self, model: Model, seed: int, dropout: float, variants: int, limit: int = 600_000):
         self.model, self.seed, self.dropout, self.limit = model, seed, dropout, limit
         self.variants = variants if dropout > 0 else 1
-        self.known: list[dict[str, np.ndarray]] = [{} for _ in range(self.variants)]
+        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
     def _key(self, word: str, variant: int) -> int:
         return xxhash.xxh64_intdigest(word.encode(), self.seed * 1_000_003 + variant)
@@ -204,7 +209,7 @@ class Encoder:
             firsts.append(first)
             for r in range(v):
                 missing[(first + r) % v].update(words[r::v])
-        todo = [(w, i) for i, (ws, known) in enumerate(zip(missing, self.known)) for w in sorted(ws - known.keys())]
+        todo = [(w, i) for i, (ws, known) in enumerate(zip(missing, self.known)) for w in ws - known.keys()]
         for lo in range(0, len(todo), 50_000):
             part = todo[lo:lo + 50_000]
             # A surrogate, which no text has, stands for a real U+2581 and is spelled in bytes.
@@ -217,7 +222,7 @@ class Encoder:
             parts: list = [None] * len(words)
             for r in range(v):
                 parts[r::v] = map(self.known[(first + r) % v].__getitem__, words[r::v])
-            out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+            out.append(np.frombuffer(b"".join(parts), "<i4"))
         return out
 
 
@@ -230,7 +235,7 @@ def _model(path: str) -> Model:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 8) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
     """Per row: doc_id and ids (array of int)."""
     path = path or tokenizer_path("piece_bpe_32k.model")
 
@@ -258,7 +263,7 @@ def decode(rows: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path:
     return rows.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{ids_col}` as ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 8) -> DataFrame:
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
     """Per row, from its ids: doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit), n_chars and n_bytes of the decoded text, lossless."""
     path = path or tokenizer_path("piece_bpe_32k.model")
     names = ["doc_id", "n_ids", "ids_crc32", "n_chars", "n_bytes", "lossless"]

@@ -48,7 +48,7 @@ def test_rounds_equal_the_agenda():
     for dropout in (0.0, 0.1, 0.5):
         keys = np.array([12345 + 7 * i for i in range(len(words))], np.uint64)
         got = MODEL.segment(words, keys, dropout)
-        assert [x.tolist() for x in got] == [agenda(w, int(k), dropout) for w, k in zip(words, keys)]
+        assert [np.frombuffer(x, "<i4").tolist() for x in got] == [agenda(w, int(k), dropout) for w, k in zip(words, keys)]
 
 
 @settings(max_examples=60, deadline=None)
