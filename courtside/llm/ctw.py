@@ -29,12 +29,13 @@ Defined results: a null or empty text has only its end.  A null id counts as
 training.  Every row is counted and scored (repeated rows repeat).  Without
 training documents every decision is 1/2 and every count 0; an empty table
 gives an empty result; other columns are ignored.  A chunk is at least one
-text, so memory grows with the longest text (about 40 times its bytes).
+text, so memory grows with the longest text (about 25 times its bytes).
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ from courtside.operators.materialize import materialize
 DEPTH = 5
 END = 255
 END_TOKEN = b"\n"  # no word holds white space
-_TABLE = 1 << 25
+_TABLE = 1 << 27
 _STEP = 4096
 
 _I = np.arange(1, _STEP)
@@ -82,31 +83,44 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(pad + (bytes([END]) + pad).join(texts) + bytes([END]), np.uint8)
     lengths = np.array([len(t) + 1 for t in texts])
     first = np.cumsum(lengths) - lengths
-    at = np.repeat(DEPTH * (np.arange(len(texts)) + 1), lengths) + np.arange(lengths.sum())
-    values, code_of = np.unique(data), np.zeros(256, np.int64)
-    code_of[values] = np.arange(len(values))
-    small, base = code_of[data], len(values)
-    # Grow the gram byte by byte; ranks keep the order of the codes.
-    ranks, codes = small[at - 1], values.astype(np.uint64)
-    present = np.zeros(base, bool)
-    present[ranks] = True
-    codes, ranks = codes[present], (np.cumsum(present) - 1)[ranks]
+    symbol = np.ones(len(data), bool)
+    for i in range(DEPTH):
+        symbol[first + DEPTH * np.arange(len(texts)) + i] = False
+    present = np.bincount(data, minlength=256) > 0
+    values, base = np.nonzero(present)[0], int(present.sum())
+    small = (np.cumsum(present) - 1).astype(np.uint8)[data]
+
+    def earlier(back):
+        return small[DEPTH - back:len(small) - back][symbol[DEPTH:]]
+
+    # Grow the gram byte by byte, the latest context byte first; ranks keep the order of the codes.
+    ranks, codes = earlier(1).astype(np.int32), values.astype(np.uint64)
     for back in [*range(2, DEPTH + 1), 0]:
-        x = ranks * base + small[at - back]
         size = len(codes) * base
-        if size <= _TABLE:
-            seen = np.zeros(size, bool)
-            seen[x] = True
-            kept = np.nonzero(seen)[0]
-            rank = np.zeros(size, np.int32)
-            rank[kept] = np.arange(len(kept), dtype=np.int32)
-            ranks = rank[x].astype(np.int64)
-        else:  # the same ranks by sorting, where a table would be too large
-            kept, ranks = np.unique(x, return_inverse=True)
+        x = ranks.astype(np.int32 if size < 2**31 else np.int64) * base + earlier(back)
+        kept, ranks = _rank(x, size)
         codes = codes[kept // base] << np.uint64(8) | values[kept % base].astype(np.uint64)
     return codes, ranks, first
 
 
+def _rank(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct values of ``x`` (all below ``size``), and the place of each element among them."""
+    if size > _TABLE:  # the same by sorting, where a bitmap would be too large
+        kept, ranks = np.unique(x, return_inverse=True)
+        return kept, ranks.astype(np.int32)
+    seen = np.zeros(-(-size // 64) * 64, bool)
+    seen[x] = True
+    words = np.packbits(seen, bitorder="little").view("<u8")
+    before = np.cumsum(np.bitwise_count(words), dtype=np.int32) - np.bitwise_count(words)
+    ranks = np.empty(len(x), np.int32)
+    for lo in range(0, len(x), 1 << 18):
+        part = x[lo:lo + (1 << 18)]
+        word = part >> 6
+        below = words[word] & ((np.uint64(1) << (part & 63).astype(np.uint64)) - np.uint64(1))
+        ranks[lo:lo + (1 << 18)] = before[word] + np.bitwise_count(below)
+    return np.nonzero(seen)[0], ranks
+
+
 def _slot_of(codes: np.ndarray, slots: int) -> np.ndarray:
     two = codes >> np.uint64(8 * (DEPTH - 1))
     return ((two * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(slots)).astype(np.int64)
@@ -257,11 +271,10 @@ def _ask(rows: DataFrame, slots: int, chunk_bytes: int) -> DataFrame:
                     d = np.diff(codes[mine], prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
                     out.append(("gram", s, chunk, np.ascontiguousarray(d.T).tobytes(), n[mine].astype("<u4").tobytes()))
             words, by_slot = _token_order(texts, slots)
-            total: dict[bytes, int] = {END_TOKEN: int(train.sum())}
+            total = Counter({END_TOKEN: int(train.sum())})
             for w, use in zip(words, train):
                 if use:
-                    for t in w:
-                        total[t] = total.get(t, 0) + 1
+                    total.update(w)
             for s, tokens in enumerate(by_slot):
                 if tokens:
                     out.append(("token", s, chunk, b" ".join(tokens), np.array([total.get(t, 0) for t in tokens], "<u4").tobytes()))
