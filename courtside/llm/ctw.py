@@ -37,6 +37,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -52,7 +53,7 @@ from courtside.operators.materialize import materialize
 DEPTH = 5
 END = 255
 END_TOKEN = b"\n"  # no word holds white space
-_TABLE = 1 << 27
+_TABLE = 1 << 25
 _STEP = 4096
 
 _I = np.arange(1, _STEP)
@@ -343,7 +344,7 @@ def _learn(asked: DataFrame) -> DataFrame:
     return asked.groupBy("kind", "slot").applyInPandas(run, _ANSWERED)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 8 << 20, slots: int | None = None) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, slots: int | None = None) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) and bits_per_byte of the score."""
     ship_package(docs.sparkSession)
     rows = id_and_bytes(docs, id_col, text_col)
@@ -395,24 +396,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk
         order = np.argsort(slot, kind="stable")
         logs = np.concatenate([np.frombuffer(told["gram", s], "<f4") for s in np.unique(slot)])
         words, by_slot = _token_order(texts, n_slots)
-        count: dict[bytes, int] = {}
+        listed, count = [], []
         for s, tokens in enumerate(by_slot):
             if tokens:
-                got = np.frombuffer(told["token", s], "<u4")
-                if len(got) != len(tokens):
-                    raise ValueError("a chunk's tokens differ from those counted: the table changed between two scans")
-                count.update(zip(tokens, got.tolist()))
+                listed += tokens
+                count.append(np.frombuffer(told["token", s], "<u4"))
+        count = np.concatenate(count)
+        if len(count) != len(listed):
+            raise ValueError("a chunk's tokens differ from those counted: the table changed between two scans")
         if len(logs) != len(codes):
             raise ValueError("a chunk's grams differ from those counted: the table changed between two scans")
         value = np.empty(len(codes))
         value[order] = logs
         mine = np.add.reduceat(value[at], first)
-        n_tokens, n_known, base = [], [], []
-        gain = {t: np.log10(c + 1.0) for t, c in count.items()}
-        for w in words:
-            n_tokens.append(len(w) + 1)
-            n_known.append(sum(count[t] > 0 for t in w) + (count[END_TOKEN] > 0))
-            base.append(sum(map(gain.__getitem__, w)) + gain[END_TOKEN] - floor * (len(w) + 1))
+        n_tokens = np.array([len(w) + 1 for w in words])
+        place = dict(zip(listed, range(len(listed))))
+        token = np.fromiter(map(place.__getitem__, chain.from_iterable([*w, END_TOKEN] for w in words)), np.int32, int(n_tokens.sum()))
+        starts = np.cumsum(n_tokens) - n_tokens
+        n_known = np.add.reduceat((count > 0).astype(np.int64)[token], starts)
+        base = np.add.reduceat(np.log10(count + 1.0)[token], starts) - floor * n_tokens
         symbols = np.array([len(t) + 1 for t in texts])
         held = [not is_training(None if no else k) for k, no in zip(left["_key"].tolist(), left["_no_id"].tolist())]
         return pd.DataFrame({"_key": left["_key"].to_numpy(), "_no_id": left["_no_id"].to_numpy(), "held_out": held, "n_tokens": n_tokens, "n_known": n_known,
