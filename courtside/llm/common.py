@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +65,44 @@ def tokenizer(path: str):
         t.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
         _TOKENIZERS[path] = t
     return _TOKENIZERS[path]
+
+
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_LETTER = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
+_MARK = ".,;:!?&%$#*|"
+
+
+class WordCoder:
+    """Token ids as the tokenizers library gives for whole texts, with the ids of words remembered.
+
+    Both public tokenizers used here never merge across white space, nor between a Latin letter and one of
+    ``_MARK``, so a text is cut there and each part is encoded once per worker (in bounded number).  Parts of
+    letters only are encoded many in one call and told apart by the library's word numbers; others one by one.
+    ``spaced``: white space belongs to the tokens (byte-level BPE); else it is dropped and A-Z count as a-z.
+    """
+
+    def __init__(self, path: str, spaced: bool, limit: int = 600_000):
+        lead = " ?" if spaced else ""
+        white = f"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+" if spaced else ""
+        self.cut = re.compile(f"{lead}[{_LETTER}]+(?![^{_MARK}{_WHITE}])|{lead}[{_MARK}]+(?![^{_LETTER}{_WHITE}])|{lead}[^{_WHITE}]+{white}").findall
+        self.simple = re.compile(f"{' ' if spaced else ''}[{_LETTER}]+").fullmatch
+        self.model, self.spaced, self.limit = tokenizer(path), spaced, limit
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids (uint32) of each UTF-8 text, without special tokens."""
+        parts = [self.cut((t if self.spaced else t.lower()).decode()) for t in texts]
+        if len(self.known) > self.limit:
+            self.known.clear()
+        new = set().union(*parts) - self.known.keys()
+        plain = [x for x in new if self.simple(x)]
+        for lo in range(0, len(plain), 2000):
+            part = plain[lo:lo + 2000]
+            e = self.model.encode(("" if self.spaced else " ").join(part), add_special_tokens=False)
+            ends = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1))).tolist()
+            raw = np.array(e.ids, "<u4").tobytes()
+            self.known.update(zip(part, (raw[a:b] for a, b in zip(ends, ends[1:]))))
+        other = list(new.difference(plain))
+        for x, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[x] = np.array(e.ids, "<u4").tobytes()
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]

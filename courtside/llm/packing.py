@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from courtside.llm.common import columns, id_and_bytes, tokenizer, tokenizer_path
+from courtside.llm.common import WordCoder, columns, id_and_bytes, tokenizer_path
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, cost double")
@@ -87,7 +87,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     path = path or tokenizer_path("word_bpe_49k.json")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, first, held, total = tokenizer(path), TaskContext.get().partitionId() << 33, [], 0
+        model, first, held, total = WordCoder(path, spaced=False), TaskContext.get().partitionId() << 33, [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal first
@@ -104,8 +104,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for b in rows:
             for lo in range(0, b.num_rows, 256):
                 keys, texts = columns(b.slice(lo, 256), "_id", "_text")
-                for key, e in zip(keys, model.encode_batch([t.decode() for t in texts], add_special_tokens=False)):
-                    ids = np.array([*e.ids, end_id], "<u4")
+                for key, ids in zip(keys, model.encode(texts)):
+                    ids = np.append(ids, np.uint32(end_id))
                     held.append((key, ids))
                     total += len(ids)
                 if total >= group_tokens:
