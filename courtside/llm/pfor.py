@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm.common import columns, id_and_bytes, ship_package, tokenizer, tokenizer_path
+from courtside.llm.common import WordCoder, columns, id_and_bytes, ship_package, tokenizer_path
 from courtside.operators.materialize import scratch_path
 
 BLOCK, PERCENTILE, MAGIC = 128, 0.9, b"PFR1"
@@ -192,7 +192,7 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     ranged = rows.repartitionByRange(F.col("_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("_id").asc_nulls_first(), "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (store, base), task = tokenizer(path), _store(folder), TaskContext.get()
+        model, (store, base), task = WordCoder(path, spaced=True), _store(folder), TaskContext.get()
         writer, number, names = None, 0, ["name", "n_docs", "n_tokens"]
 
         def finish():
@@ -204,12 +204,12 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 keys, texts = columns(b.slice(lo, 256), "_id", "_text")
-                for key, e in zip(keys, model.encode_batch([t.decode() for t in texts], add_special_tokens=False)):
+                for key, ids in zip(keys, model.encode(texts)):
                     if writer is None:
                         store.create_dir(base, recursive=True)
                         temporary = f"{base}/_{task.partitionId()}-{task.taskAttemptId()}-{number}"
                         writer = FileWriter(store.open_output_stream(temporary))
-                    writer.add(key, np.array([*e.ids, end_id], np.uint32))
+                    writer.add(key, np.append(ids, np.uint32(end_id)))
                     if writer.total >= file_tokens:
                         yield finish()
                         writer, number = None, number + 1
