@@ -81,7 +81,7 @@ class WordCoder:
     ``spaced``: white space belongs to the tokens (byte-level BPE); else it is dropped and A-Z count as a-z.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 600_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 1_000_000):
         lead = " ?" if spaced else ""
         white = f"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+" if spaced else ""
         self.cut = re.compile(f"{lead}[{_LETTER}]+(?![^{_MARK}{_WHITE}])|{lead}[{_MARK}]+(?![^{_LETTER}{_WHITE}])|{lead}[^{_WHITE}]+{white}").findall
@@ -106,3 +106,13 @@ class WordCoder:
         for x, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
             self.known[x] = np.array(e.ids, "<u4").tobytes()
         return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
+
+
+_CODERS: dict = {}
+
+
+def word_coder(path: str, spaced: bool) -> WordCoder:
+    """One coder per Python worker: the words of earlier tasks are known to later ones."""
+    if (path, spaced) not in _CODERS:
+        _CODERS[path, spaced] = WordCoder(path, spaced)
+    return _CODERS[path, spaced]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from courtside.llm.common import WordCoder, columns, id_and_bytes, tokenizer_path
+from courtside.llm.common import columns, id_and_bytes, tokenizer_path, word_coder
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, cost double")
@@ -87,7 +87,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     path = path or tokenizer_path("word_bpe_49k.json")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, first, held, total = WordCoder(path, spaced=False), TaskContext.get().partitionId() << 33, [], 0
+        model, first, held, total = word_coder(path, spaced=False), TaskContext.get().partitionId() << 33, [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal first

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm.common import WordCoder, columns, id_and_bytes, ship_package, tokenizer_path
+from courtside.llm.common import columns, id_and_bytes, ship_package, tokenizer_path, word_coder
 from courtside.operators.materialize import scratch_path
 
 BLOCK, PERCENTILE, MAGIC = 128, 0.9, b"PFR1"
@@ -192,7 +192,7 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     ranged = rows.repartitionByRange(F.col("_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("_id").asc_nulls_first(), "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (store, base), task = WordCoder(path, spaced=True), _store(folder), TaskContext.get()
+        model, (store, base), task = word_coder(path, spaced=True), _store(folder), TaskContext.get()
         writer, number, names = None, 0, ["name", "n_docs", "n_tokens"]
 
         def finish():
