@@ -81,7 +81,8 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         for w in np.unique(width):
             at = np.nonzero(width == w)[0]
             if w:
-                bits = ((low[at][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8)
+                kind = "<u2" if w <= 16 else "<u4"  # bits of whole values, the low ones kept
+                bits = np.unpackbits(low[at].astype(kind).view(np.uint8).reshape(len(at), BLOCK, -1), axis=2, bitorder="little", count=int(w))
                 packed = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
                 buf[(start[at] + _HEAD)[:, None] + np.arange(packed.shape[1])] = packed
         r, pos = np.nonzero(over)
@@ -112,10 +113,10 @@ def decode_blocks(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
             if w:
                 packed = buf[(start[at] + _HEAD)[:, None] + np.arange(BLOCK // 8 * w)]
                 bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), BLOCK, w)
-                value = np.zeros((len(at), BLOCK), np.uint32)
-                for k in range(w):
-                    value |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-                low[at] = value
+                size = 16 if w <= 16 else 32
+                whole = np.zeros((len(at), BLOCK, size), np.uint8)
+                whole[:, :, :w] = bits
+                low[at] = np.packbits(whole, axis=2, bitorder="little").view(f"<u{size // 8}")[:, :, 0]
         r = np.repeat(np.arange(len(start)), n_exc)
         if len(r):
             rank = np.arange(len(r)) - (np.cumsum(n_exc) - n_exc)[r]
@@ -202,8 +203,8 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n_docs]), pa.array([n_tokens])], names=names)
 
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                keys, texts = columns(b.slice(lo, 256), "_id", "_text")
+            for lo in range(0, b.num_rows, 1024):
+                keys, texts = columns(b.slice(lo, 1024), "_id", "_text")
                 for key, ids in zip(keys, model.encode(texts)):
                     if writer is None:
                         store.create_dir(base, recursive=True)
