@@ -57,7 +57,7 @@ class _Words(dict):
     """Word -> 64-bit hash, remembered."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w, 17)
         return h
@@ -299,13 +299,13 @@ def _block_links(parts: DataFrame, percent: int) -> DataFrame:
     return parts.groupBy("task").applyInPandas(run, "a bigint, b bigint, n bigint")
 
 
-def link_documents(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1 << 21,
+def link_documents(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1 << 20,
                    part_tokens: int = 1 << 21) -> DataFrame:
     """Per row: doc_id, text_hash (xxhash64 of the text), n_shingles, component_id, n_links (other sets linked with
     this one), n_copies (rows of the same set), and is_first: the row with the component's smallest id, then text hash."""
     ship_package(docs.sparkSession)
     rows = id_and_bytes(docs, id_col, text_col, F.xxhash64(text_col).alias("_h"))
-    buckets = max(32, docs.select(F.count(F.lit(1))).first()[0] // 8192)  # a count of Parquet rows reads no column
+    buckets = max(32, docs.select(F.count(F.lit(1))).first()[0] // 2048)  # a count of Parquet rows reads no column
     found = materialize(_classes(_shared(_index(rows, k, buckets, chunk_tokens), buckets), percent), "jaccard-classes")
     sets = found.where("codes IS NOT NULL").select("class", "n_shingles", "codes", "prefix")
     ties = sets.select("class", F.explode("prefix").alias("code"))
