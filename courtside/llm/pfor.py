@@ -113,10 +113,10 @@ def decode_blocks(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
             if w:
                 packed = buf[(start[at] + _HEAD)[:, None] + np.arange(BLOCK // 8 * w)]
                 bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), BLOCK, w)
-                size = 16 if w <= 16 else 32
-                whole = np.zeros((len(at), BLOCK, size), np.uint8)
-                whole[:, :, :w] = bits
-                low[at] = np.packbits(whole, axis=2, bitorder="little").view(f"<u{size // 8}")[:, :, 0]
+                value = np.zeros((len(at), BLOCK), np.uint32)
+                for k in range(w):
+                    value |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
+                low[at] = value
         r = np.repeat(np.arange(len(start)), n_exc)
         if len(r):
             rank = np.arange(len(r)) - (np.cumsum(n_exc) - n_exc)[r]
