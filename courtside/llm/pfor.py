@@ -113,9 +113,10 @@ def decode_blocks(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
             if w:
                 packed = buf[(start[at] + _HEAD)[:, None] + np.arange(BLOCK // 8 * w)]
                 bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), BLOCK, w)
-                value = np.zeros((len(at), BLOCK), np.uint32)
+                kind = np.uint16 if w <= 16 else np.uint32
+                value = np.zeros((len(at), BLOCK), kind)
                 for k in range(w):
-                    value |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
+                    value |= bits[:, :, k].astype(kind) << kind(k)
                 low[at] = value
         r = np.repeat(np.arange(len(start)), n_exc)
         if len(r):
@@ -237,7 +238,8 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[str, int, int
                 name = b.column(0)[row].as_py().rsplit("/", 1)[-1]
                 ids, nulls, first, tokens = read_file(b.column(1)[row].as_buffer().to_pybytes())
                 ends = first.astype(np.int64)
-                crc = [zlib.crc32(tokens[s:e].astype("<u4").tobytes()) for s, e in zip(ends[:-1], ends[1:])]
+                tokens = tokens.astype("<u4", copy=False)
+                crc = [zlib.crc32(tokens[s:e]) for s, e in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64(), mask=nulls.astype(bool)), pa.array(ends[:-1] + offsets[name]), pa.array(np.diff(ends)),
                      pa.array(crc, pa.int64()), pa.array([name] * len(ids), pa.string())], names=[x.split()[0] for x in schema.split(", ")])
