@@ -416,7 +416,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ship_package(pages.sparkSession)
     page = F.coalesce(F.col(html_col), F.lit("")).alias("_html")
     ids = pages.select(F.col(id_col).cast("long").alias("_id"), page).where("_id IS NOT NULL AND _html != ''")
-    seen = ids.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_html")).limit(sample).select("_html").collect()
+    # The sample is chosen by id alone; only its pages come to the driver.
+    chosen = [r[0] for r in ids.select("_id").orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()]
+    seen = [r[1] for r in sorted(map(tuple, ids.where(F.col("_id").isin(chosen)).limit(sample).collect()))] if chosen else []
     weights = train([r[0] for r in seen])
     names = [id_col, url_col, "text", "n_chars", "n_blocks", "n_main"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
