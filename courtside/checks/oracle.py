@@ -458,7 +458,7 @@ ORACLE["extra_fouls"] = _plays("parts", """SELECT game_id, jugador,
     AS Faltas_Tecnicas,
   CAST(sum(CASE WHEN contains(descripcion, 'flagrant') THEN 1 ELSE 0 END) AS BIGINT) AS Faltas_Flagrantes,
   CAST(sum(CASE WHEN contains(descripcion, 'off.foul') THEN 1 ELSE 0 END) AS BIGINT) AS Faltas_Ofensivas_Off,
-  CAST(sum(CASE WHEN contains(descripcion, 'bad pass') AND contains(descripcion, 'turnover') THEN 1 ELSE 0 END)
+  CAST(sum(CASE WHEN descripcion LIKE '%miss%steal%' THEN 1 ELSE 0 END)
     AS BIGINT) AS Robos_Fallidos
 FROM parts WHERE jugador <> '' GROUP BY game_id, jugador""")
 ORACLE["play_type_counts"] = _plays("stream", """SELECT CASE

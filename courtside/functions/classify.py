@@ -96,5 +96,5 @@ def extra_predicates(d: Column) -> dict[str, Column]:
         "Faltas_Tecnicas": _has(d, "t.foul") | _has(d, "technical"),
         "Faltas_Flagrantes": _has(d, "flagrant"),
         "Faltas_Ofensivas_Off": _has(d, "off.foul"),
-        "Robos_Fallidos": _has(d, "bad pass") & _has(d, "turnover"),
+        "Robos_Fallidos": d.like("%miss%steal%"),
     }

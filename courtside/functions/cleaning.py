@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from courtside.operators.lookup import checked_broadcast
 from courtside.operators.materialize import materialize
 
-RUN_PATTERN = r"\w+|\W+"
+# Word characters, boundaries, digits and spaces are Unicode ones, as in the source job's patterns.
+UNICODE = "(?U)"
+RUN_PATTERN = UNICODE + r"\w+|\W+"
 
 # Patterns removed in the same scan as the dictionary
 # (parenthesised text, shot distance, initial, short abbreviation, "N of M").
@@ -51,7 +53,7 @@ def runs(c: Column) -> Column:
 
 def fragments(names: DataFrame, col: str = "nombre") -> DataFrame:
     """Distinct whitespace-separated parts of the names (case kept)."""
-    parts = F.filter(F.split(F.col(col), r"\s+"), lambda p: p != "")
+    parts = F.filter(F.split(F.col(col), UNICODE + r"\s+"), lambda p: p != "")
     return names.where(F.col(col).isNotNull()).select(F.explode(parts).alias("entry")).distinct()
 
 
@@ -65,10 +67,10 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
     entries = dictionary.select("entry").where(F.col("entry").isNotNull() & (F.col("entry") != "")).distinct()
     # Small, read three times (summary, size check, join): materialized once.
     entries = materialize(entries.select("entry", F.size(runs(F.col("entry"))).alias("k")), "dictionary")
-    # Three numbers about the dictionary: longest entry (in runs) and
-    # whether any entry starts / ends with a non-word character.
-    summary = entries.agg(F.max("k"), F.max(F.when(~F.col("entry").rlike(r"^\w"), 1).otherwise(0)),
-                          F.max(F.when(~F.col("entry").rlike(r"\w$"), 1).otherwise(0))).first()
+    # One row about the dictionary: longest entry (in runs), whether any entry
+    # starts / ends with a non-word character, and the entry lengths.
+    summary = entries.agg(F.max("k"), F.max(F.when(~F.col("entry").rlike(UNICODE + r"^\w"), 1).otherwise(0)),
+                          F.max(F.when(~F.col("entry").rlike(UNICODE + r"\w$"), 1).otherwise(0)), F.collect_set("k")).first()
     kmax, odd_start, odd_end = (summary[0] or 0), bool(summary[1]), bool(summary[2])
     t = texts.select(text_col, runs(F.col(text_col)).alias("_runs"))
     if kmax == 0:
@@ -77,8 +79,8 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
     # Runs alternate word / non-word: when every entry starts and ends with
     # a word character, matches start on word runs and span an odd number
     # of runs, so other n-grams are not generated.
-    word_first = F.col("_runs")[0].rlike(r"^\w")
-    ks = [k for k in range(1, kmax + 1) if odd_start or odd_end or k % 2 == 1]
+    word_first = F.col("_runs")[0].rlike(UNICODE + r"^\w")
+    ks = sorted(summary[3])  # only the lengths that entries have
 
     def starts(k: int):
         every = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
@@ -95,8 +97,8 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
     grams = t.select(
         text_col, n.alias("_n"),
         F.explode_outer(F.flatten(F.array(*[F.transform(starts(k), gram_at(k)) for k in ks]))).alias("_g"))
-    ok = ((F.col("_e").rlike(r"^\w") | (F.col("_g.p") > 0))
-          & (F.col("_e").rlike(r"\w$") | (F.col("_g.p") + F.col("_g.k") < F.col("_n"))))
+    ok = ((F.col("_e").rlike(UNICODE + r"^\w") | (F.col("_g.p") > 0))
+          & (F.col("_e").rlike(UNICODE + r"\w$") | (F.col("_g.p") + F.col("_g.k") < F.col("_n"))))
     # Left join keeps texts without matches; the texts arrive partitioned by
     # text (they are distinct), so regrouping them needs no shuffle.
     found = (grams.join(checked_broadcast(entries.select(F.col("entry").alias("_e"))),
@@ -118,15 +120,15 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
 
 def tidy(c: Column) -> Column:
     """Fixed-pattern removal and the tidy-up steps; trims the result."""
-    out = F.regexp_replace(c, "|".join(FIXED_REMOVALS), "")
+    out = F.regexp_replace(c, UNICODE + "|".join(FIXED_REMOVALS), "")
     for pat, rep in TIDY_STEPS:
-        out = F.regexp_replace(out, pat, rep)
+        out = F.regexp_replace(out, UNICODE + pat, rep)
     return F.trim(out)
 
 
 def drop_words(c: Column, words) -> Column:
     for w in words:
-        c = F.regexp_replace(c, r"\b" + w + r"\b", "")
+        c = F.regexp_replace(c, UNICODE + r"\b" + w + r"\b", "")
     return c
 
 

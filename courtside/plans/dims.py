@@ -122,7 +122,7 @@ def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list
         F.when(F.col("year") == ACTIVE_YEAR, 1).otherwise(0).alias("estado_actual"), F.lit(0).alias("src"))
     listed = team_list.select(
         F.col("Equipo").alias("nombre"), F.col("Ciudad").alias("ciudad"), F.col("Estado").alias("estado"),
-        F.col("Arena").alias("arena"), F.col("Activo").try_cast("int").alias("estado_actual"),
+        F.col("Arena").alias("arena"), F.col("Activo").try_cast("double").try_cast("int").alias("estado_actual"),
         F.lit(1).alias("src"))
     one = dedupe(franchise.unionByName(listed), ["nombre", "ciudad"], order=["src"])
     ided = number_rows(one.drop("src"), ["nombre", "ciudad"], "idEquipo")
@@ -181,7 +181,7 @@ def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, ina
         B.bucketize(alcance, B.REACH_M).alias("alcance_pie"),
         B.position_label(F.coalesce(c("position_1"), c("position_2"))).alias("posicion"),
         "escuela", "pais", "equipo",
-        F.coalesce(c("is_active_1").try_cast("int"), c("is_active_2")).cast("int").alias("estado_actual"),
+        F.coalesce(c("is_active_1").try_cast("double").try_cast("int"), c("is_active_2")).cast("int").alias("estado_actual"),
         B.bucketize(carrera, B.CAREER_YEARS).alias("carrera_profesional"),
     )
     ided = number_rows(out, ["player_id"], "idJugador")

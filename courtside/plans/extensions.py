@@ -51,7 +51,14 @@ def running_sum(df: DataFrame, part: str, order: str, values: list[str], chunk:
 
 
 def running_score(plays: DataFrame) -> DataFrame:
-    """(game_id, eventnum, puntos_local, puntos_visitante, marcador_local, marcador_visitante, diferencia)."""
+    """(game_id, eventnum, puntos_local, puntos_visitante, marcador_local, marcador_visitante, diferencia).
+
+    Event numbers read as text (CSV exports) are ordered as numbers; plays
+    without one have no place in the order and are left out.
+    """
+    if dict(plays.dtypes)["eventnum"] == "string":
+        plays = plays.withColumn("eventnum", F.col("eventnum").try_cast("double").try_cast("bigint"))
+    plays = plays.where(F.col("eventnum").isNotNull())
     home = play_points(F.lower("homedescription"))
     away = play_points(F.lower("visitordescription"))
     pts = plays.groupBy("game_id", "eventnum").agg(

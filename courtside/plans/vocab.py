@@ -65,7 +65,7 @@ def play_types(plays: DataFrame) -> DataFrame:
 
     # Keep descriptions mentioning a fragment (lower-case \w+ tokens).
     lower_frags = frags.select(F.lower("entry").alias("tok")).distinct()
-    toks = descs.select("descripcion", F.explode(F.regexp_extract_all(F.lower("descripcion"), F.lit(r"\w+"), 0))
+    toks = descs.select("descripcion", F.explode(F.regexp_extract_all(F.lower("descripcion"), F.lit(r"(?U)\w+"), 0))
                         .alias("tok"))
     named = toks.join(checked_broadcast(lower_frags), "tok", "left_semi").select("descripcion").distinct()
 
