@@ -190,35 +190,35 @@ FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey + 1""",
         ("orders", "customer")),
     # player.csv
     "player_info": (
-        """SELECT s.s_suppkey AS id, s.s_name AS full_name,
+        """SELECT CASE WHEN s.s_acctbal > 500 THEN s.s_suppkey ELSE -s.s_suppkey END AS id, s.s_name AS full_name,
        CASE WHEN s.s_acctbal > 5000 THEN '1' ELSE '0' END AS is_active
-FROM {supplier} s WHERE s.s_acctbal > 500""",
+FROM {supplier} s""",
         ("supplier",)),
     # inactive_players.csv
     "inactive_players": (
-        """SELECT s.s_suppkey AS player_id, 'Ex' AS first_name, s.s_name AS last_name,
+        """SELECT CASE WHEN s.s_acctbal < 0 THEN s.s_suppkey ELSE -s.s_suppkey END AS player_id, 'Ex' AS first_name, s.s_name AS last_name,
        'Old Town' AS team_city, 'Veterans' AS team_name
-FROM {supplier} s WHERE s.s_acctbal < 0""",
+FROM {supplier} s""",
         ("supplier",)),
     # common_player_info.csv
     "player_profile": (
-        f"""SELECT p.p_partkey AS person_id, p.p_name AS display_first_last, p.p_brand AS school,
+        f"""SELECT CASE WHEN p.p_retailprice < 990 THEN p.p_partkey ELSE -p.p_partkey END AS person_id, p.p_name AS display_first_last, p.p_brand AS school,
        p.p_type AS country, cast(150 + p.p_size * 3 AS STRING) AS weight,
        {_position_sql('p.p_partkey')} AS position,
        cast(1950 + p.p_size AS STRING) AS from_year,
        CASE WHEN p.p_size = 7 THEN NULL ELSE cast(1950 + p.p_size + p.p_partkey % 41 AS STRING) END AS to_year
-FROM {{part}} p WHERE p.p_retailprice < 990""",
+FROM {{part}} p""",
         ("part",)),
     # draft_combine_stats.csv
     "draft_combine": (
-        f"""SELECT p.p_partkey AS player_id, upper(p.p_name) AS player_name,
+        f"""SELECT CASE WHEN p.p_size > 10 THEN p.p_partkey ELSE -p.p_partkey END AS player_id, upper(p.p_name) AS player_name,
        {_position_sql('p.p_partkey + 5')} AS position,
        CASE WHEN p.p_partkey % 2 = 0 THEN concat(cast(66 + p.p_size % 20 AS STRING), '.5')
             ELSE cast(66 + p.p_size % 20 AS STRING) END AS height_wo_shoes,
        cast(70 + p.p_size % 25 AS STRING) AS wingspan,
        CASE WHEN p.p_size = 13 THEN 'n/a' ELSE cast(120 + p.p_size * 4 AS STRING) END AS weight,
        cast(85 + p.p_size % 35 AS STRING) AS standing_reach
-FROM {{part}} p WHERE p.p_size > 10""",
+FROM {{part}} p""",
         ("part",)),
 }
 
