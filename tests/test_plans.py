@@ -93,9 +93,9 @@ def test_shuffle_join_fallback_gives_same_results(spark, sf_small):
 
 def test_filters_reach_parquet_scan(spark, sf_small):
     wh = Warehouse(spark, sf_small)
-    plan = _plan(wh.src("player_info"))
+    plan = _plan(wh.src("player_info").where("full_name = 'x'"))
     scan = [ln for ln in plan.splitlines() if "supplier.parquet" in ln][0]
-    assert "PushedFilters: [IsNotNull(s_acctbal), GreaterThan(s_acctbal,500.0)]" in scan
+    assert "PushedFilters: [IsNotNull(s_name), EqualTo(s_name,x)]" in scan
 
 
 def test_csv_landing_is_text_and_pruned(spark, tmp_path):
