@@ -1,14 +1,13 @@
 """DuckDB oracle SQL for every registered query.
 
-Written independently of the DataFrame code: the same semantics stated as
-plain SQL over the driver tables (adapter sources become CTEs).  Orders
-that Spark applies with NULL first are spelled ``NULLS FIRST`` here since
-DuckDB sorts NULL last by default.
+The same semantics stated as plain SQL over the driver tables.  The adapter
+sources (as CTEs) are shared with the code under test; bounds, labels and
+word lists are stated here once more.  Orders that Spark applies with NULL
+first are spelled ``NULLS FIRST`` since DuckDB sorts NULL last by default.
 """
 
 from __future__ import annotations
 
-from courtside.functions import buckets as B
 from courtside.sources.adapter import oracle_with
 
 
@@ -17,8 +16,8 @@ def _nf(*cols: str) -> str:
 
 
 def _first(src: str, keys: list[str], order: list[str]) -> str:
-    """SELECT the first row per keys by order (all NULLS FIRST unless spelled)."""
-    ords = ", ".join(o if " " in o else f"{o} NULLS FIRST" for o in order) or "1"
+    """SELECT the first row per keys by order; in each column values come before '' and NULL unless spelled."""
+    ords = ", ".join(o if " " in o else f"{o} IS NULL, CAST({o} AS VARCHAR) = '', {o}" for o in order) or "1"
     return (f"SELECT * EXCLUDE (rn_) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
             f"ORDER BY {ords}) AS rn_ FROM {src}) WHERE rn_ = 1")
 
@@ -114,10 +113,8 @@ LEAGUE = [
                "FROM games)"),
 ]
 CALENDAR = [
-    ("cal_span", "SELECT least(DATE '1946-01-01', min(d)) AS d0, greatest(DATE '2023-12-31', max(d)) AS d1 FROM "
-                 "(SELECT CAST(try_strptime(game_date, '%Y-%m-%d %H:%M:%S') AS DATE) AS d FROM games)"),
-    ("cal_days", "SELECT range AS i, CAST(d0 + CAST(range AS INTEGER) AS DATE) AS f "
-                 "FROM cal_span, range(0, (SELECT d1 - d0 + 1 FROM cal_span))"),
+    ("cal_days", "SELECT range AS i, CAST(DATE '1946-01-01' + CAST(range AS INTEGER) AS DATE) AS f "
+                 "FROM range(0, DATE '2023-12-31' - DATE '1946-01-01' + 1)"),
     ("calendar", """SELECT i + 1 AS idFecha,
   concat_ws('-', CAST(CASE WHEN month(f) >= 10 THEN year(f) ELSE year(f) - 1 END AS VARCHAR),
                  CAST(CASE WHEN month(f) >= 10 THEN year(f) ELSE year(f) - 1 END + 1 AS VARCHAR)) AS temporada,
@@ -155,8 +152,30 @@ SELECT Equipo, Ciudad, Estado, Arena, TRY_CAST(Activo AS INTEGER), 1 FROM team_l
   coalesce(estado, 'Desconocido') AS estado
 FROM team_one"""),
 ]
-_POS = "CASE coalesce(position_1, position_2) " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in B.POSITIONS.items()) + " ELSE 'Desconocido' END"
+# Bucket bounds and position labels.
+_PESO = """CASE WHEN peso_kg > 0 AND peso_kg <= 74.99 THEN 'Muy liviano' WHEN peso_kg >= 75 AND peso_kg <= 94.99 THEN 'Liviano'
+  WHEN peso_kg >= 95 AND peso_kg <= 119.99 THEN 'Medio' WHEN peso_kg >= 120 AND peso_kg <= 139.99 THEN 'Pesado'
+  WHEN peso_kg >= 140 THEN 'Muy Pesado' ELSE 'Desconocido' END"""
+_ALTURA = """CASE WHEN altura_m > 0 AND altura_m <= 1.79 THEN 'Muy bajo' WHEN altura_m >= 1.80 AND altura_m <= 1.89 THEN 'Bajo'
+  WHEN altura_m >= 1.90 AND altura_m <= 2.04 THEN 'Medio' WHEN altura_m >= 2.05 AND altura_m <= 2.14 THEN 'Alto'
+  WHEN altura_m >= 2.15 THEN 'Muy alto' ELSE 'Desconocido' END"""
+_ENVERGADURA = """CASE WHEN envergadura_m > 0 AND envergadura_m <= 1.89 THEN 'Muy corta'
+  WHEN envergadura_m >= 1.90 AND envergadura_m <= 2.04 THEN 'Corta' WHEN envergadura_m >= 2.05 AND envergadura_m <= 2.19 THEN 'Media'
+  WHEN envergadura_m >= 2.20 AND envergadura_m <= 2.34 THEN 'Larga' WHEN envergadura_m >= 2.35 THEN 'Muy larga'
+  ELSE 'Desconocido' END"""
+_ALCANCE = """CASE WHEN alcance_pie_m > 0 AND alcance_pie_m <= 2.34 THEN 'Muy bajo'
+  WHEN alcance_pie_m >= 2.35 AND alcance_pie_m <= 2.54 THEN 'Bajo' WHEN alcance_pie_m >= 2.55 AND alcance_pie_m <= 2.84 THEN 'Medio'
+  WHEN alcance_pie_m >= 2.85 AND alcance_pie_m <= 2.99 THEN 'Alto' WHEN alcance_pie_m >= 3.0 THEN 'Muy alto'
+  ELSE 'Desconocido' END"""
+_CARRERA = """CASE WHEN carrera_anos >= 0 AND carrera_anos <= 9 THEN 'Novato' WHEN carrera_anos >= 10 AND carrera_anos <= 19 THEN 'Consolidado'
+  WHEN carrera_anos >= 20 AND carrera_anos <= 29 THEN 'Veterano' WHEN carrera_anos >= 30 THEN 'Longevo' ELSE 'Desconocido' END"""
+_LABELS = """WHEN 'PG' THEN 'Base' WHEN 'SG' THEN 'Escolta' WHEN 'SF' THEN 'Alero' WHEN 'PF' THEN 'Ala-pívot' WHEN 'C' THEN 'Pívot'
+  WHEN 'PG-SG' THEN 'Base/Escolta' WHEN 'SG-PG' THEN 'Escolta/Base' WHEN 'SG-SF' THEN 'Escolta/Alero' WHEN 'SF-SG' THEN 'Alero/Escolta'
+  WHEN 'SF-PF' THEN 'Alero/Ala-pívot' WHEN 'PF-SF' THEN 'Ala-pívot/Alero' WHEN 'PF-C' THEN 'Ala-pívot/Pívot'
+  WHEN 'C-PF' THEN 'Pívot/Ala-pívot' WHEN 'Guard' THEN 'Escolta' WHEN 'Forward' THEN 'Alero' WHEN 'Center' THEN 'Pívot'
+  WHEN 'Guard-Forward' THEN 'Escolta/Alero' WHEN 'Forward-Guard' THEN 'Alero/Escolta'
+  WHEN 'Center-Forward' THEN 'Pívot/Ala-pívot' WHEN 'Forward-Center' THEN 'Alero/Pívot' ELSE 'Desconocido' END"""
+_POS = f"CASE coalesce(position_1, position_2) {_LABELS}"
 PLAYER = [
     ("slots", """SELECT player1_id AS player_id, player1_name AS nombre,
        concat_ws(' ', player1_team_city, player1_team_nickname) AS equipo FROM plays
@@ -181,19 +200,19 @@ LEFT JOIN p_prof USING (player_id) LEFT JOIN p_comb USING (player_id)"""),
   TRY_CAST(coalesce(weight_1, weight_2) AS DOUBLE) * 0.45359237 AS peso_kg,
   TRY_CAST(height_wo_shoes AS DOUBLE) * 0.0254 AS altura_m,
   TRY_CAST(wingspan AS DOUBLE) * 0.0254 AS envergadura_m,
-  TRY_CAST(standing_reach AS DOUBLE) * 0.0254 AS alcance_m,
-  TRY_CAST(to_year AS DOUBLE) - TRY_CAST(from_year AS DOUBLE) AS carrera
+  TRY_CAST(standing_reach AS DOUBLE) * 0.0254 AS alcance_pie_m,
+  TRY_CAST(to_year AS DOUBLE) - TRY_CAST(from_year AS DOUBLE) AS carrera_anos
 FROM p_join"""),
     ("player", f"""SELECT row_number() OVER (ORDER BY player_id NULLS FIRST) AS idJugador,
-  {B.sql_bucket('altura_m', B.HEIGHT_M)} AS altura,
-  {B.sql_bucket('peso_kg', B.WEIGHT_KG)} AS peso,
+  {_ALTURA} AS altura,
+  {_PESO} AS peso,
   coalesce(nombre, nombre_1, nombre_2, nombre_3, nombre_4, 'Desconocido') AS nombre,
-  {B.sql_bucket('envergadura_m', B.WINGSPAN_M)} AS envergadura,
-  {B.sql_bucket('alcance_m', B.REACH_M)} AS alcance_pie,
+  {_ENVERGADURA} AS envergadura,
+  {_ALCANCE} AS alcance_pie,
   posicion, coalesce(escuela, 'Desconocido') AS escuela, coalesce(pais, 'Desconocido') AS pais,
   coalesce(equipo, 'Desconocido') AS equipo,
   CAST(coalesce(TRY_CAST(is_active_1 AS INTEGER), is_active_2) AS INTEGER) AS estado_actual,
-  {B.sql_bucket('carrera', B.CAREER_YEARS)} AS carrera_profesional
+  {_CARRERA} AS carrera_profesional
 FROM p_num"""),
 ]
 
@@ -295,16 +314,12 @@ FROM u_prof p FULL OUTER JOIN u_comb c ON p.player_id = c.player_id"""),
 ]
 _UNIT_SRC = ["player_profile", "draft_combine"]
 ORACLE["unit_convert"] = oracle_with(_UNIT_SRC, "SELECT * FROM units", UNITS)
-for _name, _val, _rules, _out in [("bucket_weight", "peso_kg", B.WEIGHT_KG, "peso"),
-                                  ("bucket_height", "altura_m", B.HEIGHT_M, "altura"),
-                                  ("bucket_wingspan", "envergadura_m", B.WINGSPAN_M, "envergadura"),
-                                  ("bucket_reach", "alcance_pie_m", B.REACH_M, "alcance_pie"),
-                                  ("bucket_career", "carrera_anos", B.CAREER_YEARS, "carrera_profesional")]:
-    ORACLE[_name] = oracle_with(_UNIT_SRC, f"SELECT player_id, {B.sql_bucket(_val, _rules)} AS {_out} FROM units",
-                                UNITS)
-ORACLE["position_map"] = oracle_with(["player_profile"], "SELECT person_id AS player_id, position, CASE position "
-                                     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in B.POSITIONS.items())
-                                     + " ELSE 'Desconocido' END AS posicion FROM player_profile")
+for _name, _case, _out in [("bucket_weight", _PESO, "peso"), ("bucket_height", _ALTURA, "altura"),
+                           ("bucket_wingspan", _ENVERGADURA, "envergadura"), ("bucket_reach", _ALCANCE, "alcance_pie"),
+                           ("bucket_career", _CARRERA, "carrera_profesional")]:
+    ORACLE[_name] = oracle_with(_UNIT_SRC, f"SELECT player_id, {_case} AS {_out} FROM units", UNITS)
+ORACLE["position_map"] = oracle_with(["player_profile"], f"SELECT person_id AS player_id, position, CASE position {_LABELS} AS posicion "
+                                     "FROM player_profile")
 _CAPB = ("CASE WHEN TRY_CAST(c AS DOUBLE) < 10000 THEN 'pequeno' WHEN TRY_CAST(c AS DOUBLE) >= 10000 "
          "AND TRY_CAST(c AS DOUBLE) < 20000 THEN 'mediano' ELSE 'grande' END")
 ORACLE["capacity_bucket"] = oracle_with(
@@ -363,6 +378,7 @@ def _rx(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+# Words dropped from play texts.
 _ALIASES = ["N'Dong", "Yuezhuo", "zhi", "Tompkins", "McClellan", "Renfroe", "Kanter", "Lima", "Seung", "Jin",
             "Pendergraph", "McKinney", "Yue", "Arna", "Hersek", "McLean", "N'Diaye", "Maciulis", "McRay",
             "Yurtseven", "Llull"]
@@ -445,13 +461,12 @@ ORACLE["team_game"] = oracle_with(["plays"], f"""SELECT game_id, equipo, count(*
   CAST(sum({_points('d')}) AS BIGINT) AS puntos,
   CAST(sum(CASE WHEN contains(d, 'miss') THEN 1 ELSE 0 END) AS BIGINT) AS tiros_fallidos
 FROM (SELECT game_id, equipo, lower(d) AS d FROM (
-        SELECT game_id, equipo, jugador, homedescription AS d FROM tg_slots
-        UNION ALL SELECT game_id, equipo, jugador, visitordescription FROM tg_slots)
-      WHERE lower(trim(jugador)) <> '' AND d IS NOT NULL)
+        SELECT game_id, equipo, homedescription AS d FROM tg_first
+        UNION ALL SELECT game_id, equipo, visitordescription FROM tg_first)
+      WHERE d IS NOT NULL)
 GROUP BY game_id, equipo""", [
-    ("tg_slots", " UNION ALL ".join(
-        f"SELECT game_id, concat_ws(' ', player{i}_team_city, player{i}_team_nickname) AS equipo, "
-        f"player{i}_name AS jugador, homedescription, visitordescription FROM plays" for i in (1, 2, 3))),
+    ("tg_first", "SELECT game_id, concat_ws(' ', player1_team_city, player1_team_nickname) AS equipo, homedescription, "
+                 "visitordescription FROM plays WHERE lower(trim(player1_name)) <> ''"),
 ])
 ORACLE["extra_fouls"] = _plays("parts", """SELECT game_id, jugador,
   CAST(sum(CASE WHEN contains(descripcion, 't.foul') OR contains(descripcion, 'technical') THEN 1 ELSE 0 END) AS BIGINT)

@@ -112,16 +112,3 @@ def position_label(c) -> Column:
 
 def capacity_bucket(number: Column) -> Column:
     return bucketize(number, CAPACITY, CAPACITY_DEFAULT)
-
-
-def sql_bucket(expr: str, rules, default: str = UNKNOWN) -> str:
-    """The same rule table as a SQL CASE (for oracles)."""
-    whens = []
-    for label, lo, lo_incl, hi, hi_incl in rules:
-        conds = [f"{expr} IS NOT NULL"]
-        if lo is not None:
-            conds.append(f"{expr} {'>=' if lo_incl else '>'} {lo}")
-        if hi is not None:
-            conds.append(f"{expr} {'<=' if hi_incl else '<'} {hi}")
-        whens.append(f"WHEN {' AND '.join(conds)} THEN '{label}'")
-    return f"CASE {' '.join(whens)} ELSE '{default}' END"

@@ -7,24 +7,21 @@ dense ids 1..n in key order without a single-partition window over the
 data: rows are range-partitioned and sorted, the partitioned frame is
 written with each row's (partition, position) to a Parquet table under
 ``spark.checkpoint.dir`` so both passes agree, and each row gets
-``offset(partition) + position``.  Only the per-partition counts (one
-number per partition) pass through the driver, as a broadcast offset table.
+``offset(partition) + position``.  The offsets are a running sum over one
+count per partition, broadcast to the rows; nothing reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.operators.materialize import materialize
 
 ColumnLike = str | Column
 
-# Up to this many partitions the per-partition offsets become a literal map.
-MAP_OFFSETS_MAX = 512
-
 
 def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -45,6 +42,8 @@ def desc_nulls_last(c: ColumnLike) -> list[Column]:
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (), collapse: bool = False) -> DataFrame:
     """One row per ``keys``: the first by ``order`` (ascending, NULL first),
     ties broken by every remaining column, so the result is deterministic.
+    Ties prefer the fuller row: in each remaining column a value comes
+    before an empty text, and that before NULL.
 
     NULL keys form one group, like ``dropDuplicates``.  ``collapse`` first
     removes identical rows with a hash aggregation (map-side combined): worth
@@ -58,7 +57,13 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (),
     if collapse:
         df = df.distinct()
     ordering = [_col(o).alias(f"_o{i}") for i, o in enumerate(order)]
-    best = F.min(F.struct(*ordering, *[F.col(c) for c in payload])).alias("_best")
+    types = dict(df.dtypes)
+    for i, c in enumerate(payload):
+        ordering.append(F.col(c).isNull().alias(f"_n{i}"))
+        if types[c] == "string":
+            ordering.append((F.col(c) == "").alias(f"_e{i}"))
+        ordering.append(F.col(c))
+    best = F.min(F.struct(*ordering)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
@@ -80,25 +85,14 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
               .select("*", F.shiftright(mid, 33).alias("_pid"),
                       (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos")))
     numbered = materialize(ranged, f"rows-{id_col}")
-    # One count per partition (bounded by the partition count, not the data)
-    # goes through the driver to become a small broadcast offset table.
-    counts = sorted((r[0], r[1]) for r in numbered.groupBy("_pid").agg(F.count(F.lit(1))).collect())
-    offsets, acc = [], 0
-    for pid, cnt in counts:
-        offsets.append((pid, acc))
-        acc += cnt
-    if len(offsets) <= MAP_OFFSETS_MAX:
-        # A literal map keeps the result a projection of the Parquet scan, so
-        # its size estimate stays the file size (used by broadcast checks).
-        pairs = [F.lit(x) for pid, o in offsets for x in (pid, o)]
-        off = F.element_at(F.create_map(*pairs), F.col("_pid")) if pairs else F.lit(0)
-        return numbered.select(*df.columns, (off + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
-    spark = df.sparkSession
-    table = spark.createDataFrame(offsets, "_pid bigint, _off bigint")
-    out = numbered.join(F.broadcast(table), "_pid")
-    ided = out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
-    # Many partitions: written once more so consumers read a plain Parquet
-    # scan (exact file statistics, no repeated offset join).
+    # One row per partition (bounded by the partition count, not the data).
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    ided = numbered.join(F.broadcast(offsets), "_pid").select(
+        *df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col))
+    # Written once more, so consumers read a plain Parquet scan with exact
+    # file statistics and don't repeat the join.
     return materialize(ided, f"ids-{id_col}")
 
 

@@ -1,17 +1,20 @@
 """Key lookups (natural key -> surrogate key) with a checked broadcast.
 
-A dimension is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading early);
-the verdict is kept per frame, so a dimension used in several lookups is
-counted once.  Dimensions are materialized (Parquet) before they are looked
-up, so the count reads files, not the plan that built them.  Beyond the
-bound the join is left to Spark (sort-merge or shuffle-hash).  Joins
-between intermediate results are not hinted at all: AQE replans them from
-measured shuffle sizes at run time.
+A dimension is broadcast only after one aggregation proves that it has at
+most ``max_rows`` rows and that its decoded values (all columns, so any
+projection too) stay below ``courtside.broadcast.maxBytes``.  The
+aggregation is skipped, and the answer is no, where Catalyst's size
+estimate is beyond that bound already.  The measure is kept per frame, so a
+dimension used in several lookups is measured once.  Dimensions are
+materialized (Parquet) before they are looked up, so this reads files, not
+the plan that built them.  Beyond the bound the join is left to Spark
+(sort-merge or shuffle-hash).  Joins between intermediate results are not
+hinted at all: AQE replans them from measured shuffle sizes at run time.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -20,16 +23,18 @@ from pyspark.sql import functions as F
 # Default row bound for broadcasting a lookup side; override with the
 # session setting ``courtside.broadcast.maxRows``.
 BROADCAST_MAX_ROWS = 1_000_000
-# Size estimate above which no count is attempted (``courtside.broadcast.maxBytes``).
-BROADCAST_MAX_BYTES = 512 << 20
+# Bound on the decoded size (``courtside.broadcast.maxBytes``).
+BROADCAST_MAX_BYTES = 128 << 20
+# Bytes counted per value besides a text's own.
+VALUE_BYTES = 16
 
 
 def broadcast_bound(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("courtside.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
 
 
-# (id(df), bound) -> (df, verdict); the frame is kept so its id stays unique.
-_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+# Frame -> (rows, decoded bytes); entries go with their frames.
+_MEASURED: weakref.WeakKeyDictionary[DataFrame, tuple[int, int]] = weakref.WeakKeyDictionary()
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -37,30 +42,36 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proof that ``df`` has at most ``max_rows`` rows, memoised per frame.
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and decoded bytes of ``df``: one aggregation with partial sums, kept per frame."""
+    got = _MEASURED.get(df)
+    if got is None:
+        width = F.lit(VALUE_BYTES * len(df.columns)).cast("bigint")
+        for c, t in df.dtypes:
+            if t in ("string", "binary"):
+                width = width + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+        row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        got = _MEASURED[df] = (row[0], row[1])
+    return got
 
-    Inputs whose estimate already exceeds ``courtside.broadcast.maxBytes`` are
-    answered "no" without a job (a bounded count would still make every
-    partition read up to ``max_rows`` rows).  Otherwise a bounded count
-    decides: ``limit(max_rows + 1).count()``.
+
+def fits_broadcast(df: DataFrame, max_rows: int, bounded_by: DataFrame | None = None) -> bool:
+    """Proof that ``df`` has at most ``max_rows`` rows and a decoded size within bounds.
+
+    ``bounded_by``: the table whose estimate stands for ``df``'s, where ``df``
+    joins it with unique keys (Catalyst multiplies the sides of a join).
     """
-    key = (id(df), max_rows)
-    hit = _CHECKED.get(key)
-    if hit is not None and hit[0] is df:
-        return hit[1]
     max_bytes = int(df.sparkSession.conf.get("courtside.broadcast.maxBytes", str(BROADCAST_MAX_BYTES)))
-    verdict = estimated_bytes(df) <= max_bytes and df.limit(max_rows + 1).count() <= max_rows
-    if len(_CHECKED) > 512:
-        _CHECKED.clear()
-    _CHECKED[key] = (df, verdict)
-    return verdict
+    if estimated_bytes(df if bounded_by is None else bounded_by) > max_bytes:
+        return False
+    rows, size = measured(df)
+    return rows <= max_rows and size <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``."""
+    """``F.broadcast(df)`` if ``df`` is provably small (see ``fits_broadcast``), else ``df``."""
     bound = broadcast_bound(df) if max_rows is None else max_rows
-    return F.broadcast(df) if has_at_most(df, bound) else df
+    return F.broadcast(df) if fits_broadcast(df, bound) else df
 
 
 def lookup(left: DataFrame, dim: DataFrame, left_keys: Sequence[str], dim_keys: Sequence[str],
@@ -74,7 +85,7 @@ def lookup(left: DataFrame, dim: DataFrame, left_keys: Sequence[str], dim_keys:
     rename = rename or {}
     kcols = [f"_k{i}" for i in range(len(dim_keys))]
     bound = broadcast_bound(dim) if max_rows is None else max_rows
-    small = has_at_most(dim, bound)
+    small = fits_broadcast(dim, bound)
     side = dim.select(*[F.col(k).alias(a) for k, a in zip(dim_keys, kcols)],
                       *[F.col(t).alias(rename.get(t, t)) for t in take])
     side = F.broadcast(side) if small else side

@@ -51,20 +51,23 @@ def season_label(year: F.Column, month: F.Column) -> F.Column:
 
 def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END,
                  games: DataFrame | None = None, date_col: str = "game_date",
-                 date_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """(idFecha, temporada, dia, mes, ano): one row per day, id 1.. in date order.
-
-    The span is [start, end], widened to every parseable game date when
-    ``games`` is given (one aggregated pair of dates), so no game falls
-    outside the calendar.  ``spark.range`` yields the days in order, so the
-    id is the range position; no sort or window is needed.
+                 date_format: str = "yyyy-MM-dd HH:mm:ss", max_extra_days: int = 36525) -> DataFrame:
+    """(idFecha, temporada, dia, mes, ano): one row per day of [start, end].
+
+    ``idFecha`` is the day's distance from ``start`` plus one, whatever the
+    span.  With ``games`` the span is widened to their parseable dates, by at
+    most ``max_extra_days`` on each side (dates beyond, as from a bad row,
+    get no key); later days go on counting and earlier ones get ids from 0
+    down, so no day's id ever changes.
     """
     d0, d1 = (_dt.date.fromisoformat(x) for x in (start, end))
+    first, last = 0, (d1 - d0).days
     if games is not None:
-        ts = F.to_date(F.try_to_timestamp(F.col(date_col), F.lit(date_format)))
-        lo, hi = games.agg(F.min(ts), F.max(ts)).first()
-        d0, d1 = min(d0, lo or d0), max(d1, hi or d1)
-    days = spark.range(0, (d1 - d0).days + 1)
+        day = F.datediff(F.to_date(F.try_to_timestamp(F.col(date_col), F.lit(date_format))), F.lit(d0))
+        near = day.between(first - max_extra_days, last + max_extra_days)
+        lo, hi = games.agg(F.min(F.when(near, day)), F.max(F.when(near, day))).first()
+        first, last = (first, last) if lo is None else (min(first, lo), max(last, hi))
+    days = spark.range(first, last + 1)
     fecha = F.date_add(F.lit(d0), F.col("id").cast("int"))
     dated = days.select((F.col("id") + 1).alias("idFecha"), fecha.alias("fecha"))
     y, m = F.year("fecha"), F.month("fecha")

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from courtside.functions.classify import extra_predicates, flag, general_predicates
 from courtside.functions.text import full_name, norm_key
-from courtside.operators.unpivot import unpivot_groups
 from courtside.plans.plays import participants, play_stream
 
 # Rows per chunk of the ordered plays of one game in ``running_sum``.
@@ -82,12 +81,14 @@ def rebound_split(plays: DataFrame) -> DataFrame:
 
 
 def team_game(plays: DataFrame) -> DataFrame:
-    """(game_id, equipo, jugadas, puntos, tiros_fallidos): participant statistics summed per team."""
-    groups = [{"jugador": f"player{i}_name", "city": f"player{i}_team_city", "nick": f"player{i}_team_nickname"}
-              for i in (1, 2, 3)]
-    base = unpivot_groups(plays, ["game_id", "homedescription", "visitordescription"], groups)
-    base = base.where(norm_key("jugador") != "").select(
-        "game_id", full_name("city", "nick").alias("equipo"),
+    """(game_id, equipo, jugadas, puntos, tiros_fallidos): one row per game and team.
+
+    A play's text counts once, for the team of its first player: an assisted
+    shot is worth its points, and an opponent named in a text gets neither
+    the points nor the miss.  Texts without a first player count for no team.
+    """
+    base = plays.where(norm_key("player1_name") != "").select(
+        "game_id", full_name("player1_team_city", "player1_team_nickname").alias("equipo"),
         F.inline(F.array(F.struct(F.col("homedescription").alias("d")),
                          F.struct(F.col("visitordescription").alias("d")))))
     base = base.where(F.col("d").isNotNull()).withColumn("d", F.lower("d"))

@@ -34,10 +34,9 @@ def slot_names(plays: DataFrame) -> DataFrame:
 
 def entity_dictionary(plays: DataFrame) -> DataFrame:
     """(tipo, valor): distinct non-NULL player names ('jugador') and team nicknames ('equipo')."""
-    s = slot_names(plays)
-    players = s.select(F.lit("jugador").alias("tipo"), F.col("nombre").alias("valor"))
-    teams = s.select(F.lit("equipo").alias("tipo"), F.col("equipo").alias("valor"))
-    return players.unionByName(teams).where(F.col("valor").isNotNull()).distinct()
+    cells = [F.struct(F.lit(tipo).alias("tipo"), F.col(f"player{i}_{c}").alias("valor"))
+             for i in (1, 2, 3) for tipo, c in (("jugador", "name"), ("equipo", "team_nickname"))]
+    return plays.select(F.inline(F.array(*cells))).where(F.col("valor").isNotNull()).distinct()
 
 
 def play_types(plays: DataFrame) -> DataFrame:

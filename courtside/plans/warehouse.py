@@ -18,10 +18,12 @@ from courtside.sources.adapter import Sources
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, frames: dict | None = None,
-                 fold_game_alias: bool = True):
+                 fold_game_alias: bool = True, widen_calendar: bool = False):
         """``fold_game_alias=False`` keeps the source jobs' behaviour of folding the
-        all-star alias on the league side only (such games get no league key)."""
+        all-star alias on the league side only (such games get no league key).
+        ``widen_calendar=True`` adds the games' own dates to the fixed calendar span."""
         self.spark = spark
+        self.widen_calendar = widen_calendar
         self.fold_game_alias = fold_game_alias
         self._src = Sources(spark, sf_dir) if sf_dir else None
         self._frames = dict(frames or {})
@@ -48,7 +50,7 @@ class Warehouse:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return dims.calendar_dim(self.spark, games=self.src("games"))
+        return dims.calendar_dim(self.spark, games=self.src("games") if self.widen_calendar else None)
 
     @cached_property
     def venue(self) -> DataFrame:

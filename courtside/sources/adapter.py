@@ -23,14 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from courtside.operators.lookup import broadcast_bound, has_at_most
+from courtside.operators.lookup import broadcast_bound, fits_broadcast
 from courtside.sources.schemas import driver_schema
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Play description templates by play code (l_partkey % 12).
-# @1 @2 @3 stand for the names in player slots 1..3.
+# Play description templates by play code (l_partkey modulo
+# their number); every classifier has a template it fires on.  @1 @2 @3 stand
+# for the names in player slots 1..3, @o and @d for counters that rise with
+# the line number.
 PLAY_TEMPLATES = {
     0: "Jump Ball @1 vs. @2: Tip to @3",
     1: "@1 Driving Layup (2 PTS)",
@@ -40,13 +42,24 @@ PLAY_TEMPLATES = {
     5: "MISS @1 27' 3PT Jump Shot",
     6: "@1 Free Throw 1 of 2 (5 PTS)",
     7: "MISS @1 Free Throw 2 of 2",
-    8: "@1 REBOUND (Off:1 Def:0)",
+    8: "@1 REBOUND (Off:@o Def:@d)",
     9: "SUB: @2 FOR @1",
     10: "@1 Offensive Foul Turnover (P1.T1)",
     11: "@1 S.FOUL (P1.PN)",
+    12: "@1 Bad Pass, Lost Ball Turnover (P1.T1)",
+    13: "@1 Timeout: Regular (Full 1 Short 0)",
+    14: "@1 P.FOUL (P2.T3)",
+    15: "@1 L.B.FOUL (P1.PN)",
+    16: "@1 T.FOUL (P0.T1)",
+    17: "@1 FLAGRANT.FOUL.TYPE1 (P3.PN)",
+    18: "@1 OFF.Foul (P2)",
+    19: "MISS @1 Layup @2 STEAL (2 STL)",
+    20: "@1 Defensive Rebound - Team",
+    21: "@1 Offensive Rebound – Team",
+    22: "@1 \"Alley Oop\" Dunk, Putback (2 PTS)",
 }
 # Play codes whose plays carry a second / third participant.
-SLOT2_CODES = (0, 1, 2, 3, 9)
+SLOT2_CODES = (0, 1, 2, 3, 9, 19)
 SLOT3_CODES = (0, 4)
 
 # Season types by order priority; both spellings of the
@@ -79,7 +92,9 @@ def _case(expr: str, mapping: dict, default: str = "NULL") -> str:
 
 
 def _description_sql() -> str:
-    text = _case("l.l_partkey % 12", PLAY_TEMPLATES)
+    text = _case(f"l.l_partkey % {len(PLAY_TEMPLATES)}", PLAY_TEMPLATES)
+    text = f"replace({text}, '@o', cast(l.l_linenumber - 1 AS STRING))"
+    text = f"replace({text}, '@d', cast(2 * l.l_linenumber - 1 AS STRING))"
     text = f"replace({text}, '@1', coalesce(p1.player_name, ''))"
     text = f"replace({text}, '@2', coalesce(p2.player_name, ''))"
     return f"replace({text}, '@3', coalesce(p3.player_name, ''))"
@@ -97,7 +112,7 @@ def _slot(n: int, codes: tuple | None) -> str:
                      ("team_nickname", "team_nickname")):
         ref = f"p{n}.{src}"
         if codes is not None:
-            ref = f"CASE WHEN l.l_partkey % 12 IN ({', '.join(map(str, codes))}) THEN {ref} END"
+            ref = f"CASE WHEN l.l_partkey % {len(PLAY_TEMPLATES)} IN ({', '.join(map(str, codes))}) THEN {ref} END"
         cols.append(f"{ref} AS player{n}_{dst}")
     return ", ".join(cols)
 
@@ -244,48 +259,8 @@ def _order(names) -> list[str]:
     return out
 
 
-# Driver tables that grow with the scale factor (nation/region are fixed),
-# with the key columns used to spread a single-split scan.
-GROWING_TABLES = {
-    "customer": ("c_custkey",), "supplier": ("s_suppkey",), "part": ("p_partkey",), "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",), "documents": ("doc_id",),
-    "embeddings": ("vec_id",), "pages": ("page_id",), "benchmark": ("item_id",), "labels": ("doc_id",),
-    "conversations": ("conv_id", "turn"),
-}
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _bytes(text: str) -> int:
-    """'134217728b', '128m', '1g' -> bytes."""
-    t = str(text).strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(float(t[:-1] if scale > 1 else t) * scale)
-
-
-def ensure_parallelism(df: DataFrame, keys=()) -> DataFrame:
-    """Spread a scan over at least ``spark.default.parallelism`` tasks.
-
-    A file written as one row group is read by one task.  Inputs that are
-    tiny (< SPREAD_MIN_BYTES), already span enough files, or are large
-    enough to hold many row groups (>= maxPartitionBytes per core) pass
-    through unchanged, as they do on a cluster: no shuffle.  Only file
-    statistics are consulted, no job runs.  Rows are hash-partitioned on the
-    table key (deterministic, no pre-sort as a round-robin repartition needs).
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if size < SPREAD_MIN_BYTES or size >= per_split * want or len(df.inputFiles()) >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(driver_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df, GROWING_TABLES[name]) if name in GROWING_TABLES else df
+    return spark.read.schema(driver_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = None) -> DataFrame:
@@ -300,9 +275,9 @@ def source(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = Non
         args = {d: source(spark, sf_dir, d, memo) for d in deps}
         for d in deps:
             if d in LOOKUP_SOURCES:
-                # The row bound is proven on the table that bounds the source.
+                # The joined source is measured; the table that bounds it gates that job.
                 bound_by = source(spark, sf_dir, LOOKUP_SOURCES[d], memo)
-                if has_at_most(bound_by, broadcast_bound(bound_by)):
+                if fits_broadcast(args[d], broadcast_bound(bound_by), bound_by):
                     args[d] = F.broadcast(args[d])
         df = spark.sql(text, **args)
     memo[name] = df

@@ -34,9 +34,8 @@ def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             for f, cols in RAW_CSV_COLUMNS.items()}
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

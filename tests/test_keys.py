@@ -10,7 +10,9 @@ def test_dedupe_is_deterministic_and_null_aware(spark):
         [(1, "b", 3), (1, "a", 5), (1, None, 9), (2, "x", None), (2, "x", 1), (None, "n", 0), (None, "m", 0)],
         "k int, s string, v int")
     out = {r["k"]: (r["s"], r["v"]) for r in dedupe(df, ["k"]).collect()}
-    assert out == {1: (None, 9), 2: ("x", None), None: ("m", 0)}
+    assert out == {1: ("a", 5), 2: ("x", 1), None: ("m", 0)}  # the fullest row of each key
+    empty = spark.createDataFrame([(1, ""), (1, None), (1, "z"), (2, None), (2, "")], "k int, s string")
+    assert {r["k"]: r["s"] for r in dedupe(empty, ["k"]).collect()} == {1: "z", 2: ""}
     latest = {r["k"]: r["v"] for r in dedupe(df.select("k", "v"), ["k"], order=desc_nulls_last("v")).collect()}
     assert latest == {1: 9, 2: 1, None: 0}
     for parts in (1, 3, 7):
@@ -68,7 +70,7 @@ def test_dedupe_matches_brute_force_property(spark):
         got = {r["k"]: (r["s"], r["v"]) for r in dedupe(df, ["k"], order=["v"]).collect()}
         want = {}
         for k, s, v in rows:
-            cand = (key(v), (s is not None, (s or "").encode()), key(v))
+            cand = (key(v), (s is None, (s or "").encode()), key(v))
             if k not in want or cand < want[k][0]:
                 want[k] = (cand, (s, v))
         assert got == {k: w[1] for k, w in want.items()}
@@ -76,11 +78,22 @@ def test_dedupe_matches_brute_force_property(spark):
     check()
 
 
-def test_number_rows_offset_table_path(spark, monkeypatch):
-    import courtside.operators.keys as K
-
-    monkeypatch.setattr(K, "MAP_OFFSETS_MAX", 1)
+def test_number_rows_over_many_partitions(spark):
     df = spark.range(0, 300).select(((F.col("id") * 17) % 300).alias("k"))
-    ids = K.number_rows(df, ["k"], "rid", partitions=6).collect()
+    ids = number_rows(df, ["k"], "rid", partitions=60).collect()
     assert sorted(r["rid"] for r in ids) == list(range(1, 301))
     assert all(r["rid"] == r["k"] + 1 for r in ids)
+    assert number_rows(df.where("k < 0"), ["k"], "rid").count() == 0
+
+
+def test_broadcast_needs_rows_and_decoded_size_in_bounds(spark):
+    from courtside.operators.lookup import fits_broadcast, measured
+
+    df = spark.range(0, 100).select("id", F.repeat(F.lit("x"), 1000).alias("wide"))
+    assert measured(df) == (100, 100 * (2 * 16 + 1000))
+    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
+    spark.conf.set("courtside.broadcast.maxBytes", "100000")
+    try:
+        assert not fits_broadcast(df, 100)
+    finally:
+        spark.conf.unset("courtside.broadcast.maxBytes")
