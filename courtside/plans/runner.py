@@ -5,8 +5,8 @@
 
 Reads the sources (driver tables through the adapter, or the raw CSV
 exports), builds dimensions first and the fact from them, checks keys
-(primary keys unique, fact keys present in their dimensions) and writes
-each table once: dimensions overwrite existing contract tables by
+(primary keys unique, fact keys present in their dimensions), counts missing
+keys and too long texts, and writes each table once: dimensions overwrite existing contract tables by
 position, the fact replaces its table (partitioned by nothing; set
 ``--partition-fact`` to partition it by league).
 """
@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.operators.quality import dq_foreign_key, dq_primary_key
+from courtside.operators.quality import dq_not_null, dq_primary_key
 from courtside.plans.warehouse import Warehouse
 from courtside.sources.files import create_contract_tables, insert_overwrite, read_exports, replace_table
 
@@ -26,18 +26,48 @@ DIM_KEYS = {"equipo": "idEquipo", "arbitro": "idArbitro", "liga": "idLiga", "fec
             "ubicacion": "idUbicacion", "jugador": "idJugador"}
 FACT_REFS = {"idEquipo_Local": "equipo", "idEquipo_Visitante": "equipo", "idArbitro": "arbitro", "idLiga": "liga",
              "idFecha": "fecha", "idUbicacion": "ubicacion", "idJugador": "jugador"}
+# Text limits of the contract; every other text has 45 characters.
+TEXT_LIMIT = 45
+OTHER_LIMITS = {("fecha", "temporada"): 20, ("jugador", "equipo"): 90}
+
+
+def dangling_keys(fact: DataFrame, tables: dict) -> dict[str, int]:
+    """Fact rows per reference whose key its dimension lacks, in one scan of the fact.
+
+    The keys of all references are unpivoted and counted per distinct key
+    (combined map-side), so what meets the dimensions is bounded by them.
+    """
+    pairs = [F.struct(F.lit(c).alias("ref"), F.lit(d).alias("dim"), F.col(c).alias("key")) for c, d in FACT_REFS.items()]
+    used = fact.select(F.inline(F.array(*pairs))).where("key IS NOT NULL").groupBy("ref", "dim", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = None
+    for d, k in DIM_KEYS.items():
+        one = tables[d].select(F.lit(d).alias("dim"), F.col(k).alias("key"))
+        known = one if known is None else known.unionByName(one)
+    lost = used.join(known, ["dim", "key"], "left_anti").groupBy("ref").agg(F.sum("n").alias("n"))
+    found = {r["ref"]: r["n"] for r in lost.collect()}  # at most one row per reference
+    return {c: found.get(c, 0) for c in FACT_REFS}
+
+
+def contract_report(tables: dict) -> dict[str, int]:
+    """Missing mandatory keys and texts over their limit, one aggregation per table."""
+    out = {}
+    for t, df in tables.items():
+        keys = [DIM_KEYS[t]] if t in DIM_KEYS else ["idPartido", *FACT_REFS]
+        out |= {f"nn_{t}_{k}": v for k, v in zip(keys, dq_not_null(df, keys).first())}
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        if texts:
+            over = [F.count_if(F.length(c) > OTHER_LIMITS.get((t, c), TEXT_LIMIT)) for c in texts]
+            out |= {f"len_{t}_{c}": v for c, v in zip(texts, df.agg(*over).first())}
+    return out
 
 
 def quality_report(tables: dict) -> dict[str, int]:
-    """Violation counts: duplicate keys per dimension and dangling fact keys."""
+    """Violation counts: duplicate keys per table and dangling fact keys."""
     out = {}
     for t, k in DIM_KEYS.items():
         out[f"pk_{t}"] = dq_primary_key(tables[t], [k]).count()
     out["pk_partido"] = dq_primary_key(tables["partido"], ["idPartido", "idJugador"]).count()
-    for col, dim in FACT_REFS.items():
-        out[f"fk_{col}"] = dq_foreign_key(tables["partido"].select(col), tables[dim], [col],
-                                          [DIM_KEYS[dim]]).count()
-    return out
+    return out | {f"fk_{c}": n for c, n in dangling_keys(tables["partido"], tables).items()}
 
 
 def build_and_store(spark: SparkSession, wh: Warehouse, database: str, location: str | None = None,
@@ -75,7 +105,8 @@ def main(argv=None) -> None:
     else:
         wh = Warehouse.from_frames(spark, not args.league_alias_dimension_only, **read_exports(spark, args.exports))
     report = build_and_store(spark, wh, args.database, args.location, args.partition_fact)
-    for k, v in report.items():
+    # Missing keys and long texts are reported only: the sources have games without a parseable date.
+    for k, v in (report | contract_report({t: spark.table(f"{args.database}.{t}") for t in wh.tables()})).items():
         print(f"{k}\t{v}")
     bad = {k: v for k, v in report.items() if v}
     spark.createDataFrame([(k, v) for k, v in report.items()], "check string, violations long") \

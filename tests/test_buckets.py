@@ -37,11 +37,3 @@ def test_positions(spark):
     df = spark.createDataFrame([("PG",), ("C-PF",), ("Forward-Center",), ("",), (None,), ("XX",)], "p string")
     got = [r[0] for r in df.select(B.position_label("p")).collect()]
     assert got == ["Base", "Pívot/Ala-pívot", "Alero/Pívot", "Desconocido", "Desconocido", "Desconocido"]
-
-
-def test_sql_bucket_matches(spark):
-    vals = [0.5, 1.89, 1.8923, 1.9, 2.2, None]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    df.createOrReplaceTempView("bk")
-    got = [r[0] for r in spark.sql(f"SELECT {B.sql_bucket('x', B.HEIGHT_M)} FROM bk").collect()]
-    assert got == [r[0] for r in df.select(B.bucketize(F.col("x"), B.HEIGHT_M)).collect()]
