@@ -5,12 +5,12 @@ Plan (one scan of the plays):
 1. ``game_player_measures``: explode slots, classify, aggregate by
    (game_id, normalised player name) with partial aggregation.
 2. Player key by name (lookup; a name held by two players yields one row
-   per player, as a per-id grouping would).
+   per player, as a per-id grouping would).  These rows are written as
+   Parquet in the checkpoint folder, so the plays are read once.
 3. Game header reduced to one row per game (referee, league, date, teams,
-   venue keys) and joined on game_id.
-4. ``idPartido`` = dense rank of game_id among the games that keep a row,
-   computed on a Parquet copy of step 3 in the checkpoint folder, so the
-   plays are read once.
+   venue keys), kept for the games of step 2 and numbered: ``idPartido`` is
+   the dense rank of game_id among them.
+4. One join of step 2 with these rows on game_id.
 
 The roster join of the source job is a no-op here: every (game, player)
 with statistics comes from a player slot of a play of that game, so the
@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions.text import full_name, norm_key, season_type
-from courtside.operators.keys import dedupe, dense_rank_ids, nulls_last
+from courtside.operators.keys import dedupe, nulls_last, number_rows
 from courtside.operators.lookup import lookup
 from courtside.operators.materialize import materialize
 from courtside.operators.unpivot import unpivot_groups
 from courtside.plans.plays import (blocks, game_player_measures, jump_balls, player_game_stats, play_flags,
                                    participants, play_stream, steals, derived_metrics)
 
+# The contract's columns in order.
 KEYS = ["idPartido", "idEquipo_Local", "idEquipo_Visitante", "idArbitro", "idLiga", "idFecha", "idUbicacion",
         "idJugador"]
 MEASURES = ["Puntos_Totales", "Saques_Exitosos", "Saques_Fallidos", "Tiros_Dobles_Exitosos", "Tiros_Dobles_Fallidos",
@@ -75,15 +76,21 @@ def home_team_venue(games: DataFrame, team: DataFrame, venue: DataFrame) -> Data
     The venue is the home team's arena/city/state matched case- and
     space-insensitively.
     """
-    g = games.select("game_id", "team_name_home", "team_name_away")
+    g = with_teams_and_venue(games.select("game_id", "team_name_home", "team_name_away"), team, venue)
+    return g.select("game_id", "idEquipo_Local", "idEquipo_Visitante", "idUbicacion")
+
+
+def with_teams_and_venue(g: DataFrame, team: DataFrame, venue: DataFrame) -> DataFrame:
+    """``g`` with the keys of both teams and of the home team's venue."""
+    kept = [c for c in g.columns if c not in ("team_name_home", "team_name_away")]
     g = lookup(g, team, ["team_name_away"], ["nombre"], ["idEquipo"], rename={"idEquipo": "idEquipo_Visitante"})
     g = lookup(g, team, ["team_name_home"], ["nombre"], ["idEquipo", "arena", "ciudad", "estado"],
                rename={"idEquipo": "idEquipo_Local", "arena": "h_arena", "ciudad": "h_ciudad", "estado": "h_estado"})
-    g = g.select("game_id", "idEquipo_Local", "idEquipo_Visitante",
+    g = g.select(*kept, "idEquipo_Local", "idEquipo_Visitante",
                  *[norm_key(f"h_{c}").alias(f"v_{c}") for c in ("arena", "ciudad", "estado")])
     v = venue.select("idUbicacion", *[norm_key(c).alias(f"n_{c}") for c in ("arena", "ciudad", "estado")])
     g = lookup(g, v, ["v_arena", "v_ciudad", "v_estado"], ["n_arena", "n_ciudad", "n_estado"], ["idUbicacion"])
-    return g.select("game_id", "idEquipo_Local", "idEquipo_Visitante", "idUbicacion")
+    return g.select(*kept, "idEquipo_Local", "idEquipo_Visitante", "idUbicacion")
 
 
 def game_header(games: DataFrame, officials: DataFrame, referee: DataFrame, league: DataFrame,
@@ -96,16 +103,14 @@ def game_header(games: DataFrame, officials: DataFrame, referee: DataFrame, leag
     """
     g = dedupe(games.select("game_id", "team_name_home", "team_name_away", "game_date", "season_type"),
                ["game_id"])
-    refs = officials.select("game_id", full_name("first_name", "last_name").alias("nombre_arbitro"))
-    h = g.join(refs, "game_id", "left")
-    h = lookup(h, referee, ["nombre_arbitro"], ["nombre"], ["idArbitro"])
     season = season_type("season_type") if fold_game_alias else F.col("season_type")
-    h = lookup(h.withColumn("liga", season), league, ["liga"], ["nombre"], ["idLiga"])
+    h = lookup(g.withColumn("liga", season), league, ["liga"], ["nombre"], ["idLiga"])
     ts = parse_game_date("game_date")
     h = h.withColumns({"dia": F.dayofmonth(ts), "mes": F.month(ts), "ano": F.year(ts)})
     h = lookup(h, calendar, ["dia", "mes", "ano"], ["dia", "mes", "ano"], ["idFecha"])
-    tv = home_team_venue(g, team, venue)
-    h = h.select("game_id", "idArbitro", "idLiga", "idFecha").join(tv, "game_id", "left")
+    h = with_teams_and_venue(h.select("game_id", "idLiga", "idFecha", "team_name_home", "team_name_away"), team, venue)
+    refs = officials.select("game_id", full_name("first_name", "last_name").alias("nombre_arbitro"))
+    h = lookup(h.join(refs, "game_id", "left"), referee, ["nombre_arbitro"], ["nombre"], ["idArbitro"])
     return h.select("game_id", *HEADER_KEYS)
 
 
@@ -123,18 +128,23 @@ def _contract(df: DataFrame) -> DataFrame:
                      F.coalesce(F.col(RATIO), F.lit(0.0)).cast("double").alias(RATIO))
 
 
-def fact_pre(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
-    """Measures with player and game keys, before the game numbering."""
+def player_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
+    """Measures with the player key, before the game keys."""
     measures = game_player_measures(plays)
     names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
-    m = lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
-    return m.join(game_keys(header), "game_id", "inner")
+    return lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
+
+
+def numbered_games(header: DataFrame, measures: DataFrame) -> DataFrame:
+    """One row per game with measures: game_id, its header keys, ``idPartido``."""
+    seen = measures.select("game_id").distinct()
+    return number_rows(game_keys(header).join(seen, "game_id", "left_semi"), ["game_id"], "idPartido")
 
 
 def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
     """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink)."""
-    pre = materialize(fact_pre(plays, header, player), "fact-pre")
-    return _contract(dense_rank_ids(pre, ["game_id"], "idPartido"))
+    measures = materialize(player_measures(plays, player), "player-measures")
+    return _contract(measures.join(numbered_games(header, measures), "game_id"))
 
 
 def stats_outer_merge(plays: DataFrame, player: DataFrame) -> DataFrame:

@@ -5,16 +5,10 @@ import hashlib
 import pytest
 
 import __spark_entry__ as E
+from courtside.catalog import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
-FAST = ["play_flags", "player_game_stats", "derived_metrics", "referee_dim", "league_dim", "venue_dim", "team_dim",
-        "player_dim", "game_header", "fact_partido", "roster", "jump_balls", "blocks", "steals", "name_vocabulary",
-        "position_vocabulary", "entity_dictionary", "play_types", "dq_pk", "dq_fk", "dq_length", "unit_convert",
-        "bucket_height", "season_alias_join", "venue_key", "date_key", "capacity_bucket", "csv_roundtrip",
-        "table_roundtrip", "stats_outer_merge", "preview"]
-
-
 def _digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(repr(round(r[i], 9)) if isinstance(r[i], float) else repr(r[i]) for i in order)
@@ -34,12 +28,10 @@ def con(sf_small):
 
 def test_every_query_has_oracle_or_is_listed():
     assert set(E.oracle_sql()) <= set(E.queries())
-    from courtside.catalog import QUERIES
-
     assert set(QUERIES) <= set(E.oracle_sql())  # optional modules may have queries that SQL can't express
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, sf_small, con, name):
     df = E.queries()[name](spark, sf_small)
     srows = [tuple(r) for r in df.collect()]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from courtside.plans import extensions as X
 from courtside.plans import fact as FP
+from courtside.plans import vocab as V
 from courtside.plans.warehouse import Warehouse
 
 
@@ -14,17 +15,24 @@ def _plan(df) -> str:
 
 def test_fact_reads_plays_once_without_python(spark, sf_small):
     wh = Warehouse(spark, sf_small)
-    pre = FP.fact_pre(wh.src("plays"), wh.header, wh.player)
-    plan = _plan(pre)
+    plan = _plan(FP.player_measures(wh.src("plays"), wh.player))
     assert plan.count("lineitem.parquet") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "SinglePartition" not in plan
 
 
+def test_header_and_dictionary_read_their_tables_once(spark, sf_small):
+    wh = Warehouse(spark, sf_small)
+    plan = _plan(FP.game_keys(wh.header))
+    # the games once; the adapter's officials take two more scans of the orders
+    assert plan.count("orders.parquet") == 3
+    assert "BatchEvalPython" not in plan and "SinglePartition" not in plan
+    assert _plan(V.entity_dictionary(wh.src("plays"))).count("lineitem.parquet") == 1
+
+
 def test_lineitem_scan_is_pruned(spark, sf_small):
     wh = Warehouse(spark, sf_small)
-    pre = FP.fact_pre(wh.src("plays"), wh.header, wh.player)
-    scan = [ln for ln in _plan(pre).splitlines() if "lineitem.parquet" in ln][0]
+    scan = [ln for ln in _plan(FP.player_measures(wh.src("plays"), wh.player)).splitlines() if "lineitem.parquet" in ln][0]
     for unused in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_returnflag"):
         assert unused not in scan
 
