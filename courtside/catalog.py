@@ -335,3 +335,45 @@ QUERIES.update({
     "extra_fouls": _ext("extra_fouls"),
     "play_type_counts": _ext("play_type_counts"),
 })
+
+
+# -- options whose defaults keep the source jobs' behaviour ------------------------
+
+def q_player_game_stats_primary(spark, sf_dir):
+    parts = P.participants(P.play_stream(_wh(spark, sf_dir).src("plays")))
+    return P.player_game_stats(P.play_flags(parts, attribution="primary"))
+
+
+def q_play_flags_whole_words(spark, sf_dir):
+    parts = P.participants(P.play_stream(_wh(spark, sf_dir).src("plays")))
+    return P.play_flags(parts, whole_words=True)
+
+
+def q_bucket_height_half_open(spark, sf_dir):
+    from courtside.plans.dims import unit_conversions
+
+    wh = _wh(spark, sf_dir)
+    u = unit_conversions(wh.src("player_profile"), wh.src("draft_combine"))
+    return u.select("player_id", B.bucketize("altura_m", B.HEIGHT_M, half_open=True).alias("altura"))
+
+
+def q_ambiguous_names(spark, sf_dir):
+    from courtside.plans.dims import ambiguous_names
+
+    wh = _wh(spark, sf_dir)
+    return ambiguous_names(wh.player, wh.team)
+
+
+def q_fact_by_referee(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    wh.prepare()
+    return fact_plan.fact_partido(wh.src("plays"), wh.header, wh.player, grain="referee")
+
+
+QUERIES.update({
+    "player_game_stats_primary": q_player_game_stats_primary,
+    "play_flags_whole_words": q_play_flags_whole_words,
+    "bucket_height_half_open": q_bucket_height_half_open,
+    "ambiguous_names": q_ambiguous_names,
+    "fact_by_referee": q_fact_by_referee,
+})

@@ -485,3 +485,23 @@ ORACLE["play_type_counts"] = _plays("stream", """SELECT CASE
   WHEN contains(descripcion, 'foul') THEN 'falta' WHEN contains(descripcion, 'sub:') THEN 'cambio'
   WHEN contains(descripcion, 'timeout') THEN 'tiempo_muerto' ELSE 'otra' END AS tipo, count(*) AS jugadas
 FROM stream GROUP BY 1""")
+
+
+# -- options --------------------------------------------------------------------------
+
+_ROLE = {n for n, _ in FLAG_SQL[-4:]}
+ORACLE["player_game_stats_primary"] = _plays("flags", "SELECT game_id, jugador, " + ", ".join(
+    f"CAST(sum({n if n in _ROLE else f'CASE WHEN role = 1 THEN {n} ELSE 0 END'}) AS BIGINT) AS {n}" for n in STAT_NAMES)
+    + " FROM flags GROUP BY game_id, jugador")
+_WHOLE = "'(^|[^a-z0-9_])(layup|dunk|shot|roll)([^a-z0-9_]|$)'"
+ORACLE["play_flags_whole_words"] = _plays("parts", FLAGS.replace("'layup|dunk|shot|roll'", _WHOLE))
+ORACLE["bucket_height_half_open"] = oracle_with(_UNIT_SRC, """SELECT player_id, CASE WHEN altura_m > 0 AND altura_m < 1.80 THEN 'Muy bajo'
+  WHEN altura_m >= 1.80 AND altura_m < 1.90 THEN 'Bajo' WHEN altura_m >= 1.90 AND altura_m < 2.05 THEN 'Medio'
+  WHEN altura_m >= 2.05 AND altura_m < 2.15 THEN 'Alto' WHEN altura_m >= 2.15 THEN 'Muy alto' ELSE 'Desconocido' END AS altura
+FROM units""", UNITS)
+ORACLE["ambiguous_names"] = _dims("""SELECT 'jugador' AS tabla, lower(trim(nombre)) AS nombre, count(*) AS n FROM player
+GROUP BY lower(trim(nombre)) HAVING count(*) > 1
+UNION ALL SELECT 'equipo', lower(trim(nombre)), count(*) FROM team GROUP BY lower(trim(nombre)) HAVING count(*) > 1""")
+ORACLE["fact_by_referee"] = _dims(
+    FACT_SELECT.replace("FROM pre JOIN", "FROM pre_all JOIN"),
+    PLAY_CTES + HEADER + FACT + [("pre_all", "SELECT * FROM m_id JOIN (SELECT DISTINCT * FROM header) USING (game_id)")])

@@ -89,10 +89,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def bucketize(c, rules, default: str = UNKNOWN) -> Column:
-    """First matching rule wins; NULL and gaps fall to ``default``."""
+def bucketize(c, rules, default: str = UNKNOWN, half_open: bool = False) -> Column:
+    """First matching rule wins; NULL and gaps fall to ``default``.
+
+    ``half_open`` closes the gaps: each bucket ends where the next begins.
+    """
     x = _c(c)
     out = None
+    if half_open:
+        rules = [(label, lo, lo_incl, after[1], False) if after else (label, lo, lo_incl, hi, hi_incl)
+                 for (label, lo, lo_incl, hi, hi_incl), after in zip(rules, [*rules[1:], None])]
     for label, lo, lo_incl, hi, hi_incl in rules:
         cond = F.lit(True)
         if lo is not None:

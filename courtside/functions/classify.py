@@ -22,15 +22,23 @@ def _has(d: Column, s: str) -> Column:
     return d.contains(s)
 
 
-def general_predicates(d: Column) -> dict[str, Column]:
+def _shot(d: Column, whole_words: bool) -> Column:
+    if whole_words:
+        return d.rlike(r"(?<![\p{L}\p{N}_])(" + "|".join(SHOT_WORDS) + r")(?![\p{L}\p{N}_])")
+    shot = _has(d, SHOT_WORDS[0])
+    for w in SHOT_WORDS[1:]:
+        shot = shot | _has(d, w)
+    return shot
+
+
+def general_predicates(d: Column, whole_words: bool = False) -> dict[str, Column]:
     """Per-participant statistics (every non-empty player slot gets them).
 
+    ``whole_words``: a shot word inside another word (a name) doesn't count.
+
     Fixed values: output column -> predicate over the lower-cased text.
     """
-    shot = _has(d, SHOT_WORDS[0])
-    for w in SHOT_WORDS[1:]:
-        shot = shot | _has(d, w)
-    two = shot & ~_has(d, "3pt") & ~_has(d, "turnover")
+    two = _shot(d, whole_words) & ~_has(d, "3pt") & ~_has(d, "turnover")
     return {
         "Tiros_Dobles_Exitosos": two & ~_has(d, "miss"),
         "Tiros_Dobles_Fallidos": two & _has(d, "miss"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions import buckets as B
-from courtside.functions.text import full_name, season_type, to_number, UNKNOWN
+from courtside.functions.text import full_name, norm_key, season_type, to_number, UNKNOWN
 from courtside.operators.keys import dedupe, desc_nulls_last, number_rows
 from courtside.operators.unpivot import unpivot_groups
 
@@ -209,3 +209,12 @@ def unit_conversions(profile: DataFrame, draft: DataFrame) -> DataFrame:
         (to_number("standing_reach") * F.lit(B.INCH_M)).alias("alcance_pie_m"),
         (to_number("to_year") - to_number("from_year")).alias("carrera_anos"),
     )
+
+
+def ambiguous_names(player: DataFrame, team: DataFrame) -> DataFrame:
+    """(tabla, nombre, n): normalised names that several players or teams hold, so lookups by name fan out."""
+    def held(df, table):
+        return (df.groupBy(norm_key("nombre").alias("nombre")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                .select(F.lit(table).alias("tabla"), "nombre", "n"))
+
+    return held(player, "jugador").unionByName(held(team, "equipo"))

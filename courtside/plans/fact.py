@@ -141,10 +141,19 @@ def numbered_games(header: DataFrame, measures: DataFrame) -> DataFrame:
     return number_rows(game_keys(header).join(seen, "game_id", "left_semi"), ["game_id"], "idPartido")
 
 
-def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame) -> DataFrame:
-    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink)."""
+def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain: str = "game") -> DataFrame:
+    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink).
+
+    ``grain="referee"`` keeps a row per official of the game instead of the
+    smallest key alone.
+    """
+    if grain not in ("game", "referee"):
+        raise ValueError(f"grain {grain!r}")
     measures = materialize(player_measures(plays, player), "player-measures")
-    return _contract(measures.join(numbered_games(header, measures), "game_id"))
+    games = numbered_games(header, measures)
+    if grain == "referee":
+        games = header.distinct().join(games.select("game_id", "idPartido"), "game_id")
+    return _contract(measures.join(games, "game_id"))
 
 
 def stats_outer_merge(plays: DataFrame, player: DataFrame) -> DataFrame:

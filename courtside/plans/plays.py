@@ -51,11 +51,20 @@ def participants(stream: DataFrame) -> DataFrame:
             .select(*keep, (F.col("pos") + 1).alias("role"), "jugador"))
 
 
-def play_flags(parts: DataFrame) -> DataFrame:
-    """All indicator columns (0/1) per participant row."""
+def play_flags(parts: DataFrame, attribution: str = "all", whole_words: bool = False) -> DataFrame:
+    """All indicator columns (0/1) per participant row.
+
+    ``attribution="primary"`` gives the general statistics of a play to its
+    first player only (an assister gets no points); ``"all"`` to everyone
+    named.  ``whole_words``: see ``general_predicates``.
+    """
+    if attribution not in ("all", "primary"):
+        raise ValueError(f"attribution {attribution!r}")
     d, role = F.col("descripcion"), F.col("role")
     general = F.col("jugador") != ""
-    cols = [flag(general & p).alias(n) for n, p in general_predicates(d).items()]
+    if attribution == "primary":
+        general = general & (role == 1)
+    cols = [flag(general & p).alias(n) for n, p in general_predicates(d, whole_words).items()]
     cols += [flag(p).alias(n) for n, p in role_predicates(d, role).items()]
     return parts.select(*parts.columns, *cols)
 

@@ -5,10 +5,11 @@ import os
 
 from pyspark.sql import functions as F
 
+from courtside.functions import buckets
 from courtside.functions.classify import GENERAL_STATS, flag, general_predicates
 from courtside.plans import dims
 from courtside.plans import extensions as X
-from courtside.plans.plays import game_player_measures
+from courtside.plans.plays import derived_metrics, game_player_measures, participants, play_flags, play_stream, player_game_stats
 from courtside.sources.adapter import Sources
 
 SLOTS = ", ".join(f"player{i}_name string, player{i}_team_city string, player{i}_team_nickname string" for i in (1, 2, 3))
@@ -74,6 +75,24 @@ def test_fullest_row_survives(spark):
     assert [r["nombre"] for r in dims.referee_dim(officials).collect()] == ["Joey Crawford"]
 
 
+def test_options_change_only_what_they_name(spark):
+    plays = spark.createDataFrame([_play(1, "Carroll 3PT Jump Shot (Price 1 AST)", ("Carroll", A), ("Price", A)),
+                                   _play(2, "Carroll REBOUND (Off:1 Def:0)", ("Carroll", A))], PLAYS)
+    parts = participants(play_stream(plays))
+
+    def points(**options):
+        return {r["jugador"]: r["Puntos_Totales"] for r in derived_metrics(player_game_stats(play_flags(parts, **options))).collect()}
+
+    assert points() == {"carroll": 5, "price": 3}  # 'roll' in the name counts as a made two
+    assert points(whole_words=True) == {"carroll": 3, "price": 3}
+    assert points(attribution="primary") == {"carroll": 5, "price": 0}
+    gap = spark.createDataFrame([(1.8923,), (1.79,), (2.2,), (0.0,), (None,)], "x double")
+    got = [r[0] for r in gap.select(buckets.bucketize("x", buckets.HEIGHT_M, half_open=True)).collect()]
+    assert got == ["Bajo", "Muy bajo", "Muy alto", "Desconocido", "Desconocido"]
+    names = spark.createDataFrame([("Mark ",), ("mark",), ("Ann",)], "nombre string")
+    assert [tuple(r) for r in dims.ambiguous_names(names, names.limit(1)).collect()] == [("jugador", "mark", 2)]
+
+
 # How many of the 114 play texts each classifier fits.
 COUNTS = {"Tiros_Dobles_Exitosos": 10, "Tiros_Dobles_Fallidos": 10, "Tiros_Triples_Exitosos": 6, "Tiros_Triples_Fallidos": 7,
           "Tiros_Libres_Exitosos": 4, "Tiros_Libres_Fallidos": 4, "Rebotes_Obtenidos": 1, "Rebotes_Defensivos_Obtenidos": 0,
