@@ -51,10 +51,9 @@ def runs(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(RUN_PATTERN), 0)
 
 
-def fragments(names: DataFrame, col: str = "nombre") -> DataFrame:
-    """Distinct whitespace-separated parts of the names (case kept)."""
-    parts = F.filter(F.split(F.col(col), UNICODE + r"\s+"), lambda p: p != "")
-    return names.where(F.col(col).isNotNull()).select(F.explode(parts).alias("entry")).distinct()
+def name_parts(c: Column) -> Column:
+    """The whitespace-separated parts of a name (case kept)."""
+    return F.filter(F.split(c, UNICODE + r"\s+"), lambda p: p != "")
 
 
 def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_col: str) -> DataFrame:

@@ -27,11 +27,6 @@ def position_vocabulary(draft: DataFrame, profile: DataFrame) -> DataFrame:
             .unionByName(profile.select("position").distinct()))
 
 
-def slot_names(plays: DataFrame) -> DataFrame:
-    groups = [{"nombre": f"player{i}_name", "equipo": f"player{i}_team_nickname"} for i in (1, 2, 3)]
-    return unpivot_groups(plays, [], groups)
-
-
 def entity_dictionary(plays: DataFrame) -> DataFrame:
     """(tipo, valor): distinct non-NULL player names ('jugador') and team nicknames ('equipo')."""
     cells = [F.struct(F.lit(tipo).alias("tipo"), F.col(f"player{i}_{c}").alias("valor"))
@@ -49,13 +44,12 @@ def play_types(plays: DataFrame) -> DataFrame:
     style words removed; one row per cleaned text with its smallest
     original; ids in cleaned-text order.
     """
-    s = slot_names(plays)
-    # Distinct name fragments and nicknames: small, read several times.
-    vocab = materialize(C.fragments(s.select("nombre")).select(F.lit(0).alias("kind"), "entry").unionByName(
-        s.select(F.lit(1).alias("kind"), F.col("equipo").alias("entry")).where(F.col("entry").isNotNull()).distinct()),
-        "vocabulary")
-    frags = vocab.where(F.col("kind") == 0).select("entry")
-    nicks = vocab.where(F.col("kind") == 1).select("entry")
+    # Distinct name fragments and nicknames from one scan of the plays: small, read several times.
+    player = F.col("tipo") == "jugador"
+    entries = F.when(player, C.name_parts(F.col("valor"))).otherwise(F.array("valor"))
+    vocab = materialize(entity_dictionary(plays).select("tipo", F.explode(entries).alias("entry")).distinct(), "vocabulary")
+    frags = vocab.where(player).select("entry")
+    nicks = vocab.where(~player).select("entry")
     dictionary = frags.unionByName(nicks).unionByName(nicks.select(F.upper("entry").alias("entry"))).distinct()
 
     descs = unpivot_groups(plays.where(F.col("player1_name").isNotNull()), [],
