@@ -15,7 +15,10 @@ Labelling and extraction then cover every page, whole.
 Text rules: character references are decoded, white space in a block becomes
 one space (``<br>`` is white space), ends are trimmed, empty blocks vanish,
 main blocks are joined in page order by one newline.  Scripts, styles, the
-head, comments and other markup are never blocks.
+head, comments and other markup are never blocks.  A formula (``<math>``) is
+text, its annotations too.  Custom elements (``<svg-icon>``) are ordinary
+tags, ``<svg/>`` ends at once, and an ``<svg>``, ``<object>``, ``<canvas>`` or
+``<template>`` that nothing closes hides nothing.
 
 Defined results: a null or empty page, or one without main text, gives the
 empty string.  Pages are handled one by one (repeated rows repeat); a page's
@@ -38,9 +41,12 @@ from pyspark.sql import functions as F
 
 from courtside.llm.common import batches_of, ship_package
 
-_RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|title"
+#: Content that is no text of the page; the first ones run to the end of the page when nothing closes them, the others are then ordinary tags.
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in
+        "script style noscript iframe textarea title svg template object canvas".split()}
+_TO_END = frozenset("script style noscript iframe textarea title".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>", re.S | re.I)
 _HINT = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _BLOCK = frozenset(
@@ -68,6 +74,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked, anchor, at = 0, False, 0
+    unclosed: set[str] = set()  # raw elements without an end from here on
 
     def close_block():
         nonlocal linked, anchor
@@ -78,17 +85,27 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked, anchor = 0, False
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             raw = page[at:m.start()]
             parts.append(raw)
             linked += len(raw) * anchor
         at = m.end()
-        tag = m[3] or m[6]
+        tag = m[2] or m[5]
         if not tag:
             continue
-        tag, closing = tag.lower(), m[2] or m[5]
-        if tag == "a":
+        tag, closing, attrs = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
+        if tag in _RAW:
+            named = not attrs or attrs[0] == "/" or attrs[0].isspace()  # <svg_x> is another element
+            if named and not closing and tag not in unclosed and not (tag == "svg" and attrs.endswith("/")):
+                end = _RAW[tag].search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in _TO_END:
+                    at = len(page)
+                else:
+                    unclosed.add(tag)
+        elif tag == "a":
             anchor = not closing
         elif tag == "br":
             parts.append(" ")
@@ -115,7 +132,6 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[i][0] in within:
                         break
-                attrs = m[4] or m[7] or ""
                 hints = tuple(w for x in _HINT.findall(attrs) for w in re.split(r"[^a-z]+", "".join(x).lower()) if w) if "=" in attrs else ()
                 stack.append((tag, hints))
     if at < len(page):

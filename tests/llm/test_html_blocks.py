@@ -18,6 +18,16 @@ def test_unclosed_markup_is_linear_and_safe():
     assert H.blocks("< 3 and > 2 <p>y")[0].text == "< 3 and > 2"
 
 
+def test_text_after_icons_and_formulas_stays():
+    for tag in ('<svg-icon name="x"></svg-icon>', '<svg class="i"/>', "<svg/>", "<math/>", "<math-renderer>", "<style-guide/>", "<title_card>",
+                "<svg><path d='M0'/><text>no</text></svg>", "<object-view x='1'></object-view>", "<SCRIPT src=a>var x</script >", '<svg viewBox="0 0 1 1">',
+                "<template>"):
+        found = H.blocks(f"<article><p>one</p>{tag}<p>two</p><p>a{tag}b</p><p>three</p></article>")
+        assert [b.text for b in found] == ["one", "two", "ab", "three"], tag
+    assert [b.text for b in H.blocks("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><p>End</p>")] == ["Let x=1 be.", "End"]
+    assert len(H.blocks("<p>x</p><svg>" * 20_000)) == 20_000
+
+
 def test_held_out_accuracy_and_table(spark, sf_small):
     pages = spark.read.parquet(f"{sf_small}/pages.parquet")
     got = {r.page_id: r for r in H.extract(pages).collect()}
