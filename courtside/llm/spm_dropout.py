@@ -3,24 +3,27 @@
 A text becomes pieces by merging neighbours, best-scored pair first, the
 leftmost of equal ones (SentencePiece's agenda).  Dropout skips a candidate
 merge with probability ``dropout``: whether it is skipped is a keyed hash of
-the candidate (seed, variant, word, first character, characters left and
-right), looked at when the candidate comes up, so the same key always gives
-the same segmentation, on any machine and retry.  Dropout 0 gives exactly
+the candidate (seed, document, place of the word in it, first character,
+characters left and right), looked at when the candidate comes up, so the
+same key always gives the same segmentation, on any machine and retry, and
+every occurrence of a word has draws of its own.  Dropout 0 gives exactly
 the model's own segmentation.
 
 No piece of the model has a space after another character, so merges never
 leave a word (its leading spaces included) and a word's segmentation depends
-on the word alone.  Each occurrence in a text uses one of ``variants`` keys
-in turn, starting from a keyed hash of the document's id; all words of a
-batch are merged at once in numpy, one merge a word and round, which is the
-agenda's order in each word.
+on the word and its draws alone.  What is remembered, in bounded number, is
+a tree per word: its merges in order as long as nothing is skipped, and from
+each of these a branch for when it is skipped.  An occurrence walks the tree
+by its own draws; branches not seen before are merged at once in numpy, one
+merge a word and round, which is the agenda's order in each word.  Long words
+and high dropout, where few walks repeat, are merged occurrence by occurrence.
 
 Characters without a piece become byte pieces, and so does U+2581, which
 would come back as a space: every text decodes to itself.
 
 Defined results: a null or empty text has no ids and decodes to the empty
-string.  Rows are encoded one by one (repeated rows repeat, ids null too);
-an empty table gives an empty result; other columns are ignored.
+string.  Rows are encoded one by one; the document in the key is id and text
+(repeated rows, the same in both, repeat, with a null id too); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,34 @@ _REAL = "\ud800"
 _WORD = re.compile(" *[^ ]+| +")
 _NONE = np.iinfo(np.int64).max
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_NEVER = np.int64(1 << 30)  # a rank behind all others
+#: Words up to this length have a tree, up to this dropout.
+SHORT, HIGH = 24, 0.25
+
+
+def _mark(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What tells the candidates of a word apart: first character, characters left and right."""
+    return at.astype(np.uint64) * _K1 + left.astype(np.uint64) * _K2 + right.astype(np.uint64) * (_K1 ^ _K2)
+
+
+def _draw(keys: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """53 bits per candidate, which is skipped when they are below ``_bar``."""
+    h = keys ^ marks
+    h = (h ^ (h >> np.uint64(31))) * _K2
+    h = (h ^ (h >> np.uint64(29))) * _K1
+    return h >> np.uint64(11)
+
+
+def _bar(dropout: float) -> np.uint64:
+    return np.uint64(min(1.0, max(0.0, dropout)) * (2**53))
+
+
+_MARKS = _mark(np.arange(1 << 15) >> 10, np.arange(1 << 15) >> 5 & 31, np.arange(1 << 15) & 31)
+
+
+def _spelled(word: str) -> str:
+    """Spaces as U+2581; a surrogate, which no text has, stands for a real U+2581 and is spelled in bytes."""
+    return word.replace(SPACE, _REAL).replace(" ", SPACE) if SPACE in word else word.replace(" ", SPACE)
 
 
 class Model:
@@ -121,7 +153,7 @@ class Model:
         piece[raw] = -1 - text[raw].astype(np.int64)  # unknown characters, kept as they are until the end
         pos = np.arange(len(text)) - start[word]
         size = np.ones(len(text), np.int64)
-        bar = np.uint64(min(1.0, max(0.0, dropout)) * (2**53))
+        bar = _bar(dropout)
         live = np.arange(len(piece))  # positions in words that may still merge
         done_at, done_piece, done_word = [], [], []
         while len(live):
@@ -132,10 +164,7 @@ class Model:
             made[both] = self.merge_of(p[both], p[both + 1])
             cand = np.nonzero(made >= 0)[0]
             if dropout > 0 and len(cand):
-                h = keys[w[cand]] ^ (at[cand].astype(np.uint64) * _K1 + n[cand].astype(np.uint64) * _K2 + n[cand + 1].astype(np.uint64) * (_K1 ^ _K2))
-                h = (h ^ (h >> np.uint64(31))) * _K2
-                h = (h ^ (h >> np.uint64(29))) * _K1
-                cand = cand[(h >> np.uint64(11)) >= bar]
+                cand = cand[_draw(keys[w[cand]], _mark(at[cand], n[cand], n[cand + 1])) >= bar]
             # The best candidate of each word: by rank, then from the left.
             value = np.full(len(p), _NONE)
             value[cand] = self.rank[made[cand]] << 32 | cand
@@ -167,6 +196,58 @@ class Model:
         raw_ids = p.astype("<i4").tobytes()
         return [raw_ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def trace(self, words: list[str], skip_word: np.ndarray, skip_code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the merges of each word in order, their number, ids, their number; the candidates (word, code) given are skipped.
+
+        Words are as in ``segment``, of ``SHORT`` characters at most; a code has 5 bits each for the first character and the lengths left and right.
+        """
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        lengths = np.array([len(w) for w in words])
+        word = np.repeat(np.arange(len(words)), lengths)
+        pos = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        piece = self.char[text].astype(np.int64)
+        raw = np.nonzero(piece < 0)[0]
+        piece[raw] = -1 - text[raw].astype(np.int64)
+        size = np.ones(len(text), np.int64)
+        skips = np.sort(skip_word << 15 | skip_code)
+        made, rank = np.full(len(piece), -1, np.int64), np.full(len(piece), _NEVER)
+
+        def pair_up(at):
+            found = self.merge_of(piece[at], piece[at + 1])
+            value = np.where(found >= 0, self.rank[found], _NEVER)
+            if len(skips):
+                code = word[at] << 15 | pos[at] << 10 | size[at] << 5 | size[at + 1]
+                value[skips[np.minimum(np.searchsorted(skips, code), len(skips) - 1)] == code] = _NEVER
+            made[at], rank[at] = found, value
+
+        pair_up(np.nonzero(word[1:] == word[:-1])[0])
+        done, steps = [], []
+        while len(piece):
+            heads = np.nonzero(np.append(True, word[1:] != word[:-1]))[0]
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(piece)), heads)
+            goes_on = best < _NEVER << 32
+            best = best[goes_on] & 0xFFFFFFFF
+            keep = np.ones(len(piece), bool)
+            if not goes_on.all():
+                keep = np.repeat(goes_on, np.diff(np.append(heads, len(piece))))
+                done.append((word[~keep] << 5 | pos[~keep], piece[~keep]))
+            steps.append((word[best], pos[best] << 10 | size[best] << 5 | size[best + 1]))
+            piece[best] = made[best]
+            size[best] += size[best + 1]
+            keep[best + 1] = False
+            at = np.cumsum(keep)[best] - 1
+            piece, word, pos, size, made, rank = (x[keep] for x in (piece, word, pos, size, made, rank))
+            made[at], rank[at] = -1, _NEVER
+            ends = np.append(word[1:] != word[:-1], True)
+            pair_up(np.concatenate([at[~ends[at]], at[pos[at] > 0] - 1]))
+        w, p = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(w)
+        p, w = p[order], w[order] >> 5
+        if len(raw):
+            p, w = self._spell(p, w)
+        sw, codes = (np.concatenate(x) for x in zip(*steps))
+        return codes[np.argsort(sw, kind="stable")], np.bincount(sw, minlength=len(words)), p, np.bincount(w, minlength=len(words))
+
     def _spell(self, p: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unknown characters as byte pieces."""
         at = np.nonzero(p < 0)[0]
@@ -185,45 +266,135 @@ class Model:
         return (text[1:] if text[:1] == b" " else text).decode()
 
 
+def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers lo, lo + 1, ... of each range, n of them, one range after the other."""
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+class _Column:
+    """An array that grows."""
+
+    def __init__(self, dtype):
+        self.data, self.n = np.empty(1024, dtype), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.data):
+            data = np.empty(max(self.n + len(more), len(self.data) * 3 // 2), self.data.dtype)
+            data[:self.n] = self.data[:self.n]
+            self.data = data
+        self.data[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
+class Trees:
+    """Per short word a tree of segmentations.
+
+    A node is a set of skipped candidates, with the merges that follow (from the last skipped one's place on) and the
+    ids if none of these is skipped; the child of a merge is the node where it is skipped too.
+    """
+
+    def __init__(self, model: Model):
+        self.model, self.words, self.roots = model, [], {}
+        self.code, self.child = _Column(np.int16), _Column(np.int32)  # per merge
+        self.ids = _Column(np.int32)
+        # Per node: its merges [lo, hi), place of the first, ids [id_lo, id_lo + id_n), word, parent and the merge there that is skipped here.
+        self.lo, self.hi, self.place, self.id_lo, self.id_n, self.word, self.parent, self.via = (_Column(np.int32) for _ in range(8))
+
+    def add_words(self, words: list[str]) -> None:
+        for lo in range(0, len(words), 50_000):
+            part = words[lo:lo + 50_000]
+            self.roots.update(zip(part, range(self.lo.n, self.lo.n + len(part))))
+            none = np.full(len(part), -1)
+            which = np.arange(len(self.words), len(self.words) + len(part))
+            self.words += part
+            self._add(which, none, none, np.zeros(len(part), np.int64))
+
+    def add_children(self, parent: np.ndarray, via: np.ndarray) -> None:
+        for lo in range(0, len(via), 50_000):
+            p, v = parent[lo:lo + 50_000], via[lo:lo + 50_000]
+            self.child.data[v] = np.arange(self.lo.n, self.lo.n + len(v))
+            self._add(self.word.data[p], p, v, self.place.data[p] + v - self.lo.data[p])
+
+    def _add(self, which: np.ndarray, parent: np.ndarray, via: np.ndarray, place: np.ndarray) -> None:
+        skip_word, skip_code, who, p, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(which)), parent, via
+        while (up := p >= 0).any():
+            who, p, v = who[up], p[up], v[up]
+            skip_word.append(who)
+            skip_code.append(self.code.data[v].astype(np.int64))
+            p, v = self.parent.data[p], self.via.data[p]
+        codes, n, ids, n_ids = self.model.trace([_spelled(self.words[i]) for i in which.tolist()], np.concatenate(skip_word), np.concatenate(skip_code))
+        rest = n - place
+        codes = codes[_ranges(np.cumsum(n) - rest, rest)]
+        lo = self.code.n + np.cumsum(rest) - rest
+        for column, more in ((self.lo, lo), (self.hi, lo + rest), (self.place, place), (self.id_lo, self.ids.n + np.cumsum(n_ids) - n_ids), (self.id_n, n_ids),
+                             (self.word, which), (self.parent, parent), (self.via, via), (self.code, codes), (self.child, np.full(len(codes), -1)), (self.ids, ids)):
+            column.add(more)
+
+    def walk(self, node: np.ndarray, keys: np.ndarray, bar: np.uint64) -> np.ndarray:
+        """The node that each occurrence ends at, from its word's root and its key."""
+        node, left = node.copy(), np.arange(len(node))
+        while len(left):
+            lo, n = self.lo.data[node[left]].astype(np.int64), (self.hi.data[node[left]] - self.lo.data[node[left]]).astype(np.int64)
+            merge, who = _ranges(lo, n), np.repeat(left, n)
+            skipped = np.nonzero(_draw(keys[who], _MARKS[self.code.data[merge]]) < bar)[0]
+            merge, who = merge[skipped], who[skipped]
+            first = np.append(True, who[1:] != who[:-1])[:len(who)]
+            merge, left = merge[first], who[first]
+            new, at = np.unique(merge[self.child.data[merge] < 0], return_index=True)
+            if len(new):
+                self.add_children(node[left[self.child.data[merge] < 0][at]], new)
+            node[left] = self.child.data[merge]
+        return node
+
+
 class Encoder:
-    """Texts to ids; the segmentation of (word, variant) pairs is remembered, in bounded number."""
+    """Texts to ids; every occurrence of a word has draws of its own.
+
+    ``variants`` is without effect: it once bounded the segmentations of a word.  ``limit`` bounds the words remembered,
+    four times as many are the nodes of their trees.
+    """
 
-    def __init__(self, model: Model, seed: int, dropout: float, variants: int, limit: int = 600_000):
-        self.model, self.seed, self.dropout, self.limit = model, seed, dropout, limit
-        self.variants = variants if dropout > 0 else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+    def __init__(self, model: Model, seed: int, dropout: float, variants: int | None = None, limit: int = 600_000):
+        self.model, self.seed, self.dropout, self.limit = model, seed & (2**64 - 1), dropout, limit
+        self.short = SHORT if dropout <= HIGH else 0
+        self.trees = Trees(model)
 
-    def _key(self, word: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(word.encode(), self.seed * 1_000_003 + variant)
+    def keys(self, key, text: str, n: int) -> np.ndarray:
+        """A key per word of a document."""
+        own = xxhash.xxh64_intdigest(text.encode(), xxhash.xxh64_intdigest(repr(key).encode(), self.seed))
+        x = np.uint64(own) + np.arange(1, n + 1, dtype=np.uint64) * _K1
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
 
     def encode(self, keys: list, texts: list[str]) -> list[np.ndarray]:
-        v = self.variants
-        if sum(map(len, self.known)) > self.limit:
-            self.known = [{} for _ in range(v)]
-        lists, firsts = [], []
-        missing: list[set[str]] = [set() for _ in range(v)]
-        for key, text in zip(keys, texts):
-            words = _WORD.findall(" " + text) if text else []
-            first = xxhash.xxh64_intdigest(repr(key).encode(), self.seed) % v
-            lists.append(words)
-            firsts.append(first)
-            for r in range(v):
-                missing[(first + r) % v].update(words[r::v])
-        todo = [(w, i) for i, (ws, known) in enumerate(zip(missing, self.known)) for w in ws - known.keys()]
-        for lo in range(0, len(todo), 50_000):
-            part = todo[lo:lo + 50_000]
-            # A surrogate, which no text has, stands for a real U+2581 and is spelled in bytes.
-            names = [w.replace(SPACE, _REAL).replace(" ", SPACE) if SPACE in w else w.replace(" ", SPACE) for w, _ in part]
-            hashes = np.array([self._key(w, i) for w, i in part], np.uint64)
-            for (w, i), ids in zip(part, self.model.segment(names, hashes, self.dropout)):
-                self.known[i][w] = ids
-        out = []
-        for words, first in zip(lists, firsts):
-            parts: list = [None] * len(words)
-            for r in range(v):
-                parts[r::v] = map(self.known[(first + r) % v].__getitem__, words[r::v])
-            out.append(np.frombuffer(b"".join(parts), "<i4"))
-        return out
+        t = self.trees
+        if len(t.roots) > self.limit or t.lo.n > 4 * self.limit:
+            t = self.trees = Trees(self.model)
+        lists = [_WORD.findall(" " + text) if text else [] for text in texts]
+        words = [w for ws in lists for w in ws]
+        draws = np.concatenate([np.zeros(0, np.uint64), *(self.keys(k, x, len(ws)) for k, x, ws in zip(keys, texts, lists) if ws)])
+        new = set(words).difference(t.roots)
+        t.add_words([w for w in new if len(w) <= self.short])
+        node = np.fromiter(map(t.roots.get, words, repeat(-1)), np.int64, len(words))
+        n, parts = np.zeros(len(words), np.int64), []
+        short, long = np.nonzero(node >= 0)[0], np.nonzero(node < 0)[0]
+        for lo in range(0, len(short), 100_000):
+            at = short[lo:lo + 100_000]
+            end = t.walk(node[at], draws[at], _bar(self.dropout)) if self.dropout > 0 else node[at]
+            n[at] = t.id_n.data[end]
+            parts.append((at, t.ids.data[_ranges(t.id_lo.data[end].astype(np.int64), n[at])]))
+        for lo in range(0, len(long), 50_000):
+            at = long[lo:lo + 50_000]
+            ids = self.model.segment([_spelled(words[i]) for i in at.tolist()], draws[at], self.dropout)
+            n[at] = [len(x) // 4 for x in ids]
+            parts.append((at, np.frombuffer(b"".join(ids), "<i4")))
+        ends = np.cumsum(n)
+        out = np.empty(int(n.sum()), "<i4")
+        for at, ids in parts:
+            out[_ranges(ends[at] - n[at], n[at])] = ids
+        cuts = np.append(0, ends)[np.cumsum([0, *map(len, lists)])].tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _MODELS: dict[str, Model] = {}
@@ -235,12 +406,23 @@ def _model(path: str) -> Model:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
-    """Per row: doc_id and ids (array of int)."""
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _encoder(path: str, seed: int, dropout: float) -> Encoder:
+    """One per Python worker: the words of earlier tasks are known to later ones."""
+    if (path, seed, dropout) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, seed, dropout] = Encoder(_model(path), seed, dropout)
+    return _ENCODERS[path, seed, dropout]
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int | None = None) -> DataFrame:
+    """Per row: doc_id and ids (array of int).  ``variants`` is without effect (see ``Encoder``)."""
     path = path or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(_model(path), seed, dropout, variants)
+        coder = _encoder(path, seed, dropout)
         for keys, texts in _held(batches, "_text"):
             ids = coder.encode(keys, [t.decode() for t in texts])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _lists(ids)], names=["doc_id", "ids"])
@@ -263,14 +445,14 @@ def decode(rows: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path:
     return rows.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{ids_col}` as ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int | None = None) -> DataFrame:
     """Per row, from its ids: doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit), n_chars and n_bytes of the decoded text, lossless."""
     path = path or tokenizer_path("piece_bpe_32k.model")
     names = ["doc_id", "n_ids", "ids_crc32", "n_chars", "n_bytes", "lossless"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        coder = Encoder(model, seed, dropout, variants)
+        coder = _encoder(path, seed, dropout)
         for keys, texts in _held(batches, "_text"):
             out = []
             for key, text, ids in zip(keys, texts, coder.encode(keys, [t.decode() for t in texts])):

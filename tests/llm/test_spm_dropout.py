@@ -68,6 +68,35 @@ def test_segmentations_vary_and_repeat():
     assert S.Encoder(MODEL, 1, 1.0, 8).encode([5], ["word"])[0].tolist() == [int(MODEL.char[ord(c)]) for c in "▁word"]
 
 
+def test_every_occurrence_is_the_agenda_with_its_own_key():
+    text = "the banana  internationalization ▁x mississippi é🎉 " + "counterrevolutionaries-and-more " + "the banana mississippi " * 60
+    words = S._WORD.findall(" " + text)
+    for dropout in (0.1, 0.25, 0.5):
+        coder = S.Encoder(MODEL, 1, dropout)
+        for key in (5, None):  # the second text meets known trees
+            want = b"".join(np.array(agenda(S._spelled(w), int(k), dropout), np.int64).astype("<i8").tobytes()
+                            for w, k in zip(words, coder.keys(key, text, len(words))) if "▁" not in w and w.isascii())
+            got = coder.encode([key], [text])[0]
+            plain = [coder.model.segment([S._spelled(w)], np.array([k], np.uint64), dropout)[0] for w, k in zip(words, coder.keys(key, text, len(words)))]
+            assert got.tobytes() == b"".join(plain)
+            assert want == b"".join(np.frombuffer(x, "<i4").astype("<i8").tobytes() for w, x in zip(words, plain) if "▁" not in w and w.isascii())
+
+
+def test_skip_rate_and_number_of_segmentations():
+    n = 20_000  # " a" has one candidate merge
+    ids = [len(x) for x in S.Encoder(MODEL, 1, 0.1, 4).encode(list(range(n)), ["a"] * n)]
+    assert set(ids) == {1, 2} and abs(ids.count(2) / n - 0.1) < 0.01  # of copies of one text
+    one = S.Encoder(MODEL, 1, 0.1, 4).encode([1], [" ".join(["a"] * n)])[0]  # and of occurrences in one text
+    assert abs((len(one) - n) / n - 0.1) < 0.01
+
+    def distinct(k):
+        return len({x.tobytes() for x in S.Encoder(MODEL, 1, 0.1, 4).encode(list(range(k)), ["internationalization"] * k)})
+
+    assert 4 < distinct(40) < distinct(400) < distinct(4000)
+    same = [x.tolist() for x in S.Encoder(MODEL, 1, 0.1).encode([3, 3, None, None], ["mississippi " * 9] * 4)]
+    assert same[0] == same[1] != same[2] == same[3]
+
+
 def test_table_and_odd_rows(spark, sf_small, odd_docs, no_docs):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     got = S.round_trips(docs)
