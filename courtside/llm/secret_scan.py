@@ -11,7 +11,10 @@ alnum, base64).  A window of ``WINDOW`` characters slides over it; the fold
 keeps a count per character and the running sum of c*log2(c), both changed
 only for the character that enters and the one that leaves, so the entropy
 of every window is exact at constant cost.  The candidate is a secret when
-some window reaches its class's threshold and no allow-list pattern fits.
+some window without a placeholder word reaches its class's threshold and the
+candidate is neither a UUID nor words joined by separators.  Joined words
+have a separator, their parts are written as words are, and none reaches the
+threshold of letters alone; so a key of letters, alone or as a part, counts.
 A candidate inside a base span adds nothing; base spans always stay.
 
 Defined results: a null or empty text has no spans (count 0, the digest of
@@ -36,12 +39,15 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Bits a window must reach, by class; 20 characters have at most 4.32.  Digits alone are never secrets.
 THRESHOLDS = {"hex": 3.0, "letters": 4.2, "alnum": 3.7, "base64": 3.9}
+#: A part in one case, capitalised or in camel case with humps of two small letters or more.
+_PART = "(?:[A-Z]*[a-z]{2,}(?:[A-Z]+[a-z]{2,})*+[A-Z]*|[A-Z]+|[A-Z]?[a-z])(?![A-Za-z])"
+JOINED = rf"^(?=[A-Za-z]*[/_=+-])/?{_PART}(?:[/_=+-]+{_PART})*+[/_=+-]*$"  # words joined by separators
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|xxxx",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
-    r"^/?[A-Za-z]+([/_=+-]+[A-Za-z]+)*[/_=+-]*$",  # words joined by separators
-    r"(?i)0123456789|abcdefghijklm",
+    JOINED,
 )
+#: A window that meets one of these does not count; the rest of the candidate does.
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefghijklm"
 
 _SPAN = "array<struct<s:int,k:int,e:int>>"
 
@@ -98,14 +104,15 @@ def window_entropy(s: Column, window: int = WINDOW) -> Column:
 
 
 def _is_secret(s: Column) -> Column:
-    bits = window_entropy(s)
+    bits = F.array_max(F.transform(F.split(s, PLACEHOLDER, -1), lambda p: window_entropy(p)))
     bar = (F.when(s.rlike("^[0-9]+$"), F.lit(float("inf")))
            .when(s.rlike("^[0-9a-fA-F]+$"), F.lit(THRESHOLDS["hex"]))
            .when(s.rlike("^[A-Za-z]+$"), F.lit(THRESHOLDS["letters"]))
            .when(s.rlike("^[A-Za-z0-9]+$"), F.lit(THRESHOLDS["alnum"])).otherwise(F.lit(THRESHOLDS["base64"])))
+    key_part = F.exists(F.split(s, "[/_=+-]+", -1), lambda p: window_entropy(p) >= THRESHOLDS["letters"])
     allowed = F.lit(False)
     for pattern in ALLOW:
-        allowed = allowed | s.rlike(pattern)
+        allowed = allowed | (s.rlike(pattern) & ~key_part if pattern == JOINED else s.rlike(pattern))
     return F.when(allowed, F.lit(False)).otherwise(bits >= bar)
 
 
