@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +50,20 @@ def test_recall_on_the_table(spark, sf_small):
         assert all(s == pytest.approx(exact[i], abs=1e-12) for i, s in got[q] if i in exact)
 
 
+def test_recall_with_the_registered_defaults(spark, sf_small):
+    path = f"{sf_small}/../check_l/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("large test data not present")
+    df = spark.read.parquet(path)  # 7 shards of up to 8192 rows
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert len(rows) > 5 * 8192
+    got = found(V.search(df, F.col("_id") % 100 == 0))
+    want = brute(rows, sorted(got), 10)
+    recall = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want])
+    print("recall with the defaults", len(want), recall)
+    assert len(want) > 500 and recall >= 0.95
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]),
             (6, [3.0, 2.0, 1.0]), (7, []), (8, [float("inf"), 0.0]), (100, [5.0, 2.0])]
