@@ -9,7 +9,9 @@ reads the whole sequence in both directions, so each block is classified
 The network is trained on the driver, from a fixed seed, on generated pages
 whose blocks are known (random layouts with menus, notices, adverts, forms,
 sidebars, comments) and on a bounded sample of the table (``sample``
-pages, smallest hash of the id first) labelled by tag and class names.
+pages, smallest hash of the id first) labelled by tag and class names.  A
+page of more than ``window`` blocks is trained on in windows that cover it
+to its end; their blocks keep their features from the whole page.
 Labelling and extraction then cover every page, whole.
 
 Text rules: character references are decoded, white space in a block becomes
@@ -416,26 +418,32 @@ def generated_pages(n: int, seed: int = 3) -> list[tuple[list[Block], np.ndarray
     return out
 
 
-def train(pages: list[str], generated: int = 700) -> dict[str, np.ndarray]:
-    """Weights from generated pages and from ``pages`` labelled by names."""
+def windows(x: np.ndarray, y: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A page in as few sequences of like length as ``size`` blocks allow; every block is in one."""
+    n = max(1, -(-len(x) // size))
+    return list(zip(np.array_split(x, n), np.array_split(y, n)))
+
+
+def train(pages: list[str], generated: int = 700, window: int = 400) -> dict[str, np.ndarray]:
+    """Weights from generated pages and from ``pages`` labelled by names, whole; longer ones in windows of ``window`` blocks."""
     f, data = Features(), [(b, y) for b, y in generated_pages(generated)]
     for page in pages:
         found = blocks(page)
         data.append((found, label_by_names(found)))
     net = BiLstm(N_IN)
-    net.fit([(f.page(b[:400]), y[:400]) for b, y in data])
+    net.fit([w for b, y in data for w in windows(f.page(b), y, window)])
     return net.p
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = 256) -> DataFrame:
-    """Per row: id, url, text, n_chars, n_blocks, n_main.  ``sample`` bounds the table's pages used in training."""
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = 256, window: int = 400) -> DataFrame:
+    """Per row: id, url, text, n_chars, n_blocks, n_main.  ``sample`` bounds the table's pages used in training, ``window`` the blocks of a training sequence."""
     ship_package(pages.sparkSession)
     page = F.coalesce(F.col(html_col), F.lit("")).alias("_html")
     ids = pages.select(F.col(id_col).cast("long").alias("_id"), page).where("_id IS NOT NULL AND _html != ''")
     # The sample is chosen by id alone; only its pages come to the driver.
     chosen = [r[0] for r in ids.select("_id").orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()]
     seen = [r[1] for r in sorted(map(tuple, ids.where(F.col("_id").isin(chosen)).limit(sample).collect()))] if chosen else []
-    weights = train([r[0] for r in seen])
+    weights = train([r[0] for r in seen], window=window)
     names = [id_col, url_col, "text", "n_chars", "n_blocks", "n_main"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 

@@ -42,6 +42,28 @@ def test_held_out_accuracy_and_table(spark, sf_small):
     assert np.mean(np.concatenate([a == y for a, (_, y) in zip(said, held)])) > 0.98
 
 
+def long_page(i):
+    body = "".join(f"<p>Paragraph {k} of article {i}, with some more words, and a stop.</p>" for k in range(450 + 40 * i))
+    comments = "".join(f"<p>Reader {k} says a few words about it, and stops.</p>" for k in range(60))
+    return (f'<html><body><nav><a href="/">Home</a></nav><article>{body}</article><div class="comments">{comments}</div>'
+            "<footer><p>&copy; All rights reserved here.</p></footer></body></html>")
+
+
+def test_training_sees_long_pages_to_their_end(monkeypatch):
+    seen = []
+    fit = H.BiLstm.fit
+    monkeypatch.setattr(H.BiLstm, "fit", lambda self, pages, **k: (seen.extend(pages), fit(self, pages, **k))[1])
+    pages = [long_page(i) for i in range(6)]
+    net = H.BiLstm(H.N_IN)
+    net.p = H.train(pages, 300)
+    labels = [H.label_by_names(H.blocks(p)) for p in pages]
+    assert sum(len(x) for x, _ in seen[300:]) == sum(map(len, labels)) and max(len(x) for x, _ in seen) <= 400
+    assert np.array_equal(np.concatenate([y for _, y in seen[300:]]), np.concatenate(labels))
+    f = H.Features()
+    for said, y in zip(net.classify([f.page(H.blocks(p)) for p in pages]), labels):
+        assert not said[-61:].any() and np.mean(said == y) > 0.98  # comments and footer
+
+
 def test_gradients_match_differences():
     r = np.random.default_rng(0)
     net = H.BiLstm(6, hidden=3)
