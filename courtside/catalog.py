@@ -175,6 +175,10 @@ def q_roster(spark, sf_dir):
     return fact_plan.roster(_wh(spark, sf_dir).src("plays"))
 
 
+def q_roster_measures(spark, sf_dir):
+    return fact_plan.roster_measures(_wh(spark, sf_dir).src("plays"))
+
+
 def q_date_key(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return fact_plan.date_key(wh.src("games"), wh.calendar)
@@ -297,6 +301,7 @@ QUERIES.update({
     "position_map": q_position_map,
     "capacity_bucket": q_capacity_bucket,
     "roster": q_roster,
+    "roster_measures": q_roster_measures,
     "date_key": q_date_key,
     "venue_key": q_venue_key,
     "season_alias_join": q_season_alias_join,

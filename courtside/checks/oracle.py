@@ -329,12 +329,15 @@ ORACLE["capacity_bucket"] = oracle_with(
 
 # -- fact pieces ----------------------------------------------------------------------
 
-ORACLE["roster"] = oracle_with(["plays"], "SELECT game_id, jugador, nombre_equipo FROM roster_one", [
+ROSTER = [
     ("roster_rows", " UNION ALL ".join(
         f"SELECT game_id, lower(trim(player{i}_name)) AS jugador, "
         f"concat_ws(' ', player{i}_team_city, player{i}_team_nickname) AS nombre_equipo FROM plays" for i in (1, 2, 3))),
     ("roster_one", _first("roster_rows", ["game_id", "jugador"], ["nombre_equipo"])),
-])
+]
+ORACLE["roster"] = oracle_with(["plays"], "SELECT game_id, jugador, nombre_equipo FROM roster_one", ROSTER)
+ORACLE["roster_measures"] = _plays("measures", "SELECT m.*, r.nombre_equipo FROM measures m JOIN roster_one r "
+                                   "ON m.game_id = r.game_id AND m.jugador = r.jugador", ROSTER)
 _TSG = "try_strptime(g.game_date, '%Y-%m-%d %H:%M:%S')"
 ORACLE["date_key"] = _dims(f"""SELECT g.game_id, c.idFecha FROM games g
 LEFT JOIN calendar c ON c.dia = day({_TSG}) AND c.mes = month({_TSG}) AND c.ano = year({_TSG})""")

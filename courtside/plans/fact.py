@@ -14,8 +14,8 @@ Plan (one scan of the plays):
 
 The roster join of the source job is a no-op here: every (game, player)
 with statistics comes from a player slot of a play of that game, so the
-roster already contains it; ``stats_outer_merge`` keeps the source job's
-shape as a cross-check.
+roster already contains it; ``roster_measures`` runs that join by itself, and
+``stats_outer_merge`` keeps the source job's shape as a cross-check.
 """
 
 from __future__ import annotations
@@ -57,6 +57,11 @@ def roster(plays: DataFrame) -> DataFrame:
     return dedupe(rows, ["game_id", "jugador"], collapse=True)
 
 
+def roster_measures(plays: DataFrame) -> DataFrame:
+    """The measures with the player's team: inner join with the roster on (game_id, jugador)."""
+    return game_player_measures(plays).join(roster(plays), ["game_id", "jugador"])
+
+
 # -- game header ----------------------------------------------------------------
 
 def parse_game_date(c) -> F.Column:

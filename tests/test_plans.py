@@ -119,3 +119,13 @@ def test_csv_landing_is_text_and_pruned(spark, tmp_path):
     scan = [ln for ln in _plan(back).splitlines() if "FileScan csv" in ln][0]
     assert "ReadSchema: struct<k:string,x:string>" in scan
     assert sorted(tuple(r) for r in back.collect()) == [("1", "2.5"), ("2", None)]
+
+
+def test_roster_measures_join_on_both_keys(spark, sf_small):
+    import __spark_entry__ as E
+
+    measures, joined = (E.queries()[n](spark, sf_small).collect() for n in ("derived_metrics", "roster_measures"))
+    teams = {(r.game_id, r.jugador): r.nombre_equipo for r in E.queries()["roster"](spark, sf_small).collect()}
+    got = {(r.game_id, r.jugador): tuple(r)[:-1] for r in joined}
+    assert len(got) == len(joined) > 0 and all(r.nombre_equipo == teams[r.game_id, r.jugador] for r in joined)
+    assert got == {(r.game_id, r.jugador): tuple(r) for r in measures}  # the roster holds every player with measures
