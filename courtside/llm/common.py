@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,13 +73,27 @@ _LETTER = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 _MARK = ".,;:!?&%$#*|"
 
 
+def _re2(chars: str) -> str:
+    """A character class's inside in the notation of Arrow's regular expressions."""
+    return re.sub(r"\\(?:x([0-9a-f]{2})|u([0-9a-f]{4}))", lambda m: "\\x{" + (m[1] or m[2]) + "}", chars)
+
+
+_CUT = "\x01"  # stands where a text is cut
+#: A space between white space, or at the end after white space: there a byte-level token may cross the space.  Or a cut sign.
+_CROSSED = f"[{_re2(_WHITE)}] (?:[{_re2(_WHITE)}]|\\z)|{_CUT}"
+#: Between a letter and a mark or line end, and between a single line end and a letter.
+_CUTS = [(f"([{_re2(_LETTER)}])([{_MARK}\\n])", f"\\1{_CUT}\\2"), (f"([^{_re2(_WHITE)}])\\n([{_re2(_LETTER)}])", f"\\1\n{_CUT}\\2")]
+
+
 class WordCoder:
     """Token ids as the tokenizers library gives for whole texts, with the ids of words remembered.
 
     Both public tokenizers used here never merge across white space, nor between a Latin letter and one of
-    ``_MARK``, so a text is cut there and each part is encoded once per worker (in bounded number).  Parts of
-    letters only are encoded many in one call and told apart by the library's word numbers; others one by one.
-    ``spaced``: white space belongs to the tokens (byte-level BPE); else it is dropped and A-Z count as a-z.
+    ``_MARK``.  Texts are cut before spaces and there (by Arrow, texts with a space inside other white space
+    aside), each distinct piece of a slice is looked up once, and its parts are encoded once per worker (in
+    bounded number).
+    Parts of letters only are encoded many in one call and told apart by their tokens; others one by one.  ``spaced``: white space belongs to the tokens (byte-level BPE); else it is dropped and A-Z count as
+    a-z.  The strings of special tokens count as ordinary text (``tokenizer``).
     """
 
     def __init__(self, path: str, spaced: bool, limit: int = 1_000_000):
@@ -88,24 +103,77 @@ class WordCoder:
         self.simple = re.compile(f"{' ' if spaced else ''}[{_LETTER}]+").fullmatch
         self.model, self.spaced, self.limit = tokenizer(path), spaced, limit
         self.known: dict[str, bytes] = {}
+        vocabulary = self.model.get_vocab()
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # per token its bytes, or whether it ends a word
+        for token, i in vocabulary.items():
+            self.size[i] = len(token) if spaced else token.endswith("</w>")
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode parts that are not known yet."""
+        plain = [x for x in parts if self.simple(x)]
+        for lo in range(0, len(plain), 2000):
+            some = plain[lo:lo + 2000]
+            e, = self.model.encode_batch_fast([("" if self.spaced else " ").join(some)], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            # A word's last token: where as many bytes have passed as the words have, or a token that ends words.
+            ends = (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(x.encode()) for x in some])) if self.spaced
+                    else np.nonzero(self.size[ids])[0])
+            ends, raw = [0, *(4 * (ends + 1)).tolist()], ids.tobytes()
+            if len(ends) != len(some) + 1 or ends[-1] != len(raw):
+                raise ValueError("the tokenizer does not keep words apart")
+            self.known.update(zip(some, (raw[a:b] for a, b in zip(ends, ends[1:]))))
+        other = list(parts.difference(plain))
+        for x, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[x] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def _raw(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as bytes."""
+        out = list(map(self.known.get, pieces))
+        missing = [i for i, x in enumerate(out) if x is None]
+        if missing:
+            parts = [self.cut(pieces[i]) for i in missing]
+            new = {x for p in parts for x in p if x not in self.known}
+            if new:
+                self._learn(new)
+            get = self.known.__getitem__
+            for i, p in zip(missing, parts):
+                out[i] = self.known[pieces[i]] = b"".join(map(get, p)) if len(p) != 1 else get(p[0])
+        return out
+
+    def encode(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
         """The ids (uint32) of each UTF-8 text, without special tokens."""
-        parts = [self.cut((t if self.spaced else t.lower()).decode()) for t in texts]
         if len(self.known) > self.limit:
             self.known.clear()
-        new = set().union(*parts) - self.known.keys()
-        plain = [x for x in new if self.simple(x)]
-        for lo in range(0, len(plain), 2000):
-            part = plain[lo:lo + 2000]
-            e = self.model.encode(("" if self.spaced else " ").join(part), add_special_tokens=False)
-            ends = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1))).tolist()
-            raw = np.array(e.ids, "<u4").tobytes()
-            self.known.update(zip(part, (raw[a:b] for a, b in zip(ends, ends[1:]))))
-        other = list(new.difference(plain))
-        for x, e in zip(other, self.model.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[x] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
+        strings = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())).cast(pa.string())
+        if not self.spaced:
+            strings = pc.ascii_lower(strings)
+        crossed = np.nonzero(pc.match_substring_regex(strings, _CROSSED if self.spaced else _CUT).to_numpy(zero_copy_only=False))[0].tolist()
+        whole = dict(zip(crossed, self._raw(strings.take(pa.array(crossed, pa.int64())).to_pylist())))
+        strings = pc.replace_substring(strings, " ", _CUT + " " if self.spaced else _CUT)
+        for pattern, cut in _CUTS:
+            strings = pc.replace_substring_regex(strings, pattern, cut)
+        lists = pc.split_pattern(strings, _CUT)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        found = lists.flatten().dictionary_encode()
+        codes, first = found.indices.to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+        raw = self._raw(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        length = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        ids = np.frombuffer(b"".join(raw), "<u4")
+        each = length[codes]
+        ends = np.cumsum(each)
+        ids = ids[np.repeat((np.cumsum(length) - length)[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.concatenate([[0], ends])[np.append(first, len(codes))].tolist()
+        return [np.frombuffer(whole[i], "<u4") if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+
+
+def text_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of a binary column, or of one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 _CODERS: dict = {}

@@ -20,7 +20,11 @@ splits a repeated id and makes ties definite up to equal texts), sorted and
 tokenized in the writing task, which streams blocks to a file in the shared
 folder under a temporary name and renames it at the end: a lost or repeated
 task leaves no partial file.  File names ascend with the ids.  Reading maps
-over the files; only one row per file (its counts) passes the driver.
+over the files.  The list of files (name and counts) is a table of its own;
+a running sum over it gives every file's first token, joined by the name.
+
+The strings of special tokens in a text are ordinary text: the tokenizer is
+opened with ``encode_special_tokens``, as its own description asks for.
 
 Defined results: a null or empty text is its end id alone; every row is
 written (repeated rows repeat); an empty table gives no files and an empty
@@ -37,11 +41,12 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import columns, id_and_bytes, ship_package, tokenizer_path, word_coder
-from courtside.operators.materialize import scratch_path
+from courtside.llm.common import id_and_bytes, ship_package, text_slices, tokenizer_path, word_coder
+from courtside.operators.lookup import checked_broadcast
+from courtside.operators.materialize import materialize, scratch_path
 
 BLOCK, PERCENTILE, MAGIC = 128, 0.9, b"PFR1"
 _HEAD = 8
@@ -187,8 +192,11 @@ def _store(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2,
-                file_tokens: int = 1 << 24) -> list[tuple[str, int, int]]:
-    """Write the files; (name, documents, tokens) of each in id order.  ``file_tokens`` bounds a file (a document is never split)."""
+                file_tokens: int = 1 << 24) -> DataFrame:
+    """Write the files; a stored table of their name, n_docs, n_tokens.  Names ascend with the ids.
+
+    ``file_tokens`` bounds a file (a document is never split).
+    """
     path = path or tokenizer_path("byte_bpe_50k.json")
     rows = id_and_bytes(docs, id_col, text_col).withColumn("_h", F.xxhash64("_text"))
     ranged = rows.repartitionByRange(F.col("_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("_id").asc_nulls_first(), "_h")
@@ -198,15 +206,14 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         writer, number, names = None, 0, ["name", "n_docs", "n_tokens"]
 
         def finish():
-            name = f"part-{task.partitionId():06d}-{number:04d}.pfor"
+            name = f"part-{task.partitionId():06d}-{number:06d}.pfor"
             n_docs, n_tokens = writer.close()
             store.move(temporary, f"{base}/{name}")
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n_docs]), pa.array([n_tokens])], names=names)
 
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                keys, texts = columns(b.slice(lo, 1024), "_id", "_text")
-                for key, ids in zip(keys, model.encode(texts)):
+            for part in text_slices(b, "_text"):
+                for key, ids in zip(part.column(0).to_pylist(), model.encode(part.column(1))):
                     if writer is None:
                         store.create_dir(base, recursive=True)
                         temporary = f"{base}/_{task.partitionId()}-{task.taskAttemptId()}-{number}"
@@ -218,19 +225,18 @@ def write_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         if writer is not None:
             yield finish()
 
-    done = ranged.mapInArrow(run, "name string, n_docs bigint, n_tokens bigint").collect()  # one row per file
-    return sorted(tuple(r) for r in done)
+    return materialize(ranged.mapInArrow(run, "name string, n_docs bigint, n_tokens bigint"), "pfor-files")
 
 
-def read_files(spark: SparkSession, folder: str, files: list[tuple[str, int, int]]) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32, file."""
+def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32, file.  ``files``: the table of ``write_files``."""
     ship_package(spark)
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, file string"
-    if not files:
+    if files.isEmpty():
         return spark.createDataFrame([], schema)
-    offsets, total = {}, 0
-    for name, _, n in files:
-        offsets[name], total = total, total + n
+    # One row per file, so this window stays small; names ascend with the ids.
+    before = F.sum("n_tokens").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = files.select(F.col("name").alias("file"), F.coalesce(before, F.lit(0)).alias("_before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -241,11 +247,13 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[str, int, int
                 tokens = tokens.astype("<u4", copy=False)
                 crc = [zlib.crc32(tokens[s:e]) for s, e in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64(), mask=nulls.astype(bool)), pa.array(ends[:-1] + offsets[name]), pa.array(np.diff(ends)),
+                    [pa.array(ids, pa.int64(), mask=nulls.astype(bool)), pa.array(ends[:-1]), pa.array(np.diff(ends)),
                      pa.array(crc, pa.int64()), pa.array([name] * len(ids), pa.string())], names=[x.split()[0] for x in schema.split(", ")])
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
-    return found.select("path", "content").mapInArrow(run, schema)
+    rows = found.select("path", "content").mapInArrow(run, schema)
+    return rows.join(checked_broadcast(offsets), "file").select(
+        "doc_id", (F.col("start") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32", "file")
 
 
 def round_trip(docs: DataFrame, **options) -> DataFrame:
