@@ -35,6 +35,12 @@ def id_and_bytes(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFram
                        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("_text"), *more)
 
 
+def by_position(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named ``c0``, ``c1``, ... and those names by the old ones: no other name can clash with a helper's."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 

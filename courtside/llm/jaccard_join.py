@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import batches_of, id_and_bytes, ship_package
+from courtside.llm.common import batches_of, by_position, id_and_bytes, ship_package
 from courtside.llm.components import components
 from courtside.operators.materialize import materialize
 
@@ -344,11 +344,12 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     linked = link_documents(docs, k, percent, id_col, text_col)
     kept = materialize(linked.where("is_first").groupBy(F.col(id_col).alias("_k_id"), F.col("text_hash").alias("_k_h")).agg(
         F.count(F.lit(1)).alias("_k_n")), "jaccard-kept")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (F.xxhash64(docs[text_col]) == F.col("_k_h"))
-    once = docs.join(kept.where("_k_n = 1"), same, "left_semi")
+    plain, name = by_position(docs)
+    same = F.col(name[id_col]).cast("long").eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.col(name[text_col])) == F.col("_k_h"))
+    once = plain.join(kept.where("_k_n = 1"), same, "left_semi")
     # Rows that repeat in id and text (or empty texts with one id): one stays; these are few, so only they are shuffled.
-    again = docs.join(kept.where("_k_n > 1"), same, "left_semi")
-    return once.unionByName(again.dropDuplicates([id_col, text_col])).select(*docs.columns)
+    again = plain.join(kept.where("_k_n > 1"), same, "left_semi")
+    return once.unionByName(again.dropDuplicates([name[id_col], name[text_col]])).toDF(*docs.columns)
 
 
 def oracle(k: int = 4, percent: int = 85) -> str:

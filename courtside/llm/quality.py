@@ -23,7 +23,8 @@ Defined results: a null or empty text has no words and fails the base rule;
 a null stratum is one of its own; null labels and labels of unknown
 documents are ignored, a document labelled both ways counts for neither.
 Rows are judged one by one (repeated rows repeat); an empty table gives an
-empty result.  A 5-word window is known by its 64-bit hash within one text.
+empty result.  Other columns are kept by ``keep_good`` under any name and ignored
+by ``verdicts``.  A 5-word window is known by its 64-bit hash within one text.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import WORD
+from courtside.llm.common import WORD, by_position
 from courtside.operators.materialize import materialize
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -184,6 +185,10 @@ def verdicts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
                       F.col(f"{_F}.n_capitals").alias("n_capitals"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows that pass, with their own columns only."""
-    return assess(docs, labels, **options).where("_kept").select(*docs.columns)
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang",
+              **options) -> DataFrame:
+    """The rows that pass, with their own columns only, whatever these are called."""
+    plain, name = by_position(docs)
+    known = labels.select(F.col(id_col).alias(name[id_col]), "quality")
+    passed = assess(plain, known, name[id_col], name[text_col], name[stratum_col] if stratum_col else None, **options).where("_kept")
+    return passed.select(*plain.columns).toDF(*docs.columns)

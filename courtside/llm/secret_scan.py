@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtside.llm.common import by_position
+
 #: Fixed values of the contract.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # as AKIA[A-Z0-9]+ with 20 or more characters: both take the whole run
@@ -158,10 +160,10 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     ``length_col``, if present, gets the new number of code points.  A null text stays null.
     """
-    cols = docs.columns
-    found = with_spans(docs, text_col, "_spans__")
+    plain, place = by_position(docs)
+    found = with_spans(plain, place[text_col], "_spans__")
     name = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-    text = F.col(text_col)
+    text = F.col(place[text_col])
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
@@ -169,9 +171,10 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], cut).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate("_spans__", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    new = found.select(*cols, F.when(F.size("_spans__") > 0, done).otherwise(text).alias("_redacted__"))
-    as_is = {text_col: F.col("_redacted__").alias(text_col)}
-    if length_col in cols:
-        as_is[length_col] = F.when(text.eqNullSafe(F.col("_redacted__")), F.col(length_col)).otherwise(
-            F.length("_redacted__")).cast(dict(docs.dtypes)[length_col]).alias(length_col)
-    return new.select(*[as_is.get(c, F.col(c)) for c in cols])
+    new = found.select(*plain.columns, F.when(F.size("_spans__") > 0, done).otherwise(text).alias("_redacted__"))
+    as_is = {place[text_col]: F.col("_redacted__").alias(place[text_col])}
+    if length_col in place:
+        length = place[length_col]
+        as_is[length] = F.when(text.eqNullSafe(F.col("_redacted__")), F.col(length)).otherwise(
+            F.length("_redacted__")).cast(dict(docs.dtypes)[length_col]).alias(length)
+    return new.select(*[as_is.get(c, F.col(c)) for c in plain.columns]).toDF(*docs.columns)

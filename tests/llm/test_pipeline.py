@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as CP
 from test_jaccard_join import brute as components
@@ -52,3 +53,19 @@ def test_odd_rows(spark, odd_docs, sf_small, empty):
         docs = stage(spark, docs, sf_small)
         docs.collect()
     assert docs.columns[0] == "doc_id"
+
+
+def test_clashing_names_are_kept(spark, odd_docs, sf_small):
+    """Columns may have the names that the stages use for themselves."""
+    clash = ["_q_", "_q_w", "_q_stratum", "_stratum", "_kept", "_base_failed", "_label_id", "_spans__", "_spans___base", "_redacted__", "_k_id", "_k_h", "_k_n",
+             "text_hash", "is_first", "c0", "c1", "quality", "_id", "_text"]
+    plain = odd_docs.drop("kept", "spans").withColumn("n_chars", F.lit(7))
+    docs = plain.select("*", *[F.concat(F.lit(c), F.coalesce("doc_id", F.lit(0))).alias(c) for c in clash])
+    for name, stage in CP.STAGES[:3]:
+        want = stage(spark, plain, sf_small)
+        got = stage(spark, docs, sf_small)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert sorted(map(str, (tuple(r)[:4] for r in rows))) == sorted(map(str, map(tuple, want.select(docs.columns[:4]).collect())))
+        assert all(r[c] == f"{c}{r.doc_id or 0}" for r in rows for c in clash)
+    assert CP.pack(spark, docs, sf_small).count() >= 9
