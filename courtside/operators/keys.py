@@ -96,6 +96,30 @@ def number_rows(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1
     return materialize(ided, f"ids-{id_col}")
 
 
+def stable_ids(df: DataFrame, order: Sequence[str], id_col: str, known: DataFrame | None = None) -> DataFrame:
+    """``number_rows`` that keeps the ids of an earlier load.
+
+    ``known`` holds the keys (``order``) and ``id_col`` given out before, each
+    key once.  Rows with a known key keep its id; the others are numbered in
+    key order from the largest known id on, so no id is given twice or moved.
+    Keys compare null-safe.  Rows must be unique in ``order``.
+    """
+    if known is None:
+        return number_rows(df, order, id_col)
+    from courtside.operators.lookup import checked_broadcast
+
+    side = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(order)], F.col(id_col).alias("_kid"))
+    side = checked_broadcast(side)
+    same = None
+    for i, k in enumerate(order):
+        one = df[k].eqNullSafe(side[f"_k{i}"])
+        same = one if same is None else same & one
+    kept = df.join(side, same).select(*[df[c] for c in df.columns], F.col("_kid").cast("bigint").alias(id_col))
+    largest = known.agg(F.max(id_col)).first()[0]  # one number
+    new = number_rows(df.join(side, same, "left_anti"), order, id_col, start=(largest or 0) + 1)
+    return kept.unionByName(new)
+
+
 def dense_rank_ids(df: DataFrame, keys: Sequence[str], id_col: str, lookup_rows: int | None = None) -> DataFrame:
     """Attach ``id_col`` = dense rank (1..n) of ``keys`` among the distinct keys of ``df``."""
     from courtside.operators.lookup import lookup

@@ -3,12 +3,14 @@
 Each builder is a pure function of DataFrames (no I/O) and returns the
 table contract's columns in contract order.  Surrogate keys are dense and
 deterministic (1..n in natural-key order, see ``operators.keys``) instead
-of partition-dependent ids.
+of partition-dependent ids; ``number`` may be ``releases.KeyStore.number``,
+which keeps the ids of earlier loads.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from courtside.functions.text import full_name, norm_key, season_type, to_number
 from courtside.operators.keys import dedupe, desc_nulls_last, number_rows
 from courtside.operators.unpivot import unpivot_groups
 
+Numbering = Callable[[DataFrame, Sequence[str], str], DataFrame]
+
 # Calendar span and the last season year that marks a team active.
 CALENDAR_START = "1946-01-01"
 CALENDAR_END = "2023-12-31"
@@ -26,19 +30,19 @@ ACTIVE_YEAR = 2019
 
 # -- referee ------------------------------------------------------------------
 
-def referee_dim(officials: DataFrame) -> DataFrame:
+def referee_dim(officials: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idArbitro, nombre): one row per official_id, name = 'first last'."""
     one = dedupe(officials.select("official_id", "first_name", "last_name"), ["official_id"])
     named = one.select("official_id", full_name("first_name", "last_name").alias("nombre"))
-    return number_rows(named, ["official_id"], "idArbitro").select("idArbitro", "nombre")
+    return number(named, ["official_id"], "idArbitro").select("idArbitro", "nombre")
 
 
 # -- league -------------------------------------------------------------------
 
-def league_dim(games: DataFrame) -> DataFrame:
+def league_dim(games: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idLiga, nombre): distinct season types with the all-star alias folded."""
     names = games.select(season_type("season_type").alias("nombre")).distinct()
-    return number_rows(names, ["nombre"], "idLiga").select("idLiga", "nombre")
+    return number(names, ["nombre"], "idLiga").select("idLiga", "nombre")
 
 
 # -- calendar -----------------------------------------------------------------
@@ -77,7 +81,7 @@ def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CA
 
 # -- venue --------------------------------------------------------------------
 
-def venue_dim(teams: DataFrame, details: DataFrame, team_list: DataFrame) -> DataFrame:
+def venue_dim(teams: DataFrame, details: DataFrame, team_list: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idUbicacion, capacidad, arena, ciudad, estado).
 
     Arenas of the team details (with the team's city/state; details without
@@ -94,8 +98,7 @@ def venue_dim(teams: DataFrame, details: DataFrame, team_list: DataFrame) -> Dat
     both = from_teams.unionByName(listed).withColumn(
         "capacidad", B.capacity_bucket(to_number("capacidad_numero")))
     one = dedupe(both, ["arena", "ciudad", "estado"], order=["src"])
-    ided = number_rows(one.select("arena", "ciudad", "estado", "capacidad"),
-                       ["arena", "ciudad", "estado"], "idUbicacion")
+    ided = number(one.select("arena", "ciudad", "estado", "capacidad"), ["arena", "ciudad", "estado"], "idUbicacion")
     return ided.fillna(UNKNOWN, subset=["capacidad", "arena", "ciudad", "estado"]).select(
         "idUbicacion", "capacidad", "arena", "ciudad", "estado")
 
@@ -108,7 +111,8 @@ def latest_year(history: DataFrame) -> DataFrame:
     return dedupe(h, ["team_id"], order=desc_nulls_last("year"), collapse=True)
 
 
-def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list: DataFrame) -> DataFrame:
+def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list: DataFrame,
+             number: Numbering = number_rows) -> DataFrame:
     """(idEquipo, estado_actual, nombre, arena, ciudad, estado).
 
     Franchises named 'city nickname', active when their latest season year
@@ -128,7 +132,7 @@ def team_dim(teams: DataFrame, details: DataFrame, history: DataFrame, team_list
         F.col("Arena").alias("arena"), F.col("Activo").try_cast("double").try_cast("int").alias("estado_actual"),
         F.lit(1).alias("src"))
     one = dedupe(franchise.unionByName(listed), ["nombre", "ciudad"], order=["src"])
-    ided = number_rows(one.drop("src"), ["nombre", "ciudad"], "idEquipo")
+    ided = number(one.drop("src"), ["nombre", "ciudad"], "idEquipo")
     return ided.fillna(UNKNOWN, subset=["nombre", "ciudad", "estado", "arena"]).select(
         "idEquipo", F.col("estado_actual").cast("int").alias("estado_actual"), "nombre", "arena", "ciudad", "estado")
 
@@ -144,7 +148,7 @@ def player_slots(plays: DataFrame) -> DataFrame:
 
 
 def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, inactive: DataFrame,
-               draft: DataFrame) -> DataFrame:
+               draft: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idJugador, altura, peso, nombre, envergadura, alcance_pie, posicion, escuela, pais,
     equipo, estado_actual, carrera_profesional).
 
@@ -187,7 +191,7 @@ def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, ina
         F.coalesce(c("is_active_1").try_cast("double").try_cast("int"), c("is_active_2")).cast("int").alias("estado_actual"),
         B.bucketize(carrera, B.CAREER_YEARS).alias("carrera_profesional"),
     )
-    ided = number_rows(out, ["player_id"], "idJugador")
+    ided = number(out, ["player_id"], "idJugador")
     return ided.fillna(UNKNOWN, subset=["nombre", "escuela", "pais", "equipo"]).select(
         "idJugador", "altura", "peso", "nombre", "envergadura", "alcance_pie", "posicion", "escuela", "pais",
         "equipo", "estado_actual", "carrera_profesional")

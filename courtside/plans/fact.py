@@ -140,14 +140,14 @@ def player_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
     return lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
 
 
-def numbered_games(header: DataFrame, measures: DataFrame) -> DataFrame:
+def numbered_games(header: DataFrame, measures: DataFrame, number=number_rows) -> DataFrame:
     """One row per game with measures: game_id, its header keys, ``idPartido``."""
     seen = measures.select("game_id").distinct()
-    return number_rows(game_keys(header).join(seen, "game_id", "left_semi"), ["game_id"], "idPartido")
+    return number(game_keys(header).join(seen, "game_id", "left_semi"), ["game_id"], "idPartido")
 
 
-def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain: str = "game") -> DataFrame:
-    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink).
+def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain: str = "game", number=number_rows) -> DataFrame:
+    """The fact table in contract order (ratio as DOUBLE; FLOAT at the table sink).  ``number``: see ``dims``.
 
     ``grain="referee"`` keeps a row per official of the game instead of the
     smallest key alone.
@@ -155,7 +155,7 @@ def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain:
     if grain not in ("game", "referee"):
         raise ValueError(f"grain {grain!r}")
     measures = materialize(player_measures(plays, player), "player-measures")
-    games = numbered_games(header, measures)
+    games = numbered_games(header, measures, number)
     if grain == "referee":
         games = header.distinct().join(games.select("game_id", "idPartido"), "game_id")
     return _contract(measures.join(games, "game_id"))

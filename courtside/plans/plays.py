@@ -1,11 +1,12 @@
 """Play stream, participant explode, classification and per player-game statistics.
 
 One scan of the plays feeds everything: descriptions are unpivoted
-(home/visitor) and player slots exploded with their role inside Generate
-operators, every classifier is one projection, and a single
-``groupBy(game_id, jugador)`` (partial + final aggregation) produces all
-measures, including the slot-dependent jump-ball, block and steal counts
-that would otherwise need separate branches and outer joins.
+(home/visitor), every text is classified once into a bit mask, and only the
+mask goes with each player slot through the explode.  A single
+``groupBy(game_id, jugador)`` (partial + final aggregation) sums the bits to
+all measures, including the slot-dependent jump-ball, block and steal counts
+that would otherwise need separate branches and outer joins.  ``play_flags``
+gives the same indicators per participant row.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.functions.classify import (GENERAL_STATS, ROLE_STATS, flag, general_predicates,
+from courtside.functions.classify import (BLOCK, GENERAL_STATS, JUMP_BALL, ROLE_STATS, STEAL, flag, general_predicates,
                                           role_predicates)
 from courtside.functions.text import norm_key
 from courtside.operators.unpivot import unpivot_groups
 
 SLOTS = (1, 2, 3)
 STAT_COLUMNS = GENERAL_STATS + ROLE_STATS
+ROLE_TEXTS = (JUMP_BALL, BLOCK, STEAL)
 
 
 def play_stream(plays: DataFrame) -> DataFrame:
@@ -90,9 +92,35 @@ def derived_metrics(stats: DataFrame) -> DataFrame:
     )
 
 
+def play_masks(stream: DataFrame, whole_words: bool = False) -> DataFrame:
+    """(game_id, player1..3, mask): bit i of ``mask`` is the i-th of ``GENERAL_STATS``, then the texts of ``ROLE_TEXTS``."""
+    d = F.col("descripcion")
+    bits = [*general_predicates(d, whole_words).values(), *[d.contains(t) for t in ROLE_TEXTS]]
+    mask = F.lit(0)
+    for i, p in enumerate(bits):
+        mask = mask.bitwiseOR(F.when(p, F.lit(1 << i)).otherwise(F.lit(0)))
+    return stream.select("game_id", *[f"player{i}_name" for i in SLOTS], mask.alias("mask"))
+
+
+def mask_stats(masks: DataFrame) -> DataFrame:
+    """``player_game_stats`` of the participants of every text, from its mask."""
+    slots = masks.select("game_id", "mask", F.posexplode(F.array(*[F.col(f"player{i}_name") for i in SLOTS])).alias("pos", "jugador"))
+    n, mask, role = len(GENERAL_STATS), F.col("mask"), F.col("pos") + 1
+    # A slot's own bits: the general ones if it has a name, then one per role statistic (jump ball, block, steal texts).
+    rules = ((n, role.isin(1, 3)), (n, role == 2), (n + 1, role == 3), (n + 2, role == 2))
+    own = F.when(F.col("jugador") != "", mask.bitwiseAND((1 << n) - 1)).otherwise(F.lit(0))
+    for i, (text, holds) in enumerate(rules):
+        own = own.bitwiseOR(F.when(holds & (mask.bitwiseAND(1 << text) != 0), F.lit(1 << (n + i))).otherwise(F.lit(0)))
+    special = sum(1 << (n + i) for i in range(len(ROLE_TEXTS)))
+    named = slots.where(F.col("jugador").isNotNull() & ((F.col("jugador") != "") | (mask.bitwiseAND(special) != 0)))
+    bits = named.select("game_id", "jugador", own.alias("own"))
+    return bits.groupBy("game_id", "jugador").agg(
+        *[F.sum(F.shiftright("own", i).bitwiseAND(1)).cast("bigint").alias(c) for i, c in enumerate(STAT_COLUMNS)])
+
+
 def game_player_measures(plays: DataFrame) -> DataFrame:
     """plays -> (game_id, jugador, all measures) in one pass."""
-    return derived_metrics(player_game_stats(play_flags(participants(play_stream(plays)))))
+    return derived_metrics(mask_stats(play_masks(play_stream(plays))))
 
 
 # -- the three slot-specific views, as separate reports -----------------------

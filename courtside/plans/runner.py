@@ -2,6 +2,7 @@
 
     python -m courtside.plans.runner --sf-dir /root/testdata/sf0.01 --database stats
     python -m courtside.plans.runner --exports /data/exports --database stats --location /shared/warehouse
+    python -m courtside.plans.runner --exports /data/exports --releases /shared/stats --quarantine /shared/rejects
 
 Reads the sources (driver tables through the adapter, or the raw CSV
 exports), builds dimensions first and the fact from them, checks keys
@@ -9,18 +10,26 @@ exports), builds dimensions first and the fact from them, checks keys
 keys and too long texts, and writes each table once: dimensions overwrite existing contract tables by
 position, the fact replaces its table (partitioned by nothing; set
 ``--partition-fact`` to partition it by league).
+
+With ``--releases`` the tables become one load of a ``Releases`` folder instead:
+staged, checked, and committed only without violations; ids go on from the
+load before.  ``--quarantine`` stores the lines of the exports that are no
+records; their numbers are reported either way.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.quality import dq_not_null, dq_primary_key
+from courtside.plans.releases import KeyStore, Releases
 from courtside.plans.warehouse import Warehouse
-from courtside.sources.files import create_contract_tables, insert_overwrite, read_exports, replace_table
+from courtside.sources.files import create_contract_tables, insert_overwrite, land_exports, quarantine, replace_table
+from courtside.sources.schemas import CONTRACT_DDL
 
 DIM_KEYS = {"equipo": "idEquipo", "arbitro": "idArbitro", "liga": "idLiga", "fecha": "idFecha",
             "ubicacion": "idUbicacion", "jugador": "idJugador"}
@@ -85,6 +94,23 @@ def build_and_store(spark: SparkSession, wh: Warehouse, database: str, location:
     return quality_report(stored)
 
 
+def load_release(spark: SparkSession, location: str, warehouse: Callable[[KeyStore], Warehouse], partition_fact: bool = False) -> dict[str, int]:
+    """Build with the keys of the current load, stage, check, commit; the report.
+
+    Raises before the commit when a check fails, so the current load stays.
+    """
+    releases = Releases(spark, location)
+    keys = releases.keys()
+    tables = warehouse(keys).tables()
+    load = releases.stage(tables, keys, {"partido": ["idLiga"]} if partition_fact else None)
+    report = quality_report({t: releases.table(t, load) for t in tables})
+    bad = {k: v for k, v in report.items() if v}
+    if bad:
+        raise ValueError(f"load {load} is not committed: {bad}")
+    releases.commit(load)
+    return report
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     src = ap.add_mutually_exclusive_group(required=True)
@@ -95,18 +121,37 @@ def main(argv=None) -> None:
     ap.add_argument("--partition-fact", action="store_true")
     ap.add_argument("--league-alias-dimension-only", action="store_true",
                     help="fold the all-star alias on the league side only, as the source jobs did")
+    ap.add_argument("--releases", help="folder of loads that become visible whole, with lasting keys")
+    ap.add_argument("--quarantine", help="where the exports' lines that are no records go")
+    ap.add_argument("--multi-line", action="store_true", help="values of the exports may have quoted line ends")
     args = ap.parse_args(argv)
 
     from courtside.session import get_spark
 
     spark = get_spark()
-    if args.sf_dir:
-        wh = Warehouse(spark, args.sf_dir, fold_game_alias=not args.league_alias_dimension_only)
+    fold = not args.league_alias_dimension_only
+    landed = {} if args.sf_dir else land_exports(spark, args.exports, args.multi_line)
+
+    def warehouse(keys: KeyStore | None = None) -> Warehouse:
+        if args.sf_dir:
+            return Warehouse(spark, args.sf_dir, fold_game_alias=fold, keys=keys)
+        return Warehouse.from_frames(spark, fold, keys, **{n: landing.rows for n, landing in landed.items()})
+
+    if args.quarantine and landed:
+        rejected = quarantine(landed, args.quarantine)
+    else:
+        rejected = {n: landing.rejects.count() for n, landing in landed.items()}
+    for n, k in rejected.items():
+        print(f"rejected_{n}\t{k}")
+    if args.releases:
+        report = load_release(spark, args.releases, warehouse, args.partition_fact)
+        releases = Releases(spark, args.releases)
+        stored = {t: releases.table(t) for t in CONTRACT_DDL}
     else:
-        wh = Warehouse.from_frames(spark, not args.league_alias_dimension_only, **read_exports(spark, args.exports))
-    report = build_and_store(spark, wh, args.database, args.location, args.partition_fact)
+        report = build_and_store(spark, warehouse(), args.database, args.location, args.partition_fact)
+        stored = {t: spark.table(f"{args.database}.{t}") for t in CONTRACT_DDL}
     # Missing keys and long texts are reported only: the sources have games without a parseable date.
-    for k, v in (report | contract_report({t: spark.table(f"{args.database}.{t}") for t in wh.tables()})).items():
+    for k, v in (report | contract_report(stored)).items():
         print(f"{k}\t{v}")
     bad = {k: v for k, v in report.items() if v}
     spark.createDataFrame([(k, v) for k, v in report.items()], "check string, violations long") \

@@ -12,25 +12,28 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from courtside.operators.keys import number_rows
 from courtside.plans import dims, fact
 from courtside.sources.adapter import Sources
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, frames: dict | None = None,
-                 fold_game_alias: bool = True, widen_calendar: bool = False):
+                 fold_game_alias: bool = True, widen_calendar: bool = False, keys=None):
         """``fold_game_alias=False`` keeps the source jobs' behaviour of folding the
         all-star alias on the league side only (such games get no league key).
-        ``widen_calendar=True`` adds the games' own dates to the fixed calendar span."""
+        ``widen_calendar=True`` adds the games' own dates to the fixed calendar span.
+        ``keys``: a ``releases.KeyStore`` whose ids go on; without it every build numbers anew."""
         self.spark = spark
         self.widen_calendar = widen_calendar
         self.fold_game_alias = fold_game_alias
+        self.number = keys.number if keys else number_rows
         self._src = Sources(spark, sf_dir) if sf_dir else None
         self._frames = dict(frames or {})
 
     @classmethod
-    def from_frames(cls, spark: SparkSession, fold_game_alias: bool = True, **frames: DataFrame) -> "Warehouse":
-        return cls(spark, None, frames, fold_game_alias)
+    def from_frames(cls, spark: SparkSession, fold_game_alias: bool = True, keys=None, **frames: DataFrame) -> "Warehouse":
+        return cls(spark, None, frames, fold_game_alias, keys=keys)
 
     def src(self, name: str) -> DataFrame:
         if name in self._frames:
@@ -42,11 +45,11 @@ class Warehouse:
     # dimensions --------------------------------------------------------------
     @cached_property
     def referee(self) -> DataFrame:
-        return dims.referee_dim(self.src("officials"))
+        return dims.referee_dim(self.src("officials"), self.number)
 
     @cached_property
     def league(self) -> DataFrame:
-        return dims.league_dim(self.src("games"))
+        return dims.league_dim(self.src("games"), self.number)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -54,17 +57,17 @@ class Warehouse:
 
     @cached_property
     def venue(self) -> DataFrame:
-        return dims.venue_dim(self.src("teams"), self.src("team_details"), self.src("team_list"))
+        return dims.venue_dim(self.src("teams"), self.src("team_details"), self.src("team_list"), self.number)
 
     @cached_property
     def team(self) -> DataFrame:
         return dims.team_dim(self.src("teams"), self.src("team_details"), self.src("team_history"),
-                             self.src("team_list"))
+                             self.src("team_list"), self.number)
 
     @cached_property
     def player(self) -> DataFrame:
         return dims.player_dim(self.src("plays"), self.src("player_info"), self.src("player_profile"),
-                               self.src("inactive_players"), self.src("draft_combine"))
+                               self.src("inactive_players"), self.src("draft_combine"), self.number)
 
     def prepare(self, names=("referee", "league", "team", "venue", "player"), threads: int = 5) -> None:
         """Build independent dimensions concurrently (their jobs overlap on the cluster)."""
@@ -87,7 +90,7 @@ class Warehouse:
     @cached_property
     def partido(self) -> DataFrame:
         self.prepare()
-        return fact.fact_partido(self.src("plays"), self.header, self.player)
+        return fact.fact_partido(self.src("plays"), self.header, self.player, number=self.number)
 
     def tables(self) -> dict[str, DataFrame]:
         """All output tables by contract name."""

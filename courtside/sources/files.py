@@ -1,9 +1,8 @@
 """File and catalog I/O: CSV landing (all text), CSV sink, contract tables.
 
-* ``read_csv_text``: header, comma, no inference -> every column STRING;
-  ``columns`` prunes right after the scan (the CSV reader only parses the
-  requested columns).
-* ``write_csv``: distributed CSV with a header (one file per task).
+* ``read_csv_text``: the good records of CSV files, every column STRING,
+  pruned; ``sources.csv_text`` says what is good and has the rejects.
+* ``write_csv``: distributed CSV that ``read_csv_text`` gives back unchanged.
 * ``create_contract_tables`` / ``drop_table`` / ``insert_overwrite`` /
   ``replace_table`` / ``read_contract``: Parquet tables in the session
   catalog with the seven output contracts.
@@ -16,26 +15,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.sources.schemas import CONTRACT_DDL, RAW_CSV_COLUMNS, contract
+from courtside.sources import csv_text
+from courtside.sources.schemas import CONTRACT_DDL, RAW_CSV_COLUMNS, RAW_TO_SOURCE, contract
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = (spark.read.option("header", True).option("delimiter", ",").option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.select(*columns) if columns else df
+def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
+    return csv_text.read_checked(spark, path, columns, multi_line).rows
 
 
-def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def read_exports(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """The raw CSV exports of a folder, by builder source name (see schemas)."""
-    from courtside.sources.schemas import RAW_TO_SOURCE
+    return {name: landing.rows for name, landing in land_exports(spark, folder, multi_line).items()}
+
 
+def land_exports(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, csv_text.Landing]:
+    """Rows and rejects of the raw CSV exports of a folder, by builder source name."""
     folder = folder.rstrip("/")
-    return {RAW_TO_SOURCE[f]: read_csv_text(spark, f"{folder}/{f}.csv", cols)
-            for f, cols in RAW_CSV_COLUMNS.items()}
+    return {RAW_TO_SOURCE[f]: csv_text.read_checked(spark, f"{folder}/{f}.csv", cols, multi_line) for f, cols in RAW_CSV_COLUMNS.items()}
+
+
+def quarantine(landings: dict[str, csv_text.Landing], path: str) -> dict[str, int]:
+    """Store the rejects of all sources as one table (source, file, reason, text); their number per source."""
+    every = None
+    for name, landing in landings.items():
+        one = landing.rejects.select(F.lit(name).alias("source"), "file", "reason", "text")
+        every = one if every is None else every.unionByName(one)
+    every.write.mode("overwrite").parquet(path)
+    counted = {r["source"]: r["count"] for r in every.sparkSession.read.parquet(path).groupBy("source").count().collect()}
+    return {name: counted.get(name, 0) for name in landings}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    csv_text.write(df, path)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -61,6 +72,18 @@ def insert_overwrite(df: DataFrame, table: str, contract_name: str | None = None
     conform(df, contract_name or table.split(".")[-1]).write.mode("overwrite").insertInto(table)
 
 
+def overwrite_partitions(df: DataFrame, table: str, contract_name: str | None = None) -> None:
+    """Replace only the partitions of a partitioned table that ``df`` has rows of."""
+    rows = conform(df, contract_name or table.split(".")[-1])
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def replace_table(df: DataFrame, table: str, contract_name: str | None = None,
                   partition_by: Sequence[str] = ()) -> None:
     """Replace a table (definition and rows) with the contract of ``df``."""
