@@ -382,3 +382,105 @@ QUERIES.update({
     "ambiguous_names": q_ambiguous_names,
     "fact_by_referee": q_fact_by_referee,
 })
+
+
+# -- loads: CSV without loss, keys that last, checks of the contract tables ----------
+
+def q_csv_lossless(spark, sf_dir):
+    """S1/S7: whole texts with line ends, quotes, padding, empty and NULL written as CSV and read back."""
+    from courtside.operators.materialize import scratch_path
+    from courtside.sources.csv_text import read_checked
+    from courtside.sources.files import write_csv
+
+    docs = _wh(spark, sf_dir).src("documents").select("doc_id", F.expr(_ODD_TEXT).alias("text"), "lang")
+    path = scratch_path(docs, "csv")
+    write_csv(docs, path)
+    return read_checked(spark, path, multi_line=True).rows
+
+
+#: Both dialects read this: texts as they are, padded, quoted, empty or missing.
+_ODD_TEXT = ("CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('  ', text, ' ') WHEN 3 THEN concat('\"', text, '\",') "
+             "ELSE text END")
+#: A CSV line per customer; some have a field too few or too many, an open quote, or text after a closing one.
+_CSV_LINE = ("CASE c_custkey % 8 WHEN 1 THEN concat(cast(c_custkey AS STRING), ',', c_name) "
+             "WHEN 2 THEN concat(cast(c_custkey AS STRING), ',', c_name, ',', c_mktsegment, ',more') "
+             "WHEN 3 THEN concat(cast(c_custkey AS STRING), ',\"', c_name, ',', c_mktsegment) "
+             "WHEN 4 THEN concat(cast(c_custkey AS STRING), ',\"', c_name, '\"x,', c_mktsegment) "
+             "WHEN 5 THEN concat(cast(c_custkey AS STRING), ',\"', c_name, ', \"\"Jr\"\"\",') "
+             "ELSE concat(cast(c_custkey AS STRING), ',', c_name, ',', c_mktsegment) END")
+
+
+def q_csv_quarantine(spark, sf_dir):
+    """S1: good records and, with their reason and text, the lines that are none."""
+    from courtside.operators.materialize import scratch_path
+    from courtside.sources.csv_text import read_checked
+
+    cust = _wh(spark, sf_dir).src("customer")
+    path = scratch_path(cust, "csv-lines")
+    head = spark.range(1).select(F.lit("c_custkey,c_name,c_mktsegment").alias("value"))
+    head.unionByName(cust.select(F.expr(_CSV_LINE).alias("value"))).write.text(path)
+    got = read_checked(spark, path, header=["c_custkey", "c_name", "c_mktsegment"])  # here only one file has the header
+    none = F.lit(None).cast("string")
+    return got.rows.select(F.lit("ok").alias("estado"), "c_custkey", "c_name", "c_mktsegment", none.alias("text")).unionByName(
+        got.rejects.select(F.col("reason").alias("estado"), none.alias("c_custkey"), none.alias("c_name"), none.alias("c_mktsegment"), "text"))
+
+
+def _early(spark, sf_dir, keys):
+    """The games before 1996 with their officials."""
+    src = _wh(spark, sf_dir).src
+    games = src("games").where(F.col("game_date") < "1996")
+    return Warehouse.from_frames(spark, keys=keys, games=games, officials=src("officials").join(games.select("game_id"), "game_id", "left_semi"))
+
+
+def q_stable_keys(spark, sf_dir):
+    """W2/W3/S5/S6: referee and league ids after a load of the early games and one of all; a staged load shows nothing."""
+    from courtside.operators.materialize import scratch_path
+    from courtside.plans.releases import Releases
+
+    full = _wh(spark, sf_dir)
+    releases = Releases(spark, scratch_path(full.src("orders"), "releases"))
+
+    def stage(make):
+        keys = releases.keys()
+        wh = make(keys)
+        return releases.stage({"arbitro": wh.referee, "liga": wh.league}, keys)
+
+    def seen(moment):
+        ref = releases.table("arbitro").select(F.lit(moment).alias("momento"), F.lit("arbitro").alias("tabla"), F.col("idArbitro").alias("id"), "nombre")
+        return ref.unionByName(releases.table("liga").select(F.lit(moment).alias("momento"), F.lit("liga").alias("tabla"), F.col("idLiga").alias("id"), "nombre"))
+
+    releases.commit(stage(lambda keys: _early(spark, sf_dir, keys)))
+    second = stage(lambda keys: Warehouse(spark, sf_dir, keys=keys))
+    before = seen("preparada")  # the second load is written, not committed
+    releases.commit(second)
+    return before.unionByName(seen("confirmada"))
+
+
+def q_rebound_events(spark, sf_dir):
+    from courtside.plans.extensions import rebound_events
+
+    return rebound_events(_wh(spark, sf_dir).src("plays"))
+
+
+def q_dq_contracts(spark, sf_dir):
+    """Q-PK/Q-FK/Q-NN/Q-LEN on the seven contract tables."""
+    from courtside.plans.runner import contract_checks
+
+    return contract_checks(_wh(spark, sf_dir).tables())
+
+
+def q_dq_fact_by_referee(spark, sf_dir):
+    """Q-PK of the fact with a row per official: the eight key columns, in rows and distinct."""
+    fact = q_fact_by_referee(spark, sf_dir).select(*fact_plan.KEYS)
+    return fact.groupBy(*fact_plan.KEYS).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("filas"), F.count(F.lit(1)).alias("claves"), F.count_if(F.col("n") > 1).alias("repetidas"))
+
+
+QUERIES.update({
+    "csv_lossless": q_csv_lossless,
+    "csv_quarantine": q_csv_quarantine,
+    "stable_keys": q_stable_keys,
+    "rebound_events": q_rebound_events,
+    "dq_contracts": q_dq_contracts,
+    "dq_fact_by_referee": q_dq_fact_by_referee,
+})

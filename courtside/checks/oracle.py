@@ -508,3 +508,70 @@ UNION ALL SELECT 'equipo', lower(trim(nombre)), count(*) FROM team GROUP BY lowe
 ORACLE["fact_by_referee"] = _dims(
     FACT_SELECT.replace("FROM pre JOIN", "FROM pre_all JOIN"),
     PLAY_CTES + HEADER + FACT + [("pre_all", "SELECT * FROM m_id JOIN (SELECT DISTINCT * FROM header) USING (game_id)")])
+
+
+# -- loads: CSV without loss, keys that last, checks of the contract tables ----------
+
+ORACLE["csv_lossless"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || text || ' '
+  WHEN 3 THEN '"' || text || '",' ELSE text END AS text, lang FROM documents"""
+ORACLE["csv_quarantine"] = """SELECT 'ok' AS estado, CAST(c_custkey AS VARCHAR) AS c_custkey,
+  CASE WHEN c_custkey % 8 = 5 THEN c_name || ', "Jr"' ELSE c_name END AS c_name, CASE WHEN c_custkey % 8 <> 5 THEN c_mktsegment END AS c_mktsegment,
+  CAST(NULL AS VARCHAR) AS text FROM customer WHERE c_custkey % 8 IN (0, 5, 6, 7)
+UNION ALL SELECT CASE WHEN c_custkey % 8 IN (1, 2) THEN 'fields' ELSE 'quotes' END, NULL, NULL, NULL, CASE c_custkey % 8
+  WHEN 1 THEN c_custkey || ',' || c_name WHEN 2 THEN c_custkey || ',' || c_name || ',' || c_mktsegment || ',more'
+  WHEN 3 THEN c_custkey || ',"' || c_name || ',' || c_mktsegment ELSE c_custkey || ',"' || c_name || '"x,' || c_mktsegment END
+FROM customer WHERE c_custkey % 8 IN (1, 2, 3, 4)"""
+
+
+def _two_loads(table: str, key: str, source: str, name: str, early: str) -> list[tuple[str, str]]:
+    """CTE ``<table>_ids``: ids of the keys of the early rows in their order, then of the others from the largest on."""
+    return [(f"{table}_ids", f"""SELECT {key}, {name} AS nombre, early, CASE WHEN early THEN row_number() OVER (PARTITION BY early ORDER BY {key} NULLS FIRST)
+  ELSE row_number() OVER (PARTITION BY early ORDER BY {key} NULLS FIRST) + (SELECT count(*) FROM {source} WHERE {early}) END AS id
+FROM (SELECT *, {early} AS early FROM {source}) x""")]
+
+
+ORACLE["stable_keys"] = oracle_with(["games", "officials"], """
+SELECT 'preparada' AS momento, 'arbitro' AS tabla, id, nombre FROM arbitro_ids WHERE early
+UNION ALL SELECT 'preparada', 'liga', id, nombre FROM liga_ids WHERE early
+UNION ALL SELECT 'confirmada', 'arbitro', id, nombre FROM arbitro_ids
+UNION ALL SELECT 'confirmada', 'liga', id, nombre FROM liga_ids""", [
+    REFEREE[0],
+    ("early_games", "SELECT game_id FROM games WHERE game_date < '1996'"),
+    ("early_refs", "SELECT DISTINCT official_id FROM officials WHERE game_id IN (SELECT game_id FROM early_games)"),
+    ("leagues", "SELECT nombre, bool_or(game_date < '1996') AS is_early FROM (SELECT game_date, CASE WHEN season_type = 'All Star' "
+                "THEN 'All-Star' ELSE season_type END AS nombre FROM games) x GROUP BY nombre"),
+    *_two_loads("arbitro", "official_id", "ref_one", "concat_ws(' ', first_name, last_name)",
+                "official_id IN (SELECT official_id FROM early_refs)"),
+    *_two_loads("liga", "nombre", "leagues", "nombre", "coalesce(is_early, false)"),
+])
+ORACLE["rebound_events"] = _plays("stream", """SELECT game_id, jugador, eventnum, ofensivos, defensivos,
+  CASE WHEN up_o AND NOT up_d THEN 'ofensivo' WHEN up_d AND NOT up_o THEN 'defensivo' ELSE 'sin_clase' END AS tipo
+FROM (SELECT *, coalesce(ofensivos - coalesce(lag(ofensivos) OVER w, 0) = 1, false) AS up_o,
+        coalesce(defensivos - coalesce(lag(defensivos) OVER w, 0) = 1, false) AS up_d
+      FROM re_events WINDOW w AS (PARTITION BY game_id, jugador ORDER BY eventnum)) x""", [
+    ("re_events", """SELECT game_id, player1_name AS jugador, eventnum,
+  max(TRY_CAST(regexp_extract(descripcion, 'off:(\\d+)', 1) AS INTEGER)) AS ofensivos,
+  max(TRY_CAST(regexp_extract(descripcion, 'def:(\\d+)', 1) AS INTEGER)) AS defensivos
+FROM stream WHERE contains(descripcion, 'rebound') AND player1_name <> '' GROUP BY game_id, player1_name, eventnum""")])
+
+_TABLES = {"equipo": ("team", "idEquipo", ("nombre", "arena", "ciudad", "estado")), "arbitro": ("referee", "idArbitro", ("nombre",)),
+           "liga": ("league", "idLiga", ("nombre",)), "fecha": ("calendar", "idFecha", ("temporada",)),
+           "ubicacion": ("venue", "idUbicacion", ("capacidad", "arena", "ciudad", "estado")),
+           "jugador": ("player", "idJugador", ("altura", "peso", "nombre", "envergadura", "alcance_pie", "posicion", "escuela", "pais", "equipo",
+                                               "carrera_profesional"))}
+_LIMITS = {("fecha", "temporada"): 20, ("jugador", "equipo"): 90}
+_REFS = {"idEquipo_Local": "equipo", "idEquipo_Visitante": "equipo", "idArbitro": "arbitro", "idLiga": "liga", "idFecha": "fecha",
+         "idUbicacion": "ubicacion", "idJugador": "jugador"}
+_CHECKS = [f"SELECT 'pk_{t}' AS control, count(*) AS violaciones FROM (SELECT {k} FROM {c} GROUP BY {k} HAVING count(*) > 1) x" for t, (c, k, _) in _TABLES.items()]
+_CHECKS.append("SELECT 'pk_partido', count(*) FROM (SELECT idPartido FROM fact GROUP BY idPartido, idJugador HAVING count(*) > 1) x")
+_CHECKS += [f"SELECT 'fk_{c}', count(*) FROM fact f WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_TABLES[t][0]} d WHERE d.{_TABLES[t][1]} = f.{c})"
+            for c, t in _REFS.items()]
+_CHECKS += [f"SELECT 'nn_{t}_{k}', count(*) FROM {c} WHERE {k} IS NULL" for t, (c, k, _) in _TABLES.items()]
+_CHECKS += [f"SELECT 'nn_partido_{k}', count(*) FROM fact WHERE {k} IS NULL" for k in ("idPartido", *_REFS)]
+_CHECKS += [f"SELECT 'len_{t}_{x}', count(*) FROM {c} WHERE length({x}) > {_LIMITS.get((t, x), 45)}" for t, (c, _, texts) in _TABLES.items() for x in texts]
+ORACLE["dq_contracts"] = _dims(" UNION ALL ".join(_CHECKS), PLAY_CTES + HEADER + FACT + [("fact", FACT_SELECT)])
+ORACLE["dq_fact_by_referee"] = _dims(
+    "SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS filas, count(*) AS claves, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS repetidas "
+    f"FROM (SELECT count(*) AS n FROM by_ref GROUP BY {', '.join(FACT_KEYS)}) x",
+    PLAY_CTES + HEADER + FACT + [("pre_all", "SELECT * FROM m_id JOIN (SELECT DISTINCT * FROM header) USING (game_id)"),
+                                 ("by_ref", FACT_SELECT.replace("FROM pre JOIN", "FROM pre_all JOIN"))])

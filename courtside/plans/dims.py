@@ -147,49 +147,74 @@ def player_slots(plays: DataFrame) -> DataFrame:
     return rows.select("player_id", "nombre", full_name("city", "nick").alias("equipo"))
 
 
+#: Attribute -> the sources that may have it, most trusted first, as (source, column of the source).
+SURVIVORS = {
+    "name": (("slot", "nombre"), ("directory", "full_name"), ("profile", "display_first_last"), ("inactive", "full_name"), ("combine", "player_name")),
+    "pounds": (("profile", "weight"), ("combine", "weight")),
+    "position": (("profile", "position"), ("combine", "position")),
+    "state": (("directory", "is_active"), ("inactive", "is_active")),
+}
+
+
+def one_per_player(**sources: DataFrame) -> list[DataFrame]:
+    """Each source reduced to one row per player: (player_id, a struct named after the source)."""
+    return [dedupe(df, ["player_id"], collapse=name == "slot").select("player_id", F.struct(*[c for c in df.columns if c != "player_id"]).alias(name))
+            for name, df in sources.items()]
+
+
+def survivor(attribute: str, present: set[str]) -> F.Column:
+    """The attribute from the first of the ``present`` sources that has it."""
+    return F.coalesce(*[F.col(f"{source}.{column}") for source, column in SURVIVORS[attribute] if source in present])
+
+
+def _profile(profile: DataFrame) -> DataFrame:
+    return profile.select(F.col("person_id").alias("player_id"), "display_first_last", "school", "country", "weight", "position", "from_year", "to_year")
+
+
+def _metric(present: set[str]) -> dict[str, F.Column]:
+    """Kilograms, metres and career years of the joined sources."""
+    inch = F.lit(B.INCH_M)
+    return {"peso_kg": to_number(survivor("pounds", present)) * F.lit(B.POUND_KG),
+            "altura_m": to_number("combine.height_wo_shoes") * inch,
+            "envergadura_m": to_number("combine.wingspan") * inch,
+            "alcance_pie_m": to_number("combine.standing_reach") * inch,
+            "carrera_anos": to_number("profile.to_year") - to_number("profile.from_year")}
+
+
 def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, inactive: DataFrame,
                draft: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idJugador, altura, peso, nombre, envergadura, alcance_pie, posicion, escuela, pais,
     equipo, estado_actual, carrera_profesional).
 
-    Players seen in any play slot; every attribute source is reduced to one
-    row per player before its left join; name, weight, position and state
-    are taken from the first source that has them; metric conversions and
-    buckets; position label.
+    Players seen in any play slot; every other source is reduced to one row
+    per player before its left join; name, weight, position and state come
+    from the first source that has them (``SURVIVORS``); metric conversions
+    and buckets; position label.
     """
-    ids = dedupe(player_slots(plays), ["player_id"], collapse=True)
-    info = dedupe(player_info.select(F.col("id").alias("player_id"), F.col("full_name").alias("nombre_1"),
-                                     F.col("is_active").alias("is_active_1")), ["player_id"])
-    gone = dedupe(inactive.select("player_id", full_name("first_name", "last_name").alias("nombre_3"),
-                                  F.lit(0).alias("is_active_2")), ["player_id"])
-    prof = dedupe(profile.select(F.col("person_id").alias("player_id"), F.col("display_first_last").alias("nombre_2"),
-                                 F.col("school").alias("escuela"), F.col("country").alias("pais"),
-                                 F.col("weight").alias("weight_1"), F.col("position").alias("position_1"),
-                                 "from_year", "to_year"), ["player_id"])
-    comb = dedupe(draft.select("player_id", F.col("player_name").alias("nombre_4"),
-                               F.col("position").alias("position_2"), "height_wo_shoes", "wingspan",
-                               F.col("weight").alias("weight_2"), "standing_reach"), ["player_id"])
-    df = ids
-    for side in (info, gone, prof, comb):
-        df = df.join(side, "player_id", "left")
-
-    c = F.col
-    peso = to_number(F.coalesce(c("weight_1"), c("weight_2"))) * F.lit(B.POUND_KG)
-    altura = to_number("height_wo_shoes") * F.lit(B.INCH_M)
-    envergadura = to_number("wingspan") * F.lit(B.INCH_M)
-    alcance = to_number("standing_reach") * F.lit(B.INCH_M)
-    carrera = to_number("to_year") - to_number("from_year")
-    out = df.select(
+    sides = one_per_player(
+        slot=player_slots(plays),
+        directory=player_info.select(F.col("id").alias("player_id"), "full_name", "is_active"),
+        inactive=inactive.select("player_id", full_name("first_name", "last_name").alias("full_name"), F.lit("0").alias("is_active")),
+        profile=_profile(profile),
+        combine=draft.select("player_id", "player_name", "position", "height_wo_shoes", "wingspan", "weight", "standing_reach"))
+    joined = sides[0]
+    for side in sides[1:]:
+        joined = joined.join(side, "player_id", "left")
+    present = {"slot", "directory", "inactive", "profile", "combine"}
+    metric = _metric(present)
+    # A state that is no number falls through to the next source, so each is read as one before the choice.
+    state = F.coalesce(*[F.col(f"{source}.{column}").try_cast("double").try_cast("int") for source, column in SURVIVORS["state"]])
+    out = joined.select(
         "player_id",
-        B.bucketize(altura, B.HEIGHT_M).alias("altura"),
-        B.bucketize(peso, B.WEIGHT_KG).alias("peso"),
-        F.coalesce(c("nombre"), c("nombre_1"), c("nombre_2"), c("nombre_3"), c("nombre_4")).alias("nombre"),
-        B.bucketize(envergadura, B.WINGSPAN_M).alias("envergadura"),
-        B.bucketize(alcance, B.REACH_M).alias("alcance_pie"),
-        B.position_label(F.coalesce(c("position_1"), c("position_2"))).alias("posicion"),
-        "escuela", "pais", "equipo",
-        F.coalesce(c("is_active_1").try_cast("double").try_cast("int"), c("is_active_2")).cast("int").alias("estado_actual"),
-        B.bucketize(carrera, B.CAREER_YEARS).alias("carrera_profesional"),
+        B.bucketize(metric["altura_m"], B.HEIGHT_M).alias("altura"),
+        B.bucketize(metric["peso_kg"], B.WEIGHT_KG).alias("peso"),
+        survivor("name", present).alias("nombre"),
+        B.bucketize(metric["envergadura_m"], B.WINGSPAN_M).alias("envergadura"),
+        B.bucketize(metric["alcance_pie_m"], B.REACH_M).alias("alcance_pie"),
+        B.position_label(survivor("position", present)).alias("posicion"),
+        F.col("profile.school").alias("escuela"), F.col("profile.country").alias("pais"), F.col("slot.equipo").alias("equipo"),
+        state.alias("estado_actual"),
+        B.bucketize(metric["carrera_anos"], B.CAREER_YEARS).alias("carrera_profesional"),
     )
     ided = number(out, ["player_id"], "idJugador")
     return ided.fillna(UNKNOWN, subset=["nombre", "escuela", "pais", "equipo"]).select(
@@ -199,20 +224,11 @@ def player_dim(plays: DataFrame, player_info: DataFrame, profile: DataFrame, ina
 
 def unit_conversions(profile: DataFrame, draft: DataFrame) -> DataFrame:
     """Metric values before bucketing: kg, m and career years per player."""
-    prof = dedupe(profile.select(F.col("person_id").alias("player_id"), F.col("weight").alias("weight_1"),
-                                 "from_year", "to_year"), ["player_id"])
-    comb = dedupe(draft.select("player_id", "height_wo_shoes", "wingspan", F.col("weight").alias("weight_2"),
-                               "standing_reach"), ["player_id"])
-    df = prof.join(comb, "player_id", "full")
-    c = F.col
-    return df.select(
-        "player_id",
-        (to_number(F.coalesce(c("weight_1"), c("weight_2"))) * F.lit(B.POUND_KG)).alias("peso_kg"),
-        (to_number("height_wo_shoes") * F.lit(B.INCH_M)).alias("altura_m"),
-        (to_number("wingspan") * F.lit(B.INCH_M)).alias("envergadura_m"),
-        (to_number("standing_reach") * F.lit(B.INCH_M)).alias("alcance_pie_m"),
-        (to_number("to_year") - to_number("from_year")).alias("carrera_anos"),
-    )
+    left, right = one_per_player(
+        profile=_profile(profile).select("player_id", "weight", "from_year", "to_year"),
+        combine=draft.select("player_id", "height_wo_shoes", "wingspan", "weight", "standing_reach"))
+    values = _metric({"profile", "combine"})
+    return left.join(right, "player_id", "full").select("player_id", *[v.alias(n) for n, v in values.items()])
 
 
 def ambiguous_names(player: DataFrame, team: DataFrame) -> DataFrame:

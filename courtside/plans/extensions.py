@@ -6,6 +6,8 @@
 * ``rebound_split``: offensive / defensive rebounds from the "(Off:n Def:m)"
   counters the text carries (the counters are running totals per player
   and game, so the split is their maximum).
+* ``rebound_events``: every rebound labelled offensive or defensive by the
+  counter that rose by one since the player's rebound before in the game.
 * ``team_game``: one row per game and team.
 * ``extra_fouls``: technical and flagrant fouls, offensive fouls spelled
   "OFF.Foul", failed passes.
@@ -49,6 +51,46 @@ def running_sum(df: DataFrame, part: str, order: str, values: list[str], chunk:
     return out.select(*df.columns, *[(F.col(f"_o_{v}") + F.col(f"_l_{v}")).alias(f"acum_{v}") for v in values])
 
 
+def previous_values(df: DataFrame, part: list[str], order: str, values: list[str], chunk: int = CHUNK) -> DataFrame:
+    """``prev_<value>``: each of ``values`` in the row before along integer ``order`` within ``part`` (null in the first).
+
+    ``order`` must be unique within ``part``.  Rows are cut into chunks of
+    ``chunk`` consecutive order values; the first row of a chunk gets the last
+    values of the nearest chunk before it, so no window holds a whole part.
+    """
+    c = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    row = F.struct(*values)
+    local = c.withColumn("_prev", F.lag(row).over(Window.partitionBy(*part, "_chunk").orderBy(order)))
+    last = c.groupBy(*part, "_chunk").agg(F.max_by(row, order).alias("_last"))
+    carried = last.select(*part, "_chunk", F.lag("_last").over(Window.partitionBy(*part).orderBy("_chunk")).alias("_carried"))
+    same = [local[p].eqNullSafe(carried[p]) for p in (*part, "_chunk")]
+    joined = local.join(carried, same).select(*[local[c] for c in (*df.columns, "_prev")], "_carried")
+    before = F.coalesce("_prev", "_carried")
+    return joined.select(*df.columns, *[before[v].alias(f"prev_{v}") for v in values])
+
+
+def rebound_events(plays: DataFrame) -> DataFrame:
+    """(game_id, jugador, eventnum, ofensivos, defensivos, tipo): each rebound of the first slot's player, labelled.
+
+    ``tipo`` is the counter of the text that is one above the player's last
+    rebound in the game (0 before the first); ``sin_clase`` if none or both
+    are, or the text has no counters.
+    """
+    s = play_stream(plays).where(F.col("descripcion").contains("rebound") & (F.col("player1_name") != "") & F.col("eventnum").isNotNull())
+    counter = {n: F.regexp_extract("descripcion", rf"{key}:(\d+)", 1).try_cast("int") for n, key in (("ofensivos", "off"), ("defensivos", "def"))}
+    if dict(s.dtypes)["eventnum"] == "string":
+        s = s.withColumn("eventnum", F.col("eventnum").try_cast("double").try_cast("bigint")).where(F.col("eventnum").isNotNull())
+    events = s.groupBy("game_id", F.col("player1_name").alias("jugador"), "eventnum").agg(*[F.max(c).alias(n) for n, c in counter.items()])
+    told = previous_values(events, ["game_id", "jugador"], "eventnum", ["ofensivos", "defensivos"])
+
+    def rose(n):
+        return F.coalesce(F.col(n) - F.coalesce(f"prev_{n}", F.lit(0)) == 1, F.lit(False))
+
+    tipo = (F.when(rose("ofensivos") & ~rose("defensivos"), "ofensivo").when(rose("defensivos") & ~rose("ofensivos"), "defensivo")
+            .otherwise("sin_clase"))
+    return told.select("game_id", "jugador", "eventnum", "ofensivos", "defensivos", tipo.alias("tipo"))
+
+
 def running_score(plays: DataFrame) -> DataFrame:
     """(game_id, eventnum, puntos_local, puntos_visitante, marcador_local, marcador_visitante, diferencia).
 

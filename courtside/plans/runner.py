@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.operators.quality import dq_not_null, dq_primary_key
+from courtside.operators.quality import dq_foreign_key, dq_not_null, dq_primary_key
 from courtside.plans.releases import KeyStore, Releases
 from courtside.plans.warehouse import Warehouse
 from courtside.sources.files import create_contract_tables, insert_overwrite, land_exports, quarantine, replace_table
@@ -79,6 +79,32 @@ def quality_report(tables: dict) -> dict[str, int]:
     return out | {f"fk_{c}": n for c, n in dangling_keys(tables["partido"], tables).items()}
 
 
+def contract_checks(tables: dict) -> DataFrame:
+    """(control, violaciones): every check of ``quality_report`` and ``contract_report`` as one frame, nothing run yet."""
+    def total(df, name):
+        return df.agg(F.count(F.lit(1)).alias("violaciones")).select(F.lit(name).alias("control"), "violaciones")
+
+    def each(df, columns):
+        return df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("control"), F.col(c).alias("violaciones")) for n, c in columns.items()])))
+
+    parts = [total(dq_primary_key(tables[t], [k]), f"pk_{t}") for t, k in DIM_KEYS.items()]
+    parts.append(total(dq_primary_key(tables["partido"], ["idPartido", "idJugador"]), "pk_partido"))
+    for column, dim in FACT_REFS.items():
+        parts.append(total(dq_foreign_key(tables["partido"], tables[dim], [column], [DIM_KEYS[dim]]), f"fk_{column}"))
+    for t, df in tables.items():
+        keys = [DIM_KEYS[t]] if t in DIM_KEYS else ["idPartido", *FACT_REFS]
+        missing = df.agg(*[F.coalesce(F.sum(F.col(k).isNull().cast("long")), F.lit(0)).alias(k) for k in keys])
+        parts.append(each(missing, {f"nn_{t}_{k}": k for k in keys}))
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        if texts:
+            over = df.agg(*[F.count_if(F.length(c) > OTHER_LIMITS.get((t, c), TEXT_LIMIT)).alias(c) for c in texts])
+            parts.append(each(over, {f"len_{t}_{c}": c for c in texts}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def build_and_store(spark: SparkSession, wh: Warehouse, database: str, location: str | None = None,
                     partition_fact: bool = False, check: bool = True) -> dict[str, int]:
     tables = wh.tables()

@@ -54,10 +54,11 @@ def write(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """The column names in the header line."""
-    names = spark.read.options(**_FORMAT).option("header", True).option("enforceSchema", False).csv(path).columns
-    if len(set(names)) < len(names):
-        raise ValueError(f"{path}: repeated column names in the header: {names}")
+    """The column names in the header line of a file."""
+    first = spark.read.options(**_FORMAT).csv(path).first()  # reads the first line only
+    names = [n or "" for n in first or ()]
+    if len({n.lower() for n in names}) < len(names) or "" in names:
+        raise ValueError(f"{path}: missing or repeated column names in the header: {names}")
     return names
 
 
@@ -71,9 +72,10 @@ def _reason(line: Column, names: Sequence[str]) -> Column:
     return (F.when(quotes, F.lit("quotes")).when(fields != len(names), F.lit("fields")).when(same, F.lit("header")))
 
 
-def read_checked(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False) -> Landing:
+def read_checked(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False,
+                 header: Sequence[str] | None = None) -> Landing:
     """The good records' ``columns`` (default: all) as text, and the rejects."""
-    names = header_of(spark, path)
+    names = list(header or header_of(spark, path))
     missing = [c for c in columns or () if c not in names]
     if missing:
         raise ValueError(f"{path}: columns {missing} are not in the header {names}")

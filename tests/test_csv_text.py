@@ -53,6 +53,9 @@ def test_headers_are_checked(spark, tmp_path):
     path = lines_file(tmp_path, ["a,b", "1,2"])
     with pytest.raises(ValueError, match="missing|not in the header"):
         C.read_checked(spark, path, ["a", "z"])
+    with pytest.raises(ValueError, match="repeated"):
+        C.read_checked(spark, lines_file(tmp_path, ["a,A", "1,2"], "twice.csv") + "/twice.csv")
+    assert C.read_checked(spark, lines_file(tmp_path, ["1,2", "3"], "plain.csv") + "/plain.csv", header=["x", "y"]).rows.collect() == [Row(x="1", y="2")]
     with pytest.raises(ValueError, match="blank line"):
         C.write(spark.range(3), str(tmp_path / "one"))
 

@@ -3,6 +3,7 @@
 import csv
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courtside.functions import buckets
@@ -110,3 +111,20 @@ def test_classifiers_on_real_play_texts(spark):
         *[F.count_if(d.contains(x)).alias(x) for x in ("jump ball", "block", "steal")]).first().asDict()
     assert list(COUNTS) == GENERAL_STATS
     assert got == COUNTS | {"jump ball": 5, "block": 4, "steal": 1}
+
+
+def test_rebounds_are_labelled_by_the_counter_that_rose(spark):
+    texts = [(1, "A REBOUND (Off:0 Def:1)"), (2, "A REBOUND (Off:1 Def:1)"), (3, "B REBOUND (Off:0 Def:1)"), (2000, "A REBOUND (Off:1 Def:2)"),
+             (2001, "A REBOUND"), (2002, "A REBOUND (Off:2 Def:3)"), (2003, "A REBOUND (Off:3 Def:3)")]
+    rows = [(7, n, t[0], None, None, t, None) for n, t in texts]
+    plays = spark.createDataFrame(rows, "game_id long, eventnum int, player1_name string, player2_name string, player3_name string, "
+                                        "homedescription string, visitordescription string")
+    got = {r.eventnum: r.tipo for r in X.rebound_events(plays).collect()}
+    assert got == {1: "defensivo", 2: "ofensivo", 3: "defensivo", 2000: "defensivo", 2001: "sin_clase", 2002: "sin_clase", 2003: "ofensivo"}
+
+
+def test_previous_values_cross_chunks(spark):
+    df = spark.range(0, 900).where("id % 100 < 60").selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE id % 3 END AS g", "id AS o", "CASE WHEN id % 5 > 0 THEN id END AS v")
+    got = X.previous_values(df, ["g"], "o", ["v"], chunk=16)
+    want = df.select("g", "o", "v", F.lag("v").over(Window.partitionBy("g").orderBy("o")).alias("prev_v"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

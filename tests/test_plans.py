@@ -129,3 +129,15 @@ def test_roster_measures_join_on_both_keys(spark, sf_small):
     got = {(r.game_id, r.jugador): tuple(r)[:-1] for r in joined}
     assert len(got) == len(joined) > 0 and all(r.nombre_equipo == teams[r.game_id, r.jugador] for r in joined)
     assert got == {(r.game_id, r.jugador): tuple(r) for r in measures}  # the roster holds every player with measures
+
+
+def test_texts_are_classified_below_the_slot_explode(spark, sf_small):
+    from courtside.plans import plays as P
+
+    wh = Warehouse(spark, sf_small)
+    lines = _plan(P.game_player_measures(wh.src("plays"))).splitlines()
+    explode = next(i for i, line in enumerate(lines) if "Generate posexplode" in line)
+    assert not any("Contains(" in line for line in lines[:explode + 1]) and any("free throw" in line for line in lines[explode:])
+    old = P.derived_metrics(P.player_game_stats(P.play_flags(P.participants(P.play_stream(wh.src("plays"))))))
+    new = P.game_player_measures(wh.src("plays"))
+    assert old.exceptAll(new).count() == 0 and new.exceptAll(old).count() == 0
