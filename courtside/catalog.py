@@ -484,3 +484,35 @@ QUERIES.update({
     "dq_contracts": q_dq_contracts,
     "dq_fact_by_referee": q_dq_fact_by_referee,
 })
+
+
+# -- names that several players hold ---------------------------------------------------
+
+def _shared_names(spark, sf_dir):
+    """The plays and players with the last digit of every name cut off, so that up to ten players share a name."""
+    wh = _wh(spark, sf_dir)
+
+    def cut(df, *columns):
+        return df.withColumns({c: F.regexp_replace(c, "[0-9]( *)$", "$1") for c in columns})
+
+    plays = cut(wh.src("plays"), *[f"player{i}_name" for i in P.SLOTS])
+    frames = {n: wh.src(n) for n in ("player_info", "player_profile", "inactive_players", "draft_combine")}
+    return Warehouse.from_frames(spark, plays=plays, **frames)
+
+
+def q_shared_name_points(spark, sf_dir):
+    """J6/J10: points and plays per game and player where names are shared; no row counts for two players."""
+    wh = _shared_names(spark, sf_dir)
+    out = fact_plan.resolved_measures(wh.src("plays"), wh.player)
+    return out.select("game_id", "jugador", "idJugador", "candidatos", "Puntos_Totales", "Numero_Jugadas_Totales")
+
+
+def q_shared_names(spark, sf_dir):
+    """J10: the names that several of those players hold."""
+    from courtside.plans.dims import ambiguous_names
+
+    player = _shared_names(spark, sf_dir).player
+    return ambiguous_names(player, player.limit(0))
+
+
+QUERIES.update({"shared_name_points": q_shared_name_points, "shared_names": q_shared_names})

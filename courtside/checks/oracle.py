@@ -575,3 +575,21 @@ ORACLE["dq_fact_by_referee"] = _dims(
     f"FROM (SELECT count(*) AS n FROM by_ref GROUP BY {', '.join(FACT_KEYS)}) x",
     PLAY_CTES + HEADER + FACT + [("pre_all", "SELECT * FROM m_id JOIN (SELECT DISTINCT * FROM header) USING (game_id)"),
                                  ("by_ref", FACT_SELECT.replace("FROM pre JOIN", "FROM pre_all JOIN"))])
+
+
+# -- names that several players hold ---------------------------------------------------
+
+def _cut(c: str) -> str:
+    return f"regexp_replace({c}, '[0-9]( *)$', '\\1') AS {c}"
+
+
+#: The chains of the measures, the roster and the players over plays with cut names.
+_SHARED = [("cut_plays", f"SELECT * REPLACE ({', '.join(_cut(f'player{i}_name') for i in (1, 2, 3))}) FROM plays")] + [
+    (n, t.replace("FROM plays", "FROM cut_plays")) for n, t in PLAY_CTES + ROSTER + PLAYER]
+_HELD = ("held", "SELECT lower(trim(nombre)) AS nombre, count(*) AS n FROM player GROUP BY lower(trim(nombre))")
+ORACLE["shared_names"] = oracle_with(DIM_SOURCES, "SELECT 'jugador' AS tabla, nombre, n FROM held WHERE n > 1", _SHARED + [_HELD])
+ORACLE["shared_name_points"] = oracle_with(DIM_SOURCES, """SELECT game_id, jugador, idJugador, n AS candidatos, Puntos_Totales, Numero_Jugadas_Totales
+FROM (SELECT m.game_id, m.jugador, p.idJugador, h.n, m.Puntos_Totales, m.Numero_Jugadas_Totales, row_number() OVER (PARTITION BY m.game_id, m.jugador
+        ORDER BY coalesce(p.equipo = r.nombre_equipo, false) DESC, p.idJugador) AS place
+      FROM measures m JOIN held h ON h.nombre = m.jugador JOIN player p ON lower(trim(p.nombre)) = m.jugador
+      LEFT JOIN roster_one r ON r.game_id = m.game_id AND r.jugador = m.jugador) x WHERE place = 1""", _SHARED + [_HELD])

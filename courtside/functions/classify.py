@@ -2,11 +2,15 @@
 
 Every predicate is a native Catalyst expression (``contains``; the shot-word
 alternation is a disjunction of substring tests, no regex), so all of them
-run inside one whole-stage-codegen projection.
+run inside one whole-stage-codegen projection.  The predicates only ask
+whether a text has some substrings, so ``needle_bits`` can look for each
+substring once and the predicates be read from its bits (``bit_test``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,18 +20,38 @@ SHOT_WORDS = ("layup", "dunk", "shot", "roll")
 JUMP_BALL = "jump ball"
 BLOCK = "block"
 STEAL = "steal"
+#: All substrings the statistics ask for.
+NEEDLES = (*SHOT_WORDS, JUMP_BALL, BLOCK, STEAL, "3pt", "turnover", "miss", "free throw", "rebound", "defensive", "offensive", "foul", "sub", "for",
+           "timeout", "p.foul", "personal", "l.b.foul", "s.foul", "foul turnover", "")
+
+
+Has = Callable[[str], Column]
+#: Stands for "the text has more than spaces" among the substrings.
+ANY_TEXT = ""
+
+
+def text_test(d: Column) -> Has:
+    """Whether the lower-cased text has a substring."""
+    return lambda s: d.isNotNull() & (F.length(F.trim(d)) > 0) if s == ANY_TEXT else d.contains(s)
 
 
-def _has(d: Column, s: str) -> Column:
-    return d.contains(s)
+def bit_test(bits: Column) -> Has:
+    """The same from ``needle_bits``."""
+    return lambda s: bits.bitwiseAND(1 << NEEDLES.index(s)) != 0
 
 
-def _shot(d: Column, whole_words: bool) -> Column:
-    if whole_words:
-        return d.rlike(r"(?<![\p{L}\p{N}_])(" + "|".join(SHOT_WORDS) + r")(?![\p{L}\p{N}_])")
-    shot = _has(d, SHOT_WORDS[0])
+def needle_bits(d: Column) -> Column:
+    """Bit i is set when the text has ``NEEDLES[i]``: every substring is looked for once."""
+    bits, has = F.lit(0), text_test(d)
+    for i, s in enumerate(NEEDLES):
+        bits = bits.bitwiseOR(F.when(has(s), F.lit(1 << i)).otherwise(F.lit(0)))
+    return bits
+
+
+def _any_shot(has: Has) -> Column:
+    shot = has(SHOT_WORDS[0])
     for w in SHOT_WORDS[1:]:
-        shot = shot | _has(d, w)
+        shot = shot | has(w)
     return shot
 
 
@@ -35,30 +59,36 @@ def general_predicates(d: Column, whole_words: bool = False) -> dict[str, Column
     """Per-participant statistics (every non-empty player slot gets them).
 
     ``whole_words``: a shot word inside another word (a name) doesn't count.
-
-    Fixed values: output column -> predicate over the lower-cased text.
     """
-    two = _shot(d, whole_words) & ~_has(d, "3pt") & ~_has(d, "turnover")
+    has = text_test(d)
+    shot = d.rlike(r"(?<![\p{L}\p{N}_])(" + "|".join(SHOT_WORDS) + r")(?![\p{L}\p{N}_])") if whole_words else _any_shot(has)
+    return general_rules(has, shot)
+
+
+def general_rules(has: Has, shot: Column | None = None) -> dict[str, Column]:
+    """Output column -> predicate over what substrings the lower-cased text has."""
+    shot = _any_shot(has) if shot is None else shot
+    two = shot & ~has("3pt") & ~has("turnover")
     return {
-        "Tiros_Dobles_Exitosos": two & ~_has(d, "miss"),
-        "Tiros_Dobles_Fallidos": two & _has(d, "miss"),
-        "Tiros_Triples_Exitosos": _has(d, "3pt") & ~_has(d, "miss"),
-        "Tiros_Triples_Fallidos": _has(d, "3pt") & _has(d, "miss"),
-        "Tiros_Libres_Exitosos": _has(d, "free throw") & ~_has(d, "miss"),
-        "Tiros_Libres_Fallidos": _has(d, "free throw") & _has(d, "miss"),
-        "Rebotes_Obtenidos": _has(d, "rebound"),
-        "Rebotes_Defensivos_Obtenidos": _has(d, "rebound") & _has(d, "defensive"),
-        "Rebotes_Ofensivos_Obtenidos": _has(d, "rebound") & _has(d, "offensive"),
-        "Perdidas_Balon": _has(d, "turnover") & ~_has(d, "foul"),
-        "Cambios_Jugadores": _has(d, "sub") & _has(d, "for"),
-        "Tiempos_Muertos": _has(d, "timeout"),
-        "Faltas_Personales": _has(d, "p.foul") | (_has(d, "foul") & _has(d, "personal")),
-        "Faltas_Balon_Suelto": _has(d, "l.b.foul"),
-        "Faltas_Disparo": _has(d, "s.foul"),
-        "Faltas_Rebote": _has(d, "foul turnover"),
-        "Faltas_Ofensivas": _has(d, "offensive") & _has(d, "foul"),
-        "Cantidad_Ataques_Fallidos_General": _has(d, "miss"),
-        "Numero_Jugadas_Totales": d.isNotNull() & (F.length(F.trim(d)) > 0),
+        "Tiros_Dobles_Exitosos": two & ~has("miss"),
+        "Tiros_Dobles_Fallidos": two & has("miss"),
+        "Tiros_Triples_Exitosos": has("3pt") & ~has("miss"),
+        "Tiros_Triples_Fallidos": has("3pt") & has("miss"),
+        "Tiros_Libres_Exitosos": has("free throw") & ~has("miss"),
+        "Tiros_Libres_Fallidos": has("free throw") & has("miss"),
+        "Rebotes_Obtenidos": has("rebound"),
+        "Rebotes_Defensivos_Obtenidos": has("rebound") & has("defensive"),
+        "Rebotes_Ofensivos_Obtenidos": has("rebound") & has("offensive"),
+        "Perdidas_Balon": has("turnover") & ~has("foul"),
+        "Cambios_Jugadores": has("sub") & has("for"),
+        "Tiempos_Muertos": has("timeout"),
+        "Faltas_Personales": has("p.foul") | (has("foul") & has("personal")),
+        "Faltas_Balon_Suelto": has("l.b.foul"),
+        "Faltas_Disparo": has("s.foul"),
+        "Faltas_Rebote": has("foul turnover"),
+        "Faltas_Ofensivas": has("offensive") & has("foul"),
+        "Cantidad_Ataques_Fallidos_General": has("miss"),
+        "Numero_Jugadas_Totales": has(ANY_TEXT),
     }
 
 
@@ -77,14 +107,14 @@ def role_predicates(d: Column, role: Column) -> dict[str, Column]:
     Jump ball: slots 1 and 3 win (a successful attack), slot 2 loses.
     Block: slot 3 blocks.  Steal: slot 2 steals.
     """
-    jump = _has(d, JUMP_BALL)
+    jump = d.contains(JUMP_BALL)
     won = jump & role.isin(1, 3)
     lost = jump & (role == 2)
     return {
         "Saques_Exitosos": won,
         "Saques_Fallidos": lost,
-        "Tiros_Bloqueados": _has(d, BLOCK) & (role == 3),
-        "Robos_Exitosos": _has(d, STEAL) & (role == 2),
+        "Tiros_Bloqueados": d.contains(BLOCK) & (role == 3),
+        "Robos_Exitosos": d.contains(STEAL) & (role == 2),
     }
 
 
@@ -101,8 +131,8 @@ def flag(pred: Column) -> Column:
 # technical / flagrant fouls).
 def extra_predicates(d: Column) -> dict[str, Column]:
     return {
-        "Faltas_Tecnicas": _has(d, "t.foul") | _has(d, "technical"),
-        "Faltas_Flagrantes": _has(d, "flagrant"),
-        "Faltas_Ofensivas_Off": _has(d, "off.foul"),
+        "Faltas_Tecnicas": d.contains("t.foul") | d.contains("technical"),
+        "Faltas_Flagrantes": d.contains("flagrant"),
+        "Faltas_Ofensivas_Off": d.contains("off.foul"),
         "Robos_Fallidos": d.like("%miss%steal%"),
     }

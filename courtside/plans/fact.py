@@ -140,6 +140,29 @@ def player_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
     return lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
 
 
+def resolved_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
+    """``player_measures`` with one player per game and name, and ``candidatos``, the players of that name.
+
+    ``player_measures`` gives every player of a name a full copy of the
+    measures.  Here a shared name goes to the player whose team is the one
+    the game's roster has for the name, else to the smallest key, so no
+    point counts twice.  Only rows of shared names meet the roster.
+    """
+    measures = materialize(game_player_measures(plays), "measures")
+    names = player.select("idJugador", norm_key("nombre").alias("nombre_n"), "equipo").where("nombre_n IS NOT NULL")
+    held = names.groupBy("nombre_n").agg(F.count(F.lit(1)).alias("candidatos"), F.min("idJugador").alias("idJugador"))
+    alone = lookup(measures, held.where("candidatos = 1"), ["jugador"], ["nombre_n"], ["idJugador", "candidatos"], how="inner")
+    shared = held.where("candidatos > 1").select("nombre_n", "candidatos")
+    several = lookup(measures, shared, ["jugador"], ["nombre_n"], ["candidatos"], how="inner")
+    teams = lookup(roster(plays), shared, ["jugador"], ["nombre_n"], [], how="left_semi")
+    holders = names.select(F.col("nombre_n").alias("jugador"), "idJugador", "equipo")
+    # One candidate per (game, name): the first by (team fits, key), as an aggregation.
+    fits = F.when(F.col("equipo") == F.col("nombre_equipo"), F.lit(0)).otherwise(F.lit(1))
+    chosen = (teams.join(holders, "jugador").groupBy("game_id", "jugador")
+              .agg(F.min(F.struct(fits.alias("fits"), "idJugador")).alias("best")).select("game_id", "jugador", F.col("best.idJugador").alias("idJugador")))
+    return alone.unionByName(several.join(chosen, ["game_id", "jugador"]))
+
+
 def numbered_games(header: DataFrame, measures: DataFrame, number=number_rows) -> DataFrame:
     """One row per game with measures: game_id, its header keys, ``idPartido``."""
     seen = measures.select("game_id").distinct()

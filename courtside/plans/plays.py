@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.functions.classify import (BLOCK, GENERAL_STATS, JUMP_BALL, ROLE_STATS, STEAL, flag, general_predicates,
-                                          role_predicates)
+from courtside.functions.classify import (BLOCK, GENERAL_STATS, JUMP_BALL, ROLE_STATS, STEAL, bit_test, flag, general_predicates, general_rules,
+                                          needle_bits, role_predicates)
 from courtside.functions.text import norm_key
 from courtside.operators.unpivot import unpivot_groups
 
@@ -92,14 +92,19 @@ def derived_metrics(stats: DataFrame) -> DataFrame:
     )
 
 
-def play_masks(stream: DataFrame, whole_words: bool = False) -> DataFrame:
-    """(game_id, player1..3, mask): bit i of ``mask`` is the i-th of ``GENERAL_STATS``, then the texts of ``ROLE_TEXTS``."""
-    d = F.col("descripcion")
-    bits = [*general_predicates(d, whole_words).values(), *[d.contains(t) for t in ROLE_TEXTS]]
+def play_masks(stream: DataFrame) -> DataFrame:
+    """(game_id, player1..3, mask): bit i of ``mask`` is the i-th of ``GENERAL_STATS``, then the texts of ``ROLE_TEXTS``.
+
+    The text is searched once per substring (first projection); the second
+    one reads the rules from the bits found.
+    """
+    names = [f"player{i}_name" for i in SLOTS]
+    found = stream.select("game_id", *names, needle_bits(F.col("descripcion")).alias("found"))
+    has = bit_test(F.col("found"))
     mask = F.lit(0)
-    for i, p in enumerate(bits):
+    for i, p in enumerate([*general_rules(has).values(), *[has(t) for t in ROLE_TEXTS]]):
         mask = mask.bitwiseOR(F.when(p, F.lit(1 << i)).otherwise(F.lit(0)))
-    return stream.select("game_id", *[f"player{i}_name" for i in SLOTS], mask.alias("mask"))
+    return found.select("game_id", *names, mask.alias("mask"))
 
 
 def mask_stats(masks: DataFrame) -> DataFrame:

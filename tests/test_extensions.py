@@ -128,3 +128,17 @@ def test_previous_values_cross_chunks(spark):
     got = X.previous_values(df, ["g"], "o", ["v"], chunk=16)
     want = df.select("g", "o", "v", F.lag("v").over(Window.partitionBy("g").orderBy("o")).alias("prev_v"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_shared_names_count_once(spark):
+    """Two players of one name: each game's row goes to the one of the roster's team; no point is doubled."""
+    from courtside.plans.fact import resolved_measures
+
+    schema = "game_id long, eventnum int, " + ", ".join(f"player{i}_{c} string" for i in (1, 2, 3) for c in ("name", "team_city", "team_nickname")) + \
+             ", homedescription string, visitordescription string"
+    none = (None,) * 6
+    rows = [(1, 1, "Jo Doe", "Rome", "Reds", *none, "Jo Doe 3PT shot", None), (2, 1, "JO DOE ", "Oslo", "Owls", *none, "Jo Doe layup", None),
+            (3, 1, "jo doe", "Bern", "Bees", *none, "Jo Doe layup", None), (1, 2, "Al Low", None, None, *none, "free throw", None)]
+    player = spark.createDataFrame([(1, "Jo Doe", "Rome Reds"), (2, "Jo Doe", "Oslo Owls"), (3, "Al Low", ""), (4, None, "Rome Reds")], "idJugador long, nombre string, equipo string")
+    got = {(r.game_id, r.jugador): (r.idJugador, r.candidatos, r.Puntos_Totales) for r in resolved_measures(spark.createDataFrame(rows, schema), player).collect()}
+    assert got == {(1, "jo doe"): (1, 2, 3), (2, "jo doe"): (2, 2, 2), (3, "jo doe"): (1, 2, 2), (1, "al low"): (3, 1, 1)}
