@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.operators.lookup import checked_broadcast
+from courtside.operators.lookup import broadcast_bound, checked_broadcast, fits_broadcast
 from courtside.operators.materialize import materialize
 
 # Word characters, boundaries, digits and spaces are Unicode ones, as in the source job's patterns.
@@ -56,12 +56,36 @@ def name_parts(c: Column) -> Column:
     return F.filter(F.split(c, UNICODE + r"\s+"), lambda p: p != "")
 
 
-def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_col: str) -> DataFrame:
+def split_hot_grams(grams: DataFrame, names: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grams that at most ``hot_rows`` rows share, the others, the entries among the others).
+
+    A gram such as a word of nearly every text would put all its rows into one
+    task of a join by gram.  Such grams are few (the rows over ``hot_rows`` at
+    most) and are found by a count with partial sums.
+    """
+    hot = grams.groupBy(F.col("_g.g").alias("_h")).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > hot_rows).select("_h")
+    hot = materialize(hot.where("_h IS NOT NULL"), "hot-grams")
+    side = checked_broadcast(hot)
+    return (grams.join(side, F.col("_g.g") == F.col("_h"), "left_anti"), grams.join(side, F.col("_g.g") == F.col("_h"), "left_semi"),
+            names.join(side, F.col("_e") == F.col("_h"), "left_semi"))
+
+
+def large_dictionary_matches(grams: DataFrame, names: DataFrame, hot_rows: int) -> DataFrame:
+    """The grams that are dictionary entries (text, ``_g``, ``_e``), for a dictionary beyond the broadcast bound.
+
+    Hot grams meet the few entries among them by broadcast, the others the
+    dictionary by a shuffle in which no key has more than ``hot_rows`` rows.
+    """
+    cold, hot, few = split_hot_grams(grams.drop("_n"), names, hot_rows)
+    return cold.join(names, F.col("_g.g") == F.col("_e")).unionByName(hot.join(checked_broadcast(few), F.col("_g.g") == F.col("_e")))
+
+
+def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_col: str, hot_rows: int = 1_000_000) -> DataFrame:
     """Add ``out_col`` = ``text_col`` with every whole-word dictionary entry removed.
 
     ``texts`` must have distinct ``text_col`` values; ``dictionary`` has one
     column ``entry``.  The longest entry (in runs) bounds the n-gram length;
-    it is one aggregated number.
+    it is one aggregated number.  ``hot_rows``: see ``large_dictionary_matches``.
     """
     entries = dictionary.select("entry").where(F.col("entry").isNotNull() & (F.col("entry") != "")).distinct()
     # Small, read three times (summary, size check, join): materialized once.
@@ -98,12 +122,15 @@ def remove_entries(texts: DataFrame, text_col: str, dictionary: DataFrame, out_c
         F.explode_outer(F.flatten(F.array(*[F.transform(starts(k), gram_at(k)) for k in ks]))).alias("_g"))
     ok = ((F.col("_e").rlike(UNICODE + r"^\w") | (F.col("_g.p") > 0))
           & (F.col("_e").rlike(UNICODE + r"\w$") | (F.col("_g.p") + F.col("_g.k") < F.col("_n"))))
-    # Left join keeps texts without matches; the texts arrive partitioned by
-    # text (they are distinct), so regrouping them needs no shuffle.
-    found = (grams.join(checked_broadcast(entries.select(F.col("entry").alias("_e"))),
-                        F.col("_g.g") == F.col("_e"), "left")
-             .groupBy(text_col).agg(F.array_sort(F.collect_list(F.when(F.col("_e").isNotNull() & ok, F.struct(
-                 F.col("_g.p").alias("p"), (-F.col("_g.k")).alias("negk"))))).alias("_m")))
+    names = entries.select(F.col("entry").alias("_e"))
+    if fits_broadcast(names, broadcast_bound(names)):
+        # Left join keeps texts without matches; the texts arrive partitioned by
+        # text (they are distinct), so regrouping them needs no shuffle.
+        met = grams.join(F.broadcast(names), F.col("_g.g") == F.col("_e"), "left")
+    else:
+        met = large_dictionary_matches(grams, names, hot_rows).join(t.select(text_col, n.alias("_n")), text_col, "right")
+    found = (met.groupBy(text_col).agg(F.array_sort(F.collect_list(F.when(F.col("_e").isNotNull() & ok, F.struct(
+        F.col("_g.p").alias("p"), (-F.col("_g.k")).alias("negk"))))).alias("_m")))
     # Leftmost, then longest, non-overlapping matches.
     init = F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("drop"))
     chosen = F.aggregate(

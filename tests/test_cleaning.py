@@ -3,6 +3,9 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from courtside.functions import cleaning as C
 
 
@@ -12,9 +15,6 @@ def _brute(text, entries):
     return pat.sub("", text)
 
 
-import pytest
-
-
 @pytest.mark.parametrize("extra", [[], ["Jr.", ".Net"]])
 def test_remove_entries_matches_regex_scan(spark, extra):
     rnd = random.Random(7)
@@ -35,8 +35,6 @@ def test_remove_entries_matches_regex_scan(spark, extra):
 
 
 def test_tidy_and_words(spark):
-    from pyspark.sql import functions as F
-
     rows = [("  24' 3PT Jump Shot (3 PTS) (  1 AST)", "3PT Jump Shot"),
             ("MISS  5' Dunk  BLOCK (1 BLK)", "MISS Dunk BLOCK"),
             (" S.FOUL (P1.PN)", "FOUL"),
@@ -46,3 +44,22 @@ def test_tidy_and_words(spark):
                                                       C.STYLE_WORDS)).alias("got")).collect()
     for r in out:
         assert r["got"] == r["want"].replace("Tip to", "to").strip(), r
+
+
+def test_large_dictionary_splits_hot_grams(spark):
+    """One token in every text, a dictionary beyond the bound: same result, and no key of the shuffle is hot."""
+    rows = [(f"MISS Name{i % 37} hits Rim {i}",) for i in range(4000)]
+    texts = spark.createDataFrame(rows, "d string")
+    words = spark.createDataFrame([("Rim",), ("absent",), *[(f"Name{i}",) for i in range(30)], *[(str(i),) for i in range(0, 4000, 3)]], "entry string")
+    want = sorted(map(tuple, C.remove_entries(texts, "d", words, "o").collect()))
+    assert dict(want)["MISS Name1 hits Rim 1"] == "MISS  hits  1" and dict(want)["MISS Name36 hits Rim 36"] == "MISS Name36 hits  "
+    spark.conf.set("courtside.broadcast.maxRows", "60")
+    try:
+        assert sorted(map(tuple, C.remove_entries(texts, "d", words, "o", hot_rows=200).collect())) == want
+        grams = texts.select("d", F.explode(F.split("d", " ")).alias("g")).select("d", F.struct("g").alias("_g"))
+        cold, hot, few = C.split_hot_grams(grams, words.select(F.col("entry").alias("_e")), 200)
+        assert {r["_e"] for r in few.collect()} == {"Rim"} and {r.g for r in hot.select("_g.g").distinct().collect()} == {"MISS", "hits", "Rim"}
+        tasks = sorted(r["count"] for r in cold.repartition(8, "_g.g").groupBy(F.spark_partition_id()).count().collect())
+        assert sum(tasks) == 8000 and tasks[-1] <= 3 * tasks[len(tasks) // 2]
+    finally:
+        spark.conf.unset("courtside.broadcast.maxRows")
