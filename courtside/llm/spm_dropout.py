@@ -16,7 +16,9 @@ a tree per word: its merges in order as long as nothing is skipped, and from
 each of these a branch for when it is skipped.  An occurrence walks the tree
 by its own draws; branches not seen before are merged at once in numpy, one
 merge a word and round, which is the agenda's order in each word.  Long words
-and high dropout, where few walks repeat, are merged occurrence by occurrence.
+and high dropout, where few walks repeat, are merged occurrence by occurrence;
+words beyond ``LONG`` characters by a heap of candidates over linked
+neighbours, so that a text without spaces takes little more than linear time.
 
 Characters without a piece become byte pieces, and so does U+2581, which
 would come back as a space: every text decodes to itself.
@@ -28,6 +30,7 @@ string.  Rows are encoded one by one; the document in the key is id and text
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -48,6 +51,8 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _NEVER = np.int64(1 << 30)  # a rank behind all others
 #: Words up to this length have a tree, up to this dropout.
 SHORT, HIGH = 24, 0.25
+#: Longer words are merged by a heap, shorter ones many at a time.
+LONG = 96
 
 
 def _mark(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -110,6 +115,7 @@ class Model:
         self.rank = np.empty(self.n, np.int64)  # of pieces, best score first
         _, at = np.unique(-score, return_inverse=True)
         self.rank[:] = at
+        self.known: dict[int, int] | None = None  # pair to result, for long words
         # A hash table of the pairs without collisions beyond a short probe.
         self.size = 1 << 22
         self.slot = np.full(self.size, -1, np.int32)
@@ -156,6 +162,16 @@ class Model:
         bar = _bar(dropout)
         live = np.arange(len(piece))  # positions in words that may still merge
         done_at, done_piece, done_word = [], [], []
+        long = lengths > LONG
+        for i in np.nonzero(long)[0].tolist():
+            p, at = self._agenda(piece[start[i]:start[i] + lengths[i]], int(keys[i]), dropout)
+            done_at.append(at)
+            done_piece.append(p)
+            done_word.append(np.full(len(p), i))
+        if done_at:
+            keep = ~long[word]
+            piece, word, pos, size = piece[keep], word[keep], pos[keep], size[keep]
+            live = piece
         while len(live):
             p, w, at, n = piece, word, pos, size
             same = w[1:] == w[:-1]
@@ -196,6 +212,52 @@ class Model:
         raw_ids = p.astype("<i4").tobytes()
         return [raw_ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _agenda(self, piece: np.ndarray, key: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces and first characters of one long word: a heap of candidates over linked neighbours, one merge at a time."""
+        n, bar = len(piece), int(_bar(dropout))
+        if self.known is None:
+            self.known = dict(zip(self.pair.tolist(), self.made.tolist()))
+        known, rank, pieces, mask = self.known, self.rank.tolist(), self.n, (1 << 64) - 1
+        k1, k2 = int(_K1), int(_K2)
+        made = self.merge_of(piece[:-1], piece[1:])
+        first = np.nonzero(made >= 0)[0]
+        if dropout > 0 and len(first):
+            ones = np.ones(len(first), np.int64)
+            first = first[_draw(np.full(len(first), key, np.uint64), _mark(first, ones, ones)) >= _bar(dropout)]
+        # (rank and place, sizes of both sides, result); an entry whose sides have changed meanwhile is stale.
+        heap = [(r << 32 | at, 1, 1, m) for r, at, m in zip(self.rank[made[first]].tolist(), first.tolist(), made[first].tolist())]
+        heapq.heapify(heap)
+        now, size, left = piece.tolist(), [1] * n, list(range(-1, n - 1))
+
+        def offer(at, to):
+            m = known.get(now[at] * pieces + now[to]) if now[at] >= 0 and now[to] >= 0 else None
+            if m is None:
+                return
+            a, b = size[at], size[to]
+            if bar:
+                h = key ^ ((at * k1 + a * k2 + b * (k1 ^ k2)) & mask)
+                h = ((h ^ (h >> 31)) * k2) & mask
+                h = ((h ^ (h >> 29)) * k1) & mask
+                if h >> 11 < bar:
+                    return
+            heapq.heappush(heap, (rank[m] << 32 | at, a, b, m))
+
+        while heap:
+            value, a, b, m = heapq.heappop(heap)
+            at = value & 0xFFFFFFFF
+            to = at + a
+            if size[at] != a or to >= n or size[to] != b:
+                continue
+            now[at], size[at], size[to] = m, a + b, 0
+            after = at + a + b
+            if after < n:
+                left[after] = at
+                offer(at, after)
+            if left[at] >= 0:
+                offer(left[at], at)
+        at = np.nonzero(np.array(size))[0]
+        return np.array(now, np.int64)[at], at
+
     def trace(self, words: list[str], skip_word: np.ndarray, skip_code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Codes of the merges of each word in order, their number, ids, their number; the candidates (word, code) given are skipped.
 
@@ -350,11 +412,11 @@ class Trees:
 class Encoder:
     """Texts to ids; every occurrence of a word has draws of its own.
 
-    ``variants`` is without effect: it once bounded the segmentations of a word.  ``limit`` bounds the words remembered,
+    ``limit`` bounds the words remembered,
     four times as many are the nodes of their trees.
     """
 
-    def __init__(self, model: Model, seed: int, dropout: float, variants: int | None = None, limit: int = 600_000):
+    def __init__(self, model: Model, seed: int, dropout: float, limit: int = 600_000):
         self.model, self.seed, self.dropout, self.limit = model, seed & (2**64 - 1), dropout, limit
         self.short = SHORT if dropout <= HIGH else 0
         self.trees = Trees(model)
@@ -417,8 +479,8 @@ def _encoder(path: str, seed: int, dropout: float) -> Encoder:
     return _ENCODERS[path, seed, dropout]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int | None = None) -> DataFrame:
-    """Per row: doc_id and ids (array of int).  ``variants`` is without effect (see ``Encoder``)."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1) -> DataFrame:
+    """Per row: doc_id and ids (array of int)."""
     path = path or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,7 +507,7 @@ def decode(rows: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path:
     return rows.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{ids_col}` as ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int | None = None) -> DataFrame:
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, dropout: float = 0.1, seed: int = 1) -> DataFrame:
     """Per row, from its ids: doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit), n_chars and n_bytes of the decoded text, lossless."""
     path = path or tokenizer_path("piece_bpe_32k.model")
     names = ["doc_id", "n_ids", "ids_crc32", "n_chars", "n_bytes", "lossless"]

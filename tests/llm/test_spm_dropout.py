@@ -15,7 +15,7 @@ TEXTS = ["", "Hello  world", " leading", "trailing  ", "naïve ñandú ﬁ 🎉\
 def test_dropout_zero_is_the_model_itself():
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     texts = [t for t in TEXTS if "▁" not in t and "\x00" not in t]
-    got = S.Encoder(MODEL, 1, 0.0, 8).encode(list(range(len(texts))), texts)
+    got = S.Encoder(MODEL, 1, 0.0).encode(list(range(len(texts))), texts)
     assert [x.tolist() for x in got] == [sp.encode(t) for t in texts]
 
 
@@ -51,21 +51,48 @@ def test_rounds_equal_the_agenda():
         assert [np.frombuffer(x, "<i4").tolist() for x in got] == [agenda(w, int(k), dropout) for w, k in zip(words, keys)]
 
 
+def test_long_words_equal_the_agenda():
+    import random
+
+    r = random.Random(4)
+    words = ["".join(r.choices(["the", "ing", "a", "tion", "é", "x9", "🎉", "漢", "aaaa"], k=60)) for _ in range(4)] + ["a" * 200, "\n".join(["word"] * 40)]
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        keys = np.array([99 + 7 * i for i in range(len(words))], np.uint64)
+        got = MODEL.segment(["short", *words], np.append(np.uint64(5), keys), dropout)[1:]
+        for x, w, k in zip(got, words, keys):
+            want = agenda(w, int(k), dropout)
+            assert np.frombuffer(x, "<i4").tolist() == MODEL._spell(np.array(want, np.int64), np.zeros(len(want), np.int64))[0].tolist()
+
+
+def test_time_is_near_linear_in_the_length_of_a_word():
+    import time
+
+    def seconds(n):
+        text = ("thequickbrownfoxandtheinternationalorganization\n" * (n // 48))
+        t = time.perf_counter()
+        assert MODEL.decode(S.Encoder(MODEL, 1, 0.1).encode([1], [text])[0].tolist()) == text
+        return time.perf_counter() - t
+
+    seconds(10_000)
+    assert seconds(400_000) < 2.5 * seconds(200_000)
+    assert seconds(1_000_000) < 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5), st.sampled_from([0.0, 0.1, 0.6, 1.0]))
 def test_every_text_decodes_to_itself(texts, dropout):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    ids = S.Encoder(MODEL, 3, dropout, 4).encode(list(range(len(texts))), texts)
+    ids = S.Encoder(MODEL, 3, dropout).encode(list(range(len(texts))), texts)
     assert [MODEL.decode(x.tolist()) for x in ids] == texts
 
 
 def test_segmentations_vary_and_repeat():
     text = "the international organization of segmentation " * 40
-    one, two = (S.Encoder(MODEL, 1, 0.1, 8).encode([5], [text])[0].tolist() for _ in range(2))
-    other = S.Encoder(MODEL, 2, 0.1, 8).encode([5], [text])[0].tolist()
-    plain = S.Encoder(MODEL, 1, 0.0, 8).encode([5], [text])[0].tolist()
+    one, two = (S.Encoder(MODEL, 1, 0.1).encode([5], [text])[0].tolist() for _ in range(2))
+    other = S.Encoder(MODEL, 2, 0.1).encode([5], [text])[0].tolist()
+    plain = S.Encoder(MODEL, 1, 0.0).encode([5], [text])[0].tolist()
     assert one == two and one != other and len(one) > len(plain)
-    assert S.Encoder(MODEL, 1, 1.0, 8).encode([5], ["word"])[0].tolist() == [int(MODEL.char[ord(c)]) for c in "▁word"]
+    assert S.Encoder(MODEL, 1, 1.0).encode([5], ["word"])[0].tolist() == [int(MODEL.char[ord(c)]) for c in "▁word"]
 
 
 def test_every_occurrence_is_the_agenda_with_its_own_key():
@@ -84,13 +111,13 @@ def test_every_occurrence_is_the_agenda_with_its_own_key():
 
 def test_skip_rate_and_number_of_segmentations():
     n = 20_000  # " a" has one candidate merge
-    ids = [len(x) for x in S.Encoder(MODEL, 1, 0.1, 4).encode(list(range(n)), ["a"] * n)]
+    ids = [len(x) for x in S.Encoder(MODEL, 1, 0.1).encode(list(range(n)), ["a"] * n)]
     assert set(ids) == {1, 2} and abs(ids.count(2) / n - 0.1) < 0.01  # of copies of one text
-    one = S.Encoder(MODEL, 1, 0.1, 4).encode([1], [" ".join(["a"] * n)])[0]  # and of occurrences in one text
+    one = S.Encoder(MODEL, 1, 0.1).encode([1], [" ".join(["a"] * n)])[0]  # and of occurrences in one text
     assert abs((len(one) - n) / n - 0.1) < 0.01
 
     def distinct(k):
-        return len({x.tobytes() for x in S.Encoder(MODEL, 1, 0.1, 4).encode(list(range(k)), ["internationalization"] * k)})
+        return len({x.tobytes() for x in S.Encoder(MODEL, 1, 0.1).encode(list(range(k)), ["internationalization"] * k)})
 
     assert 4 < distinct(40) < distinct(400) < distinct(4000)
     same = [x.tolist() for x in S.Encoder(MODEL, 1, 0.1).encode([3, 3, None, None], ["mississippi " * 9] * 4)]
