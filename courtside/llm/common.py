@@ -52,6 +52,17 @@ def batches_of(rows: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             yield from zip(*columns(b.slice(lo, 512), *names))
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Sorted Arrow batches cut where one of the first ``n_keys`` (integer) columns changes, with those keys."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(n_keys)], 1)
+        cuts = [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield tuple(key[lo].tolist()), b.slice(lo, hi - lo)
+
+
 def tokenizer_path(name: str) -> str:
     """Where the public tokenizer file of this name lies on every machine."""
     import public_tokenizers

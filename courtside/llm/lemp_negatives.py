@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import ship_package
+from courtside.llm.common import runs_of, ship_package
 from courtside.operators.materialize import materialize
 
 SLACK = 1e-9
@@ -151,16 +151,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """The batches cut where (shard, length, kind) changes."""
-    for b in batches:
-        key = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], 1)
-        cuts = [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist(), b.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if hi > lo:
-                yield tuple(key[lo].tolist()), b.slice(lo, hi - lo)
-
-
 def _search(table: DataFrame, anchors: DataFrame, shards: int, same: bool, k: int, share: tuple[int, int] | None, options: dict) -> DataFrame:
     """anchor_id, place, positive_id, positive_score, _id, score: per shard the k best rows per anchor and window.
 
@@ -182,7 +172,7 @@ def _search(table: DataFrame, anchors: DataFrame, shards: int, same: bool, k: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, index = None, [], None
-        for (number, dim, kind), b in _pieces(batches):
+        for (number, dim, kind), b in runs_of(batches, 3):
             if (number, dim) != group:
                 group, held, index = (number, dim), [], None
             ids, labels, x = b.column(3).to_numpy(zero_copy_only=False), b.column(4).to_numpy(zero_copy_only=False), _matrix(b.column(5))

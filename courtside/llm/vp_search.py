@@ -1,6 +1,6 @@
 """Nearest neighbours with a vantage-point tree per shard.
 
-Vectors are dealt over shards by a hash of their id.  In a shard, one task
+Vectors are dealt over shards by their place, so that copies are dealt too.  In a shard, one task
 builds a vantage-point tree: an inner node holds one vector and the median
 distance to the rest, which splits them into a near and a far half; leaves
 hold up to ``leaf`` vectors.  All queries of a block walk the tree together.
@@ -12,8 +12,10 @@ one visits less and may miss neighbours.  Distances are Euclidean, computed
 in double precision from the original components.  Each shard returns its k
 best per query, and a window over those picks the k best of all shards.
 
-Queries (a stated set) meet every shard, in blocks of ``query_block``: every
-row is searched, no shard is skipped.
+Queries (a stated set) meet every shard: every row is searched, no shard is
+skipped.  A shard's rows and the queries come sorted in one stream, the rows
+first: the tree is built once, whatever the number of queries, which follow
+in blocks of ``query_block``.
 
 Defined results: null, zero and empty vectors, those with null or non-finite
 components, and rows with a null id take no part.  Only vectors of one
@@ -26,12 +28,14 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import ship_package
+from courtside.llm.common import runs_of, ship_package
 
 FACTOR = 1.15  # recall measured in tests/llm/test_vp_search.py, with small shards and with the defaults below
 
@@ -113,34 +117,39 @@ def valid_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10, factor: float = FACTOR,
-           shard_rows: int = 8192, query_block: int = 16384, leaf: int = 64) -> DataFrame:
+           shard_rows: int = 8192, query_block: int = 2048, leaf: int = 64) -> DataFrame:
     """query_id, rank (from 1), ``id_col``, score (distance), nearest first; ``is_query`` is a condition on ``_id``."""
     ship_package(rows.sparkSession)
     have = valid_vectors(rows, id_col, vec_col)
-    # Two counts over the id column fix the number of shards and query blocks.
-    n, nq = rows.select(F.count(F.lit(1)), F.count_if(is_query)).first() if id_col == "_id" else rows.select(
-        F.col(id_col).cast("long").alias("_id")).select(F.count(F.lit(1)), F.count_if(is_query)).first()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-(nq or 0) // query_block))
-    shard = F.pmod(F.xxhash64("_id"), F.lit(shards)).cast("int").alias("_shard")
-    block = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(blocks)).cast("int").alias("_block")
-    size = F.size("_v").alias("_dim")
-    stored = have.select("_id", "_v", size, shard, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    n = rows.where(F.col(id_col).isNotNull()).count()  # fixes the number of shards
+    shards = max(1, -(-n // shard_rows))
+    shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("_shard")
+    stored = have.select(shard, F.size("_v").alias("_dim"), F.lit(0).alias("_kind"), "_id", "_v")
     once = have.where(is_query).groupBy("_id").agg(F.min("_v").alias("_v"))
-    # Fresh names: both sides come from one table, and a cogroup tells columns apart by name.
-    asked = once.select(F.col("_id").alias("_q_id"), F.col("_v").alias("_q_v"), F.size("_v").alias("_q_dim"),
-                        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_q_shard"), block.alias("_q_block"))
-    keys = ["_dim", "_shard", "_block"]
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": np.empty(0, np.int64), "_id": np.empty(0, np.int64), "score": np.empty(0)})
-        if not len(left) or not len(right):
-            return none
-        tree = VpTree(np.stack(left["_v"].to_numpy()).astype(float), left["_id"].to_numpy(np.int64), leaf)
-        q = right["_q_id"].to_numpy(np.int64)
-        d, i = tree.search(np.stack(right["_q_v"].to_numpy()).astype(float), q, k, factor)
-        at, col = np.nonzero(np.isfinite(d))
-        return pd.DataFrame({"query_id": q[at], "_id": i[at, col], "score": d[at, col]})
-
-    found = stored.groupBy(*keys).cogroup(asked.groupBy(*[f"_q{x}" for x in keys])).applyInPandas(run, "query_id bigint, _id bigint, score double")
+    asked = once.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"), F.size("_v").alias("_dim"), F.lit(1).alias("_kind"), "_id", "_v")
+    stream = stored.unionByName(asked).repartition("_shard").sortWithinPartitions("_shard", "_dim", "_kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, tree = None, [], None
+        for (number, dim, kind), b in runs_of(batches, 3):
+            if (number, dim) != group:
+                group, held, tree = (number, dim), [], None
+            ids = b.column(3).to_numpy(zero_copy_only=False)
+            x = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            if kind == 0:
+                held.append((x, ids))
+                continue
+            if tree is None:
+                if not held:
+                    continue
+                tree = VpTree(*[np.concatenate(part) for part in zip(*held)], leaf)
+                held = []
+            for lo in range(0, len(ids), query_block):
+                q = ids[lo:lo + query_block]
+                d, i = tree.search(x[lo:lo + query_block], q, k, factor)
+                at, col = np.nonzero(np.isfinite(d))
+                yield pa.RecordBatch.from_arrays([pa.array(q[at]), pa.array(i[at, col]), pa.array(d[at, col])], names=["query_id", "_id", "score"])
+
+    found = stream.mapInArrow(run, "query_id bigint, _id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "_id")).cast("int").alias("rank")
     return found.select("query_id", rank, F.col("_id").alias(id_col), "score").where(F.col("rank") <= k)

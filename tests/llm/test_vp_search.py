@@ -64,6 +64,41 @@ def test_recall_with_the_registered_defaults(spark, sf_small):
     assert len(want) > 500 and recall >= 0.95
 
 
+@pytest.mark.parametrize("kind", ["clusters", "sphere"])
+def test_recall_with_the_defaults_on_made_shards(spark, tmp_path, kind):
+    """Six shards of up to 8192 rows, as many as it takes to show what pruning by shard loses."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(7)
+    n, dim = 45_000, 64
+    x = r.normal(size=(n, dim)) + (2 * r.normal(size=(200, dim))[r.integers(0, 200, n)] if kind == "clusters" else 0)
+    x = (x / np.sqrt((x ** 2).sum(1))[:, None]).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(x.reshape(-1), dim).cast(pa.list_(pa.float32()))}), tmp_path / "e.parquet")
+    got = found(V.search(spark.read.parquet(str(tmp_path / "e.parquet")), F.col("_id") % 300 == 0))
+    assert len(got) == n // 300 and all(len(g) == 10 for g in got.values())
+    x, hits = x.astype(float), 0
+    for q, mine in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(n), d))[:10]
+        hits += len({i for i, _ in mine} & set(best.tolist()))
+        assert all(s == pytest.approx(d[i], abs=1e-12) for i, s in mine)
+    recall = hits / (10 * len(got))
+    print("recall with the defaults", kind, recall)
+    assert recall >= 0.95
+
+
+def test_query_blocks_and_copies(spark):
+    """Small query blocks change nothing; copies of one id are dealt over the shards."""
+    rows = spark.range(400).selectExpr("id AS vec_id", "array(cast(id AS double), 1D) AS embedding")
+    want = found(V.search(rows, F.col("_id") % 4 == 0, factor=1.0, shard_rows=100))
+    assert found(V.search(rows, F.col("_id") % 4 == 0, factor=1.0, shard_rows=100, query_block=7)) == want and len(want) == 100
+    copies = spark.range(0, 3000, 1, 4).selectExpr("5L AS vec_id", "array(1D, 2D) AS embedding")  # one id, many rows: dealt over the shards
+    got = V.search(copies.unionByName(rows), F.col("_id") == 0, factor=1.0, shard_rows=200)
+    assert [r.vec_id for r in got.orderBy("rank").collect()] == [1] + [5] * 9
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]),
             (6, [3.0, 2.0, 1.0]), (7, []), (8, [float("inf"), 0.0]), (100, [5.0, 2.0])]
