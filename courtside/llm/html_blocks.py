@@ -34,7 +34,9 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +65,34 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
 _IN_P = frozenset("button label option td th li dd dt".split())
 
 
+class Path:
+    """An open element and, by its parents, the way to it from the root; paths share what they have in common."""
+
+    __slots__ = ("parent", "tag", "hints", "depth", "in_head", "in_body", "vector", "final", "marks")
+
+    def __init__(self, parent: "Path | None", tag: str, hints: tuple[str, ...]):
+        self.parent, self.tag, self.hints, self.vector, self.final, self.marks = parent, tag, hints, None, None, None
+        self.depth = parent.depth + 1 if parent else 1
+        self.in_head = tag == "head" or bool(parent and parent.in_head)
+        self.in_body = tag == "body" or bool(parent and parent.in_body)
+
+    def up(self) -> Iterator["Path"]:
+        """The element and its parents, the root last."""
+        node = self
+        while node:
+            yield node
+            node = node.parent
+
+    def __iter__(self) -> Iterator[tuple[str, tuple[str, ...]]]:
+        return reversed([(x.tag, x.hints) for x in self.up()])
+
+    def __len__(self) -> int:
+        return self.depth
+
+    def __getitem__(self, i):
+        return tuple(self)[i]
+
+
 class Block:
     __slots__ = ("text", "path", "linked")
 
@@ -72,22 +102,33 @@ class Block:
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks: text, path of (tag, class words) from the root, and the share of linked characters."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    top: Path | None = None
+    n_open: Counter[str] = Counter()  # open elements by tag, so that nobody looks for one that isn't there
     out: list[Block] = []
     parts: list[str] = []
     linked, anchor, at = 0, False, 0
     unclosed: set[str] = set()  # raw elements without an end from here on
+    last = page.rfind(">") + 1  # no tag ends after this
 
     def close_block():
         nonlocal linked, anchor
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and not any(t == "head" for t, _ in stack):
-                out.append(Block(text, tuple(stack), min(1.0, linked / len(text))))
+            if text and not (top and top.in_head):
+                out.append(Block(text, top or (), min(1.0, linked / len(text))))
             parts.clear()
         linked, anchor = 0, False
 
-    while m := _TOKEN.search(page, at):
+    def pop_to(node):
+        """Close the elements down to ``node`` and itself."""
+        nonlocal top
+        while True:
+            n_open[top.tag] -= 1
+            gone, top = top, top.parent
+            if gone is node:
+                return
+
+    while m := _TOKEN.search(page, at, last):
         if m.start() > at:
             raw = page[at:m.start()]
             parts.append(raw)
@@ -95,16 +136,20 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         tag = m[2] or m[5]
         if not tag:
+            if m[0].startswith("<!--") and not (len(m[0]) > 6 and m[0].endswith("-->")):
+                at = len(page)  # an open comment hides the rest
+                break
             continue
         tag, closing, attrs = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if tag in _RAW:
             named = not attrs or attrs[0] == "/" or attrs[0].isspace()  # <svg_x> is another element
             if named and not closing and tag not in unclosed and not (tag == "svg" and attrs.endswith("/")):
-                end = _RAW[tag].search(page, at)
+                end = _RAW[tag].search(page, at, last)
                 if end:
                     at = end.end()
                 elif tag in _TO_END:
                     at = len(page)
+                    break
                 else:
                     unclosed.add(tag)
         elif tag == "a":
@@ -116,28 +161,29 @@ def blocks(page: str) -> list[Block]:
         elif tag in _BLOCK:
             close_block()
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if n_open[tag]:
+                    pop_to(next(x for x in top.up() if x.tag == tag))
             else:
                 if tag == "body":
-                    if any(t == "body" for t, _ in stack):
+                    if top and top.in_body:
                         continue
-                    del stack[:]  # whatever the head left open
-                elif stack and stack[-1][0] == "p" and tag not in _IN_P:
-                    stack.pop()
+                    top = None  # whatever the head left open
+                    n_open.clear()
+                elif top and top.tag == "p" and tag not in _IN_P:
+                    pop_to(top)
                 shut, within = _CLOSES.get(tag, ((), ()))
-                for i in range(len(stack) - 1, -1, -1) if shut else ():
-                    if stack[i][0] in shut:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in within:
-                        break
+                if any(n_open[t] for t in shut):
+                    met = next(x for x in top.up() if x.tag in shut or x.tag in within)
+                    if met.tag in shut:
+                        pop_to(met)
                 hints = tuple(w for x in _HINT.findall(attrs) for w in re.split(r"[^a-z]+", "".join(x).lower()) if w) if "=" in attrs else ()
-                stack.append((tag, hints))
+                top = Path(top, tag, hints)
+                n_open[tag] += 1
     if at < len(page):
-        parts.append(page[at:])
+        rest = page[at:]
+        start = rest.find("<!--")
+        parts.append(rest if start < 0 else rest[:start])
+        linked += len(parts[-1]) * anchor if start >= 0 else 0
     close_block()
     return out
 
@@ -151,31 +197,39 @@ _KNOWN_TAGS = {t: i for i, t in enumerate(
     "li main menu nav ol option p pre section select summary table td th ul details dialog search address center".split())}
 
 
+@lru_cache(1 << 16)
 def _slot(word: str, n: int) -> int:
     return zlib.crc32(word.encode()) % n
 
 
 class Features:
-    """Block vectors; tag paths and words are remembered (both bounded)."""
+    """Block vectors; a path's vector is made from its nearest ancestor's that has one, words are remembered in bounded number."""
 
     def __init__(self):
-        self.paths: dict = {}
         self.words: dict[str, int] = {}
 
-    def path(self, path) -> np.ndarray:
-        v = self.paths.get(path)
-        if v is None:
-            v = np.zeros(N_TAG + N_CLASS, np.float32)
-            for tag, hints in path:
-                v[_KNOWN_TAGS.get(tag, N_TAG - 1)] = 1
-                for h in hints:
+    def path(self, path: Path) -> np.ndarray:
+        """Tags and class words of the path; the element's own tag counts double."""
+        if not path:
+            return np.zeros(N_TAG + N_CLASS, np.float32)
+        if path.final is None:
+            way = []
+            for x in path.up():
+                if x.vector is not None:
+                    break
+                way.append(x)
+            v = x.vector.copy() if x.vector is not None else np.zeros(N_TAG + N_CLASS, np.float32)
+            for x in reversed(way):
+                if x is path and len(way) > 1:
+                    x.parent.vector = v.copy()  # the next block in there starts from it
+                v[_KNOWN_TAGS.get(x.tag, N_TAG - 1)] = 1
+                for h in x.hints:
                     v[N_TAG + _slot(h, N_CLASS)] = 1
-            if path and path[-1][0] in _KNOWN_TAGS:
-                v[_KNOWN_TAGS[path[-1][0]]] = 2
-            if len(self.paths) > 20_000:
-                self.paths.clear()
-            self.paths[path] = v
-        return v
+            path.vector = path.final = v
+            if path.tag in _KNOWN_TAGS:
+                path.final = v.copy()
+                path.final[_KNOWN_TAGS[path.tag]] = 2
+        return path.final
 
     def page(self, found: list[Block]) -> np.ndarray:
         x, n = np.zeros((len(found), N_IN), np.float32), len(found)
@@ -317,9 +371,16 @@ def label_by_names(found: list[Block]) -> np.ndarray:
     """Labels from tag and class names: what stands in no menu, footer, ... is main text; headers count inside an article only."""
     y = []
     for b in found:
-        tags = [t for t, _ in b.path]
-        bad = any(t in _NOT_MAIN_TAGS or _NOT_MAIN_WORDS & set(h) for t, h in b.path)
-        y.append(not bad and ("header" not in tags or "article" in tags))
+        way = []
+        for x in b.path.up() if b.path else ():
+            if x.marks:
+                break
+            way.append(x)
+        for x in reversed(way):  # (in something that is no main text, in a header, in an article)
+            bad, header, article = x.parent.marks if x.parent else (False, False, False)
+            x.marks = (bad or x.tag in _NOT_MAIN_TAGS or bool(_NOT_MAIN_WORDS & set(x.hints)), header or x.tag == "header", article or x.tag == "article")
+        bad, header, article = b.path.marks if b.path else (False, False, False)
+        y.append(not bad and (not header or article))
     return np.array(y, np.float32)
 
 

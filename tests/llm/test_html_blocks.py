@@ -94,3 +94,35 @@ def test_odd_pages(spark):
     assert len(got) == 6 and {(r.page_id, r.text) for r in got if r.page_id in (1, 2, 3)} == {(1, ""), (2, ""), (3, "")}
     assert [r.n_main for r in got if r.page_id == 4] == [3000]
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_odd_markup_takes_linear_time():
+    """Unclosed tags, deep nesting, closing tags of nothing, quotes and comments: twice the page, about twice the time."""
+    import time
+
+    makers = (lambda n: "<a " * n, lambda n: "<div>x" * n, lambda n: "<div>" * n + "x</section>" * n, lambda n: "<div><li>x" * n,
+              lambda n: "<div class='nav'>x" * n + "</div>" * n, lambda n: '<p title="' * n + ">", lambda n: "<!-- x " * n, lambda n: "</script " * n + ">y",
+              lambda n: "<svg>" * n + "t", lambda n: "<ul>" + "<div>" * n + "<li>x" * n, lambda n: "<table>" + "<option>" * n)
+
+    def seconds(make, n):
+        page, t = make(n), time.perf_counter()
+        found = H.blocks(page)
+        f = H.Features().page(found)
+        assert len(f) == len(H.label_by_names(found)) == len(found)
+        return time.perf_counter() - t
+
+    for make in makers:
+        seconds(make, 1000)
+        small, large = min(seconds(make, 8_000) for _ in range(2)), min(seconds(make, 16_000) for _ in range(2))
+        assert large < 2.5 * small + 0.05, make(3)
+
+
+def test_open_comments_and_late_tags():
+    def texts(page):
+        return [b.text for b in H.blocks(page)]
+
+    assert texts("<p>one</p>two<!-- three <p>four</p>") == ["one", "two"]
+    assert texts("<p>one</p>two<!-- three") == ["one", "two"]
+    assert texts("<p>one</p><!-->two") == ["one"]
+    assert texts("<p>one</p>two <b three") == ["one", "two <b three"]
+    assert texts("<body><p>a<body class='x'><p>b</section></div>c") == ["a", "b", "c"]
