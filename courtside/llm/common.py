@@ -191,13 +191,14 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 23) -> Iter
         hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 _CODERS: dict = {}
 
 
-def word_coder(path: str, spaced: bool) -> WordCoder:
-    """One coder per Python worker: the words of earlier tasks are known to later ones."""
+def word_coder(path: str, spaced: bool, limit: int = 1_000_000) -> WordCoder:
+    """One coder per Python worker: the words of earlier tasks (about ``limit`` of them) are known to later ones."""
     if (path, spaced) not in _CODERS:
-        _CODERS[path, spaced] = WordCoder(path, spaced)
+        _CODERS[path, spaced] = WordCoder(path, spaced, limit)
     return _CODERS[path, spaced]

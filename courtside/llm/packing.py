@@ -99,7 +99,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = rows.select("_id", "_text", digest.alias("_h"), group).repartition("_group").sortWithinPartitions("_group", "_id", "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, held, n_held, now, first = word_coder(path, spaced=False), [], 0, None, 0
+        model, held, n_held, now, first = word_coder(path, spaced=False, limit=300_000), [], 0, None, 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, n_held, first
@@ -114,7 +114,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_NAMES)
 
         for b in batches:
-            for part in text_slices(b, "_text"):
+            for part in text_slices(b, "_text", 1 << 22):
                 keys, places = columns(part, "_id", "_group")
                 for key, place, ids in zip(keys, places, model.encode(part.column(1))):
                     if held and (place != now or n_held >= group_tokens):
