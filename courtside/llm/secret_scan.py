@@ -20,12 +20,13 @@ A candidate inside a base span adds nothing; base spans always stay.
 Defined results: a null or empty text has no spans (count 0, the digest of
 the empty string).  Rows are scanned one by one: repeated rows repeat, ties
 in start are listed in the order of kinds, an empty table gives an empty
-result; other columns are kept by ``redact`` and ignored by ``scan``.  A hit
-costs one copy of the row's earlier hits.
+result; other columns are kept by ``redact`` and ignored by ``scan``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,49 +52,97 @@ ALLOW = (
 #: A window that meets one of these does not count; the rest of the candidate does.
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefghijklm"
 
+#: A candidate written like this is itself a base span of kind ``hex`` or ``access``: both take whole runs.
+BASE_RUN = r"^(?:[0-9a-f]{24,}|AKIA[A-Z0-9]{16,})$"
+
 _SPAN = "array<struct<s:int,k:int,e:int>>"
+_HIT = "array<struct<s:int,k:int,e:int,hit:string>>"
+_BLOCK = 256  # hits a fold appends to one array
 
 
-def _none() -> Column:
-    return F.array().cast(_SPAN)
+def _none(kind: str = _SPAN) -> Column:
+    return F.array().cast(kind)
 
 
-def _spans(text: Column, hits: Column, gaps: Column, kind: int, keep) -> Column:
-    """(start, kind, end) of the hits for which ``keep(hit)`` holds."""
-    zero = F.struct(F.lit(0).alias("at"), _none().alias("out"))
+def _spans(hits: Column, gaps: Column, kind: int, keep, with_hit: bool = False) -> Column:
+    """(start, kind, end) of the hits for which ``keep(hit)`` holds, in blocks; ``with_hit``: and the hit."""
+    shape = _HIT if with_hit else _SPAN
 
     def step(acc, i):
         start = acc["at"] + F.length(F.get(gaps, i))
         hit = F.get(hits, i)
         end = start + F.length(hit)
-        one = F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"))).cast(_SPAN)
+        one = F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"), *[hit.alias("hit")] * with_hit)).cast(shape)
         return F.struct(end.alias("at"), F.when(keep(hit), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), zero, step, lambda acc: acc["out"])
+    def block(acc, b):
+        zero = F.struct(acc["at"].alias("at"), _none(shape).alias("out"))
+        done = F.aggregate(F.sequence(b, F.least(b + _BLOCK, F.size(hits)) - 1), zero, step)
+        # One element, so that the inner fold runs once.
+        return F.get(F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out"))), F.lit(0))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{shape}>").alias("out"))
+    blocks = F.sequence(F.lit(0), F.size(hits) - 1, F.lit(_BLOCK))
+    return F.flatten(F.aggregate(blocks, zero, block, lambda acc: acc["out"]))
+
+
+def _outside(found: Column, base: Column) -> Column:
+    """The candidates that lie in no span of ``base`` (spans of one kind, so without overlap): one pass over both in order of start."""
+    both = F.sort_array(F.concat(F.transform(base, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit("").alias("hit"))), found))
+    ends = F.transform(both, lambda x: F.when(x["k"] < 3, x["e"]))
+    # The base span a candidate may lie in is the last one that starts before it: the one seen last.
+    zero = F.struct(F.lit(-1).alias("end"), _none("array<array<int>>").alias("out"), _none("array<int>").alias("part"))
+
+    def step(acc, e):
+        end = F.coalesce(e, acc["end"])
+        full = F.size(acc["part"]) >= _BLOCK
+        return F.struct(end.alias("end"), F.when(full, F.concat(acc["out"], F.array(acc["part"]))).otherwise(acc["out"]).alias("out"),
+                        F.when(full, F.array(end)).otherwise(F.concat(acc["part"], F.array(end))).alias("part"))
+
+    last = F.aggregate(ends, zero, step, lambda acc: F.flatten(F.concat(acc["out"], F.array(acc["part"]))))
+    pairs = F.arrays_zip(both.alias("x"), last.alias("end"))
+    return F.transform(F.filter(pairs, lambda p: (p["x"]["k"] == 3) & (p["x"]["e"] > p["end"])), lambda p: p["x"])
+
+
+#: The characters of candidates lie in ``+`` .. ``z``; a count of at most 31 takes 5 bits, 12 of them a long.
+_FIRST, _PER, _LONGS = ord("+"), 12, 7
 
 
 def window_entropy(s: Column, window: int = WINDOW) -> Column:
-    """Largest Shannon entropy (bits) of the windows of an ASCII string, by incremental counts; 0 if shorter."""
-    codes = F.transform(F.split(s, ""), lambda c: F.ascii(c))
-    kind = "struct<codes:array<int>,n:array<int>,sum:double,best:double>"
-    zero = F.struct(codes.alias("codes"), F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("sum"),
+    """Largest Shannon entropy (bits) of the windows of a candidate's characters, by incremental counts; 0 if shorter.
+
+    The counts of a window (at most 31 long) are packed in seven longs.
+    """
+    if not 0 < window < 32:
+        raise ValueError(f"window {window}")
+    codes = F.transform(F.split(s, ""), lambda c: F.ascii(c) - _FIRST)
+    kind = "struct<codes:array<int>,n:array<bigint>,sum:double,best:double>"
+    # c * log2(c) for the counts 0 to window + 1.
+    table = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
+    zero = F.struct(codes.alias("codes"), F.array_repeat(F.lit(0).cast("bigint"), _LONGS).alias("n"), F.lit(0.0).alias("sum"),
                     F.lit(float(window) * 64).alias("best")).cast(kind)
 
-    def clogc(c):
-        return F.when(c > 1, c * F.log2(F.greatest(c, F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
+    def slot(c):
+        return (c / _PER).cast("int")
+
+    def count(n, c):
+        return F.call_function("shiftright", F.get(n, slot(c)), c % _PER * 5).bitwiseAND(F.lit(31)).cast("int")
+
+    def unit(c, j):
+        return F.when(slot(c) == j, F.call_function("shiftleft", F.lit(1).cast("bigint"), c % _PER * 5)).otherwise(F.lit(0).cast("bigint"))
+
+    def more(c):
+        return F.get(table, c + 1) - F.get(table, c)
 
     def enter(acc, i):
         new = F.get(acc["codes"], i)
-        c = F.get(acc["n"], new)
-        return F.struct(acc["codes"].alias("codes"),
-                        F.transform(acc["n"], lambda x, j: F.when(j == new, x + 1).otherwise(x)).alias("n"),
-                        (acc["sum"] + clogc(c + 1) - clogc(c)).alias("sum"), acc["best"].alias("best")).cast(kind)
+        return F.struct(acc["codes"].alias("codes"), F.transform(acc["n"], lambda x, j: x + unit(new, j)).alias("n"),
+                        (acc["sum"] + more(count(acc["n"], new))).alias("sum"), acc["best"].alias("best")).cast(kind)
 
     def slide(acc, i):
         new, old = F.get(acc["codes"], i), F.get(acc["codes"], i - window)
-        a, b = F.get(acc["n"], new), F.get(acc["n"], old)
-        total = F.when(new == old, acc["sum"]).otherwise(acc["sum"] + clogc(a + 1) - clogc(a) + clogc(b - 1) - clogc(b))
-        counts = F.transform(acc["n"], lambda x, j: x + (j == new).cast("int") - (j == old).cast("int"))
+        total = F.when(new == old, acc["sum"]).otherwise(acc["sum"] + more(count(acc["n"], new)) - more(count(acc["n"], old) - 1))
+        counts = F.when(new == old, acc["n"]).otherwise(F.transform(acc["n"], lambda x, j: x + unit(new, j) - unit(old, j)))
         return F.struct(acc["codes"].alias("codes"), counts.alias("n"), total.alias("sum"),
                         F.least(acc["best"], total).alias("best")).cast(kind)
 
@@ -107,12 +156,11 @@ def window_entropy(s: Column, window: int = WINDOW) -> Column:
 
 def _is_secret(s: Column) -> Column:
     bits = F.array_max(F.transform(F.split(s, PLACEHOLDER, -1), lambda p: window_entropy(p)))
-    bar = (F.when(s.rlike("^[0-9]+$"), F.lit(float("inf")))
-           .when(s.rlike("^[0-9a-fA-F]+$"), F.lit(THRESHOLDS["hex"]))
+    bar = (F.when(s.rlike("^[0-9a-fA-F]+$"), F.lit(THRESHOLDS["hex"]))
            .when(s.rlike("^[A-Za-z]+$"), F.lit(THRESHOLDS["letters"]))
            .when(s.rlike("^[A-Za-z0-9]+$"), F.lit(THRESHOLDS["alnum"])).otherwise(F.lit(THRESHOLDS["base64"])))
     key_part = F.exists(F.split(s, "[/_=+-]+", -1), lambda p: window_entropy(p) >= THRESHOLDS["letters"])
-    allowed = F.lit(False)
+    allowed = s.rlike("^[0-9]+$")
     for pattern in ALLOW:
         allowed = allowed | (s.rlike(pattern) & ~key_part if pattern == JOINED else s.rlike(pattern))
     return F.when(allowed, F.lit(False)).otherwise(bits >= bar)
@@ -122,19 +170,18 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "_spans") ->
     """Every column, plus ``out``: array of (s, k, e) by start and kind; k indexes ``KINDS``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plans = (("assign", ASSIGN, lambda h: F.length(F.regexp_extract(h, ASSIGN, 2)) >= 6),
-             ("access", ACCESS, lambda h: F.lit(True)), ("hex", HEX, lambda h: F.lit(True)), ("entropy", CANDIDATE, _is_secret))
+             ("access", ACCESS, lambda h: F.lit(True)), ("hex", HEX, lambda h: F.lit(True)), ("entropy", CANDIDATE, lambda h: ~h.rlike(BASE_RUN)))
     cols = docs.columns
     # One scan a pattern; the gaps are cut only in rows with a hit.
     hits = docs.select(*cols, *[F.regexp_extract_all(text, F.lit(p), 0).alias(f"{out}_h_{k}") for k, p, _ in plans])
     both = hits.select("*", *[F.when(F.size(f"{out}_h_{k}") > 0, F.split(text, p, -1)).alias(f"{out}_g_{k}") for k, p, _ in plans])
-    spans = both.select(*cols, *[F.when(F.size(f"{out}_h_{k}") > 0, _spans(text, F.col(f"{out}_h_{k}"), F.col(f"{out}_g_{k}"), i, keep))
-                                 .otherwise(_none()).alias(f"{out}_{k}") for i, (k, _, keep) in enumerate(plans)])
-    base = F.concat(*[F.col(f"{out}_{k}") for k in KINDS[:3]])
-    found = spans.select(*cols, base.alias(f"{out}_base"), F.col(f"{out}_entropy"))
-    added = F.when(F.size(f"{out}_entropy") > 0, F.filter(
-        F.col(f"{out}_entropy"), lambda x: ~F.exists(F.col(f"{out}_base"), lambda b: (b["s"] <= x["s"]) & (b["e"] >= x["e"])))
-    ).otherwise(F.col(f"{out}_entropy"))
-    return found.select(*cols, F.sort_array(F.concat(F.col(f"{out}_base"), added)).alias(out))
+    spans = both.select(*cols, *[F.when(F.size(f"{out}_h_{k}") > 0, _spans(F.col(f"{out}_h_{k}"), F.col(f"{out}_g_{k}"), i, keep, k == "entropy"))
+                                 .otherwise(_none(_HIT if k == "entropy" else _SPAN)).alias(f"{out}_{k}") for i, (k, _, keep) in enumerate(plans)])
+    # Entropies are computed only of candidates outside the base spans.
+    assign, entropy = F.col(f"{out}_assign"), F.col(f"{out}_entropy")
+    free = F.when((F.size(assign) > 0) & (F.size(entropy) > 0), _outside(entropy, assign)).otherwise(entropy)
+    secret = F.transform(F.filter(free, lambda x: _is_secret(x["hit"])), lambda x: F.struct(x["s"], x["k"], x["e"])).cast(_SPAN)
+    return spans.select(*cols, F.sort_array(F.concat(*[F.col(f"{out}_{k}") for k in KINDS[:3]], secret)).alias(out))
 
 
 def _listed(spans: Column) -> Column:
