@@ -24,6 +24,9 @@ STEAL = "steal"
 NEEDLES = (*SHOT_WORDS, JUMP_BALL, BLOCK, STEAL, "3pt", "turnover", "miss", "free throw", "rebound", "defensive", "offensive", "foul", "sub", "for",
            "timeout", "p.foul", "personal", "l.b.foul", "s.foul", "foul turnover", "")
 
+#: Substrings that no rule asks for unless the text has one of these others: looked for in such texts only.
+ASKED_WITH = {"for": ("sub",), "defensive": ("rebound",), "offensive": ("rebound", "foul"), "personal": ("foul",),
+              **{s: ("foul",) for s in ("p.foul", "l.b.foul", "s.foul", "foul turnover")}}
 
 Has = Callable[[str], Column]
 #: Stands for "the text has more than spaces" among the substrings.
@@ -41,11 +44,22 @@ def bit_test(bits: Column) -> Has:
 
 
 def needle_bits(d: Column) -> Column:
-    """Bit i is set when the text has ``NEEDLES[i]``: every substring is looked for once."""
-    bits, has = F.lit(0), text_test(d)
-    for i, s in enumerate(NEEDLES):
-        bits = bits.bitwiseOR(F.when(has(s), F.lit(1 << i)).otherwise(F.lit(0)))
-    return bits
+    """Bit i is set when the text has ``NEEDLES[i]``: every substring is looked for once, those of ``ASKED_WITH`` where a rule needs them."""
+    has = text_test(d)
+
+    def bits(needles) -> Column:
+        out = F.lit(0)
+        for s in needles:
+            out = out.bitwiseOR(F.when(has(s), F.lit(1 << NEEDLES.index(s))).otherwise(F.lit(0)))
+        return out
+
+    found = bits(s for s in NEEDLES if s not in ASKED_WITH)
+    for others in dict.fromkeys(ASKED_WITH.values()):
+        some = F.lit(False)
+        for o in others:
+            some = some | has(o)
+        found = found.bitwiseOR(F.when(some, bits(s for s in NEEDLES if ASKED_WITH.get(s) == others)).otherwise(F.lit(0)))
+    return found
 
 
 def _any_shot(has: Has) -> Column:

@@ -48,14 +48,16 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (),
     NULL keys form one group, like ``dropDuplicates``.  ``collapse`` first
     removes identical rows with a hash aggregation (map-side combined): worth
     it when rows repeat heavily (e.g. one row per play slot), since the
-    struct minimum itself is a sort-based aggregation.
+    struct minimum itself is a sort-based aggregation.  Their number goes along
+    as the last, never deciding, place of the order: Spark drops a plain
+    ``distinct`` below a minimum.
     """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
     if collapse:
-        df = df.distinct()
+        df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
     ordering = [_col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     types = dict(df.dtypes)
     for i, c in enumerate(payload):
@@ -63,6 +65,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike] = (),
         if types[c] == "string":
             ordering.append((F.col(c) == "").alias(f"_e{i}"))
         ordering.append(F.col(c))
+    if collapse:
+        ordering.append(F.col("_rows"))
     best = F.min(F.struct(*ordering)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 

@@ -32,7 +32,7 @@ ACTIVE_YEAR = 2019
 
 def referee_dim(officials: DataFrame, number: Numbering = number_rows) -> DataFrame:
     """(idArbitro, nombre): one row per official_id, name = 'first last'."""
-    one = dedupe(officials.select("official_id", "first_name", "last_name"), ["official_id"])
+    one = dedupe(officials.select("official_id", "first_name", "last_name"), ["official_id"], collapse=True)
     named = one.select("official_id", full_name("first_name", "last_name").alias("nombre"))
     return number(named, ["official_id"], "idArbitro").select("idArbitro", "nombre")
 

@@ -28,8 +28,8 @@ from courtside.operators.keys import dedupe, nulls_last, number_rows
 from courtside.operators.lookup import lookup
 from courtside.operators.materialize import materialize
 from courtside.operators.unpivot import unpivot_groups
-from courtside.plans.plays import (blocks, game_player_measures, jump_balls, player_game_stats, play_flags,
-                                   participants, play_stream, steals, derived_metrics)
+from courtside.plans.plays import (blocks, derived_metrics, game_player_counts, game_player_measures, jump_balls, measures_of,
+                                   participants, play_flags, play_stream, player_game_stats, steals)
 
 # The contract's columns in order.
 KEYS = ["idPartido", "idEquipo_Local", "idEquipo_Visitante", "idArbitro", "idLiga", "idFecha", "idUbicacion",
@@ -54,7 +54,7 @@ def roster(plays: DataFrame) -> DataFrame:
     rows = unpivot_groups(plays, ["game_id"], groups)
     rows = rows.select("game_id", norm_key("jugador").alias("jugador"),
                        full_name("city", "nick").alias("nombre_equipo"))
-    return dedupe(rows, ["game_id", "jugador"], collapse=True)
+    return dedupe(rows, ["game_id", "jugador"])
 
 
 def roster_measures(plays: DataFrame) -> DataFrame:
@@ -114,9 +114,10 @@ def game_header(games: DataFrame, officials: DataFrame, referee: DataFrame, leag
     h = h.withColumns({"dia": F.dayofmonth(ts), "mes": F.month(ts), "ano": F.year(ts)})
     h = lookup(h, calendar, ["dia", "mes", "ano"], ["dia", "mes", "ano"], ["idFecha"])
     h = with_teams_and_venue(h.select("game_id", "idLiga", "idFecha", "team_name_home", "team_name_away"), team, venue)
+    # The referee's key first: beyond a broadcast this join shuffles by name, and the rows then stay dealt by game.
     refs = officials.select("game_id", full_name("first_name", "last_name").alias("nombre_arbitro"))
-    h = lookup(h.join(refs, "game_id", "left"), referee, ["nombre_arbitro"], ["nombre"], ["idArbitro"])
-    return h.select("game_id", *HEADER_KEYS)
+    refs = lookup(refs, referee, ["nombre_arbitro"], ["nombre"], ["idArbitro"]).select("game_id", "idArbitro")
+    return h.join(refs, "game_id", "left").select("game_id", *HEADER_KEYS)
 
 
 def game_keys(header: DataFrame) -> DataFrame:
@@ -133,11 +134,17 @@ def _contract(df: DataFrame) -> DataFrame:
                      F.coalesce(F.col(RATIO), F.lit(0.0)).cast("double").alias(RATIO))
 
 
+def player_counts(plays: DataFrame, player: DataFrame) -> DataFrame:
+    """The packed sums per game and player name with the player key."""
+    names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
+    return lookup(game_player_counts(plays), names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
+
+
 def player_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
     """Measures with the player key, before the game keys."""
-    measures = game_player_measures(plays)
-    names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
-    return lookup(measures, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
+    counts = player_counts(plays, player)
+    measures = measures_of(counts)
+    return measures.select(*[c for c in measures.columns if c != "idJugador"], "idJugador")
 
 
 def resolved_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
@@ -165,8 +172,12 @@ def resolved_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
 
 def numbered_games(header: DataFrame, measures: DataFrame, number=number_rows) -> DataFrame:
     """One row per game with measures: game_id, its header keys, ``idPartido``."""
-    seen = measures.select("game_id").distinct()
-    return number(game_keys(header).join(seen, "game_id", "left_semi"), ["game_id"], "idPartido")
+    return number(seen_games(game_keys(header), measures), ["game_id"], "idPartido")
+
+
+def seen_games(games: DataFrame, measures: DataFrame) -> DataFrame:
+    """The games with measures, written before they are numbered, since the numbering finds its ranges by a pass of its own."""
+    return materialize(games.join(measures.select("game_id").distinct(), "game_id", "left_semi"), "games")
 
 
 def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain: str = "game", number=number_rows) -> DataFrame:
@@ -177,11 +188,15 @@ def fact_partido(plays: DataFrame, header: DataFrame, player: DataFrame, grain:
     """
     if grain not in ("game", "referee"):
         raise ValueError(f"grain {grain!r}")
-    measures = materialize(player_measures(plays, player), "player-measures")
-    games = numbered_games(header, measures, number)
+    counts = materialize(player_counts(plays, player).drop("jugador"), "player-counts")
     if grain == "referee":
-        games = header.distinct().join(games.select("game_id", "idPartido"), "game_id")
-    return _contract(measures.join(games, "game_id"))
+        header = materialize(header.distinct(), "header")  # read for the games and for the rows
+        ids = number(seen_games(header.select("game_id").distinct(), counts), ["game_id"], "idPartido")
+        games = header.join(ids, "game_id")
+    else:
+        games = numbered_games(header, counts, number)
+    # Few narrow rows a game are hashed, so the rows with measures need no sort.
+    return _contract(measures_of(counts.join(games.hint("shuffle_hash"), "game_id")))
 
 
 def stats_outer_merge(plays: DataFrame, player: DataFrame) -> DataFrame:

@@ -11,7 +11,9 @@ gives the same indicators per participant row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions.classify import (BLOCK, GENERAL_STATS, JUMP_BALL, ROLE_STATS, STEAL, bit_test, flag, general_predicates, general_rules,
@@ -107,8 +109,29 @@ def play_masks(stream: DataFrame) -> DataFrame:
     return found.select("game_id", *names, mask.alias("mask"))
 
 
-def mask_stats(masks: DataFrame) -> DataFrame:
-    """``player_game_stats`` of the participants of every text, from its mask."""
+def packed_sums(flags: dict[str, Column]) -> list[Column]:
+    """Sums of 0/1 columns, two in a long (``c0``, ``c1``, ...): the later half of the columns stands 32 bits above the first.
+
+    Half as many sums are half the aggregation's memory and shuffle.  No
+    sum is mixed into another below 2^32 rows a group; a group with 2^31 rows
+    counted by one of the later half is an error (BIGINT overflow).
+    """
+    columns = [c.cast("bigint") for c in flags.values()]
+    half = (len(columns) + 1) // 2
+    pairs = [low if k + half >= len(columns) else low + F.shiftleft(columns[k + half], 32) for k, low in enumerate(columns[:half])]
+    return [F.sum(c).alias(f"c{k}") for k, c in enumerate(pairs)]
+
+
+def unpacked(packed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The sums of ``packed_sums`` as BIGINT columns ``names``, after the other columns."""
+    half = (len(names) + 1) // 2
+    kept = [c for c in packed.columns if c not in {f"c{k}" for k in range(half)}]
+    low = [F.col(f"c{k}").bitwiseAND(F.lit((1 << 32) - 1)).alias(n) for k, n in enumerate(names[:half])]
+    return packed.select(*kept, *low, *[F.shiftright(f"c{k}", 32).alias(n) for k, n in enumerate(names[half:])])
+
+
+def mask_counts(masks: DataFrame) -> DataFrame:
+    """The packed sums of ``STAT_COLUMNS`` per (game_id, jugador) of every text's participants, from its mask."""
     slots = masks.select("game_id", "mask", F.posexplode(F.array(*[F.col(f"player{i}_name") for i in SLOTS])).alias("pos", "jugador"))
     n, mask, role = len(GENERAL_STATS), F.col("mask"), F.col("pos") + 1
     # A slot's own bits: the general ones if it has a name, then one per role statistic (jump ball, block, steal texts).
@@ -119,13 +142,22 @@ def mask_stats(masks: DataFrame) -> DataFrame:
     special = sum(1 << (n + i) for i in range(len(ROLE_TEXTS)))
     named = slots.where(F.col("jugador").isNotNull() & ((F.col("jugador") != "") | (mask.bitwiseAND(special) != 0)))
     bits = named.select("game_id", "jugador", own.alias("own"))
-    return bits.groupBy("game_id", "jugador").agg(
-        *[F.sum(F.shiftright("own", i).bitwiseAND(1)).cast("bigint").alias(c) for i, c in enumerate(STAT_COLUMNS)])
+    return bits.groupBy("game_id", "jugador").agg(*packed_sums({c: F.shiftright("own", i).bitwiseAND(1) for i, c in enumerate(STAT_COLUMNS)}))
+
+
+def game_player_counts(plays: DataFrame) -> DataFrame:
+    """plays -> (game_id, jugador, packed sums) in one pass; ``measures_of`` reads them."""
+    return mask_counts(play_masks(play_stream(plays)))
+
+
+def measures_of(counts: DataFrame) -> DataFrame:
+    """All measures from the packed sums of ``STAT_COLUMNS``."""
+    return derived_metrics(unpacked(counts, STAT_COLUMNS))
 
 
 def game_player_measures(plays: DataFrame) -> DataFrame:
     """plays -> (game_id, jugador, all measures) in one pass."""
-    return derived_metrics(mask_stats(play_masks(play_stream(plays))))
+    return measures_of(game_player_counts(plays))
 
 
 # -- the three slot-specific views, as separate reports -----------------------
