@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.operators.quality import dq_foreign_key, dq_not_null, dq_primary_key
+from courtside.operators.quality import dq_not_null, dq_primary_key
 from courtside.plans.releases import KeyStore, Releases
 from courtside.plans.warehouse import Warehouse
 from courtside.sources.files import create_contract_tables, insert_overwrite, land_exports, quarantine, replace_table
@@ -40,20 +40,27 @@ TEXT_LIMIT = 45
 OTHER_LIMITS = {("fecha", "temporada"): 20, ("jugador", "equipo"): 90}
 
 
-def dangling_keys(fact: DataFrame, tables: dict) -> dict[str, int]:
-    """Fact rows per reference whose key its dimension lacks, in one scan of the fact.
+def reference_uses(fact: DataFrame, tables: dict) -> DataFrame:
+    """(ref, nulls, lost): rows of the fact per reference without a key, and with one its dimension lacks; one scan of the fact.
 
     The keys of all references are unpivoted and counted per distinct key
     (combined map-side), so what meets the dimensions is bounded by them.
     """
     pairs = [F.struct(F.lit(c).alias("ref"), F.lit(d).alias("dim"), F.col(c).alias("key")) for c, d in FACT_REFS.items()]
-    used = fact.select(F.inline(F.array(*pairs))).where("key IS NOT NULL").groupBy("ref", "dim", "key").agg(F.count(F.lit(1)).alias("n"))
+    used = fact.select(F.inline(F.array(*pairs))).groupBy("ref", "dim", "key").agg(F.count(F.lit(1)).alias("n"))
     known = None
     for d, k in DIM_KEYS.items():
         one = tables[d].select(F.lit(d).alias("dim"), F.col(k).alias("key"))
         known = one if known is None else known.unionByName(one)
-    lost = used.join(known, ["dim", "key"], "left_anti").groupBy("ref").agg(F.sum("n").alias("n"))
-    found = {r["ref"]: r["n"] for r in lost.collect()}  # at most one row per reference
+    met = used.join(known.distinct().withColumn("known", F.lit(True)), ["dim", "key"], "left")
+    null = F.col("key").isNull()
+    return met.groupBy("ref").agg(F.sum(F.when(null, F.col("n")).otherwise(F.lit(0))).alias("nulls"),
+                                  F.sum(F.when(~null & F.col("known").isNull(), F.col("n")).otherwise(F.lit(0))).alias("lost"))
+
+
+def dangling_keys(fact: DataFrame, tables: dict) -> dict[str, int]:
+    """Fact rows per reference whose key its dimension lacks."""
+    found = {r["ref"]: r["lost"] for r in reference_uses(fact, tables).collect()}  # at most one row per reference
     return {c: found.get(c, 0) for c in FACT_REFS}
 
 
@@ -88,13 +95,17 @@ def contract_checks(tables: dict) -> DataFrame:
         return df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("control"), F.col(c).alias("violaciones")) for n, c in columns.items()])))
 
     parts = [total(dq_primary_key(tables[t], [k]), f"pk_{t}") for t, k in DIM_KEYS.items()]
-    parts.append(total(dq_primary_key(tables["partido"], ["idPartido", "idJugador"]), "pk_partido"))
-    for column, dim in FACT_REFS.items():
-        parts.append(total(dq_foreign_key(tables["partido"], tables[dim], [column], [DIM_KEYS[dim]]), f"fk_{column}"))
+    # The fact is read twice: its key groups, and its references counted per key.
+    groups = tables["partido"].groupBy("idPartido", "idJugador").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count_if(F.col("n") > 1).alias("twice"), F.coalesce(F.sum(F.when(F.col("idPartido").isNull(), F.col("n"))), F.lit(0)).alias("none"))
+    parts.append(each(groups, {"pk_partido": "twice", "nn_partido_idPartido": "none"}))
+    uses = reference_uses(tables["partido"], tables).agg(*[
+        F.coalesce(F.sum(F.when(F.col("ref") == c, F.col(n))), F.lit(0)).alias(f"{n}_{c}") for c in FACT_REFS for n in ("lost", "nulls")])
+    parts.append(each(uses, {f"{check}_{c}": f"{n}_{c}" for check, n in (("fk", "lost"), ("nn_partido", "nulls")) for c in FACT_REFS}))
     for t, df in tables.items():
-        keys = [DIM_KEYS[t]] if t in DIM_KEYS else ["idPartido", *FACT_REFS]
-        missing = df.agg(*[F.coalesce(F.sum(F.col(k).isNull().cast("long")), F.lit(0)).alias(k) for k in keys])
-        parts.append(each(missing, {f"nn_{t}_{k}": k for k in keys}))
+        if t in DIM_KEYS:
+            k = DIM_KEYS[t]
+            parts.append(each(df.agg(F.coalesce(F.sum(F.col(k).isNull().cast("long")), F.lit(0)).alias(k)), {f"nn_{t}_{k}": k}))
         texts = [c for c, kind in df.dtypes if kind == "string"]
         if texts:
             over = df.agg(*[F.count_if(F.length(c) > OTHER_LIMITS.get((t, c), TEXT_LIMIT)).alias(c) for c in texts])

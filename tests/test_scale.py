@@ -6,6 +6,7 @@ from courtside.functions.classify import ASKED_WITH, NEEDLES, bit_test, general_
 from courtside.operators.keys import dedupe
 from courtside.plans import fact as FP
 from courtside.plans import plays as P
+from courtside.plans import runner as R
 from courtside.plans.warehouse import Warehouse
 
 
@@ -51,3 +52,19 @@ def test_fact_hashes_the_games_and_numbers_ids_from_files(spark, sf_small):
         plan = _plan(FP.fact_partido(wh.src("plays"), wh.header, wh.player, grain=grain))
         assert "ShuffledHashJoin [game_id" in plan
         assert "orders.parquet" not in plan  # the header is not built a second time
+
+
+def test_contract_checks_read_the_fact_twice(spark, tmp_path):
+    keys = ["idPartido", *R.FACT_REFS]
+    fact = spark.createDataFrame([(1, 1, 1, 1, 1, 1, 1, 1), (1, 1, 2, 7, None, 1, 1, 1), (None, 9, 1, 7, 1, None, 1, 2)], ", ".join(f"{k} bigint" for k in keys))
+    fact.write.parquet(str(tmp_path / "partido"))
+    tables = {d: spark.createDataFrame([(1, "x"), (2, "y" * 46)], f"{k} bigint, nombre string") for d, k in R.DIM_KEYS.items()}
+    tables["partido"] = spark.read.parquet(str(tmp_path / "partido"))
+    assert _plan(R.contract_checks(tables)).count("FileScan parquet") == 2
+    found = {r.control: r.violaciones for r in R.contract_checks(tables).collect()}
+    assert {k: v for k, v in found.items() if v and not k.startswith("len_")} == {
+        "pk_partido": 1, "nn_partido_idPartido": 1, "fk_idEquipo_Local": 1, "fk_idArbitro": 2, "nn_partido_idLiga": 1, "nn_partido_idFecha": 1}
+    assert len(found) == 6 + 1 + 7 + 6 + 8 + 6 and all(found[f"len_{d}_nombre"] == 1 for d in R.DIM_KEYS)
+    assert R.dangling_keys(tables["partido"], tables) == {c: {"idEquipo_Local": 1, "idArbitro": 2}.get(c, 0) for c in R.FACT_REFS}
+    empty = R.contract_checks(tables | {"partido": tables["partido"].limit(0)}).collect()
+    assert len(empty) == len(found) and not any(r.violaciones for r in empty if "partido" in r.control or r.control.startswith("fk_"))
