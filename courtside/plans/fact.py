@@ -155,19 +155,19 @@ def resolved_measures(plays: DataFrame, player: DataFrame) -> DataFrame:
     the game's roster has for the name, else to the smallest key, so no
     point counts twice.  Only rows of shared names meet the roster.
     """
-    measures = materialize(game_player_measures(plays), "measures")
+    measures = measures_of(materialize(game_player_counts(plays), "counts"))
     names = player.select("idJugador", norm_key("nombre").alias("nombre_n"), "equipo").where("nombre_n IS NOT NULL")
     held = names.groupBy("nombre_n").agg(F.count(F.lit(1)).alias("candidatos"), F.min("idJugador").alias("idJugador"))
     alone = lookup(measures, held.where("candidatos = 1"), ["jugador"], ["nombre_n"], ["idJugador", "candidatos"], how="inner")
-    shared = held.where("candidatos > 1").select("nombre_n", "candidatos")
-    several = lookup(measures, shared, ["jugador"], ["nombre_n"], ["candidatos"], how="inner")
+    shared = held.where("candidatos > 1")
+    several = lookup(measures, shared, ["jugador"], ["nombre_n"], ["candidatos", "idJugador"], how="inner", rename={"idJugador": "_first"})
+    # The candidate depends on the name and the team alone: the smallest key of that team, else of the name.
+    of_team = names.groupBy("nombre_n", "equipo").agg(F.min("idJugador").alias("idJugador"))
     teams = lookup(roster(plays), shared, ["jugador"], ["nombre_n"], [], how="left_semi")
-    holders = names.select(F.col("nombre_n").alias("jugador"), "idJugador", "equipo")
-    # One candidate per (game, name): the first by (team fits, key), as an aggregation.
-    fits = F.when(F.col("equipo") == F.col("nombre_equipo"), F.lit(0)).otherwise(F.lit(1))
-    chosen = (teams.join(holders, "jugador").groupBy("game_id", "jugador")
-              .agg(F.min(F.struct(fits.alias("fits"), "idJugador")).alias("best")).select("game_id", "jugador", F.col("best.idJugador").alias("idJugador")))
-    return alone.unionByName(several.join(chosen, ["game_id", "jugador"]))
+    chosen = lookup(teams, of_team, ["jugador", "nombre_equipo"], ["nombre_n", "equipo"], ["idJugador"]).drop("nombre_equipo")
+    kept = [c for c in several.columns if c != "_first"]
+    several = several.join(chosen, ["game_id", "jugador"]).select(*kept, F.coalesce("idJugador", "_first").alias("idJugador"))
+    return alone.unionByName(several)
 
 
 def numbered_games(header: DataFrame, measures: DataFrame, number=number_rows) -> DataFrame:

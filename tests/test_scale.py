@@ -68,3 +68,17 @@ def test_contract_checks_read_the_fact_twice(spark, tmp_path):
     assert R.dangling_keys(tables["partido"], tables) == {c: {"idEquipo_Local": 1, "idArbitro": 2}.get(c, 0) for c in R.FACT_REFS}
     empty = R.contract_checks(tables | {"partido": tables["partido"].limit(0)}).collect()
     assert len(empty) == len(found) and not any(r.violaciones for r in empty if "partido" in r.control or r.control.startswith("fk_"))
+
+
+def test_shared_name_candidates_do_not_fan_out(spark):
+    plays = spark.createDataFrame([(1, 1, "Ann", None, None, "X", "Y", None, None, None, None, "a free throw", None),
+                                   (2, 1, "ann ", None, None, "Z", None, None, None, None, None, "a free throw", None),
+                                   (3, 1, "Bo", None, None, None, None, None, None, None, None, "miss a dunk", None)],
+                                  "game_id bigint, eventnum int, player1_name string, player2_name string, player3_name string, player1_team_city string, "
+                                  "player1_team_nickname string, player2_team_city string, player2_team_nickname string, player3_team_city string, "
+                                  "player3_team_nickname string, homedescription string, visitordescription string")
+    player = spark.createDataFrame([(1, "Ann", "Q"), (4, "Ann", "X Y"), (3, "ann", "X Y"), (2, "Ann", None), (9, "Bo", "Q"), (8, None, "Q")],
+                                   "idJugador bigint, nombre string, equipo string")
+    got = FP.resolved_measures(plays, player)
+    assert "struct(fits" not in _plan(got)
+    assert sorted((r.game_id, r.jugador, r.idJugador, r.candidatos) for r in got.collect()) == [(1, "ann", 3, 4), (2, "ann", 1, 4), (3, "bo", 9, 1)]
