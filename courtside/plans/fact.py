@@ -23,13 +23,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.functions.classify import GENERAL_STATS
 from courtside.functions.text import full_name, norm_key, season_type
 from courtside.operators.keys import dedupe, nulls_last, number_rows
 from courtside.operators.lookup import lookup
 from courtside.operators.materialize import materialize
 from courtside.operators.unpivot import unpivot_groups
 from courtside.plans.plays import (blocks, derived_metrics, game_player_counts, game_player_measures, jump_balls, measures_of,
-                                   participants, play_flags, play_stream, player_game_stats, steals)
+                                   packed_sums, participants, play_flags, play_stream, steals, unpacked)
 
 # The contract's columns in order.
 KEYS = ["idPartido", "idEquipo_Local", "idEquipo_Visitante", "idArbitro", "idLiga", "idFecha", "idUbicacion",
@@ -206,19 +207,19 @@ def stats_outer_merge(plays: DataFrame, player: DataFrame) -> DataFrame:
     stream = play_stream(plays)
     names = player.select("idJugador", norm_key("nombre").alias("nombre_n"))
 
-    def by_id(df):
-        return lookup(df, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner").drop("jugador")
-
-    general = player_game_stats(play_flags(participants(stream).where(F.col("jugador") != "")))
-    general = by_id(general.drop("Saques_Exitosos", "Saques_Fallidos", "Tiros_Bloqueados", "Robos_Exitosos"))
-    general = general.groupBy("game_id", "idJugador").agg(
-        *[F.sum(c).alias(c) for c in general.columns if c not in ("game_id", "idJugador")])
-    merged = general
-    for part in (jump_balls(stream), blocks(stream), steals(stream)):
-        part = by_id(part)
-        part = part.groupBy("game_id", "idJugador").agg(
-            *[F.sum(c).alias(c) for c in part.columns if c not in ("game_id", "idJugador")])
-        merged = merged.join(part, ["game_id", "idJugador"], "full")
-    merged = merged.drop("cantidad_ataques_exitosos", "cantidad_ataques_fallidos")
-    merged = merged.fillna(0)
-    return derived_metrics(merged)
+    def total(df):
+        """Sums per (game, idJugador)."""
+        found = lookup(df, names, ["jugador"], ["nombre_n"], ["idJugador"], how="inner")
+        return found.groupBy("game_id", "idJugador").agg(*[F.sum(c).alias(c) for c in df.columns if c not in ("game_id", "jugador")])
+
+    # The general sums stay packed until all are merged.
+    flags = play_flags(participants(stream).where(F.col("jugador") != ""))
+    general = total(flags.groupBy("game_id", "jugador").agg(*packed_sums({c: F.col(c) for c in GENERAL_STATS})))
+    # The three slot statistics have few rows: merged first, they meet the general ones in one join.
+    slots, *others = [total(part) for part in (jump_balls(stream), blocks(stream), steals(stream))]
+    for part in others:
+        slots = slots.join(part, ["game_id", "idJugador"], "full")
+    slots = slots.drop("cantidad_ataques_exitosos", "cantidad_ataques_fallidos")
+    merged = unpacked(general.join(slots, ["game_id", "idJugador"], "full").fillna(0), GENERAL_STATS)
+    own = [c for c in slots.columns if c not in ("game_id", "idJugador")]
+    return derived_metrics(merged.select("game_id", "idJugador", *GENERAL_STATS, *own))

@@ -82,3 +82,10 @@ def test_shared_name_candidates_do_not_fan_out(spark):
     got = FP.resolved_measures(plays, player)
     assert "struct(fits" not in _plan(got)
     assert sorted((r.game_id, r.jugador, r.idJugador, r.candidatos) for r in got.collect()) == [(1, "ann", 3, 4), (2, "ann", 1, 4), (3, "bo", 9, 1)]
+
+
+def test_measures_are_aggregated_in_half_the_sums(spark, sf_small):
+    wh = Warehouse(spark, sf_small)
+    for df in (P.game_player_counts(wh.src("plays")), FP.stats_outer_merge(wh.src("plays"), wh.player)):
+        sums = [x.count("partial_sum(") for x in _plan(df).splitlines() if "HashAggregate" in x]
+        assert max(sums) <= 12
